@@ -75,8 +75,9 @@ def running_totals(df: DataFrame, order_cols, sum_cols, group_cols=(), descendin
                 g = pdf[group_cols]
                 prev = g.shift()
                 same = (g == prev) | (g.isna() & prev.isna())
-                seg = (~same.all(axis=1)).cumsum()
-                seg.iloc[0] = 0
+                changed = (~same.all(axis=1)).to_numpy()
+                changed[0] = True
+                seg = pd.Series(changed.cumsum() - 1, index=pdf.index)
                 loc = vals.groupby(seg.values).cumsum()
                 first_key = tuple(g.iloc[0].tolist())
                 if carry is not None and _key_eq(first_key, carry_key):

@@ -87,3 +87,351 @@ WHERE rn = 1
 """, "flows_dirty"))
 def q_keep_first(spark, sf):
     return U.keep_first(flows_dirty(spark, sf), DIRTY_FEATURES, "row_id")
+
+
+# ---- P: label and row-wise expressions -------------------------------------
+
+from ..functions import labels as L  # noqa: E402
+from ..functions import rowwise as R  # noqa: E402
+from ..operators import profile as A  # noqa: E402
+from ..sources.fixtures import scores, table  # noqa: E402
+
+_FAMILY_SQL = """CASE label WHEN 'BENIGN' THEN 'Benign' WHEN 'PortScan' THEN 'PortScan'
+  WHEN 'DDoS' THEN 'DoS/DDoS' WHEN 'DoS Hulk' THEN 'DoS/DDoS' WHEN 'DoS GoldenEye' THEN 'DoS/DDoS'
+  WHEN 'DoS slowloris' THEN 'DoS/DDoS' WHEN 'DoS Slowhttptest' THEN 'DoS/DDoS'
+  WHEN 'Heartbleed' THEN 'DoS/DDoS' WHEN 'FTP-Patator' THEN 'Brute Force'
+  WHEN 'SSH-Patator' THEN 'Brute Force' WHEN 'Bot' THEN 'Botnet ARES'
+  WHEN 'Web Attack - Brute Force' THEN 'Web Attack' WHEN 'Web Attack - Sql Injection' THEN 'Web Attack'
+  WHEN 'Web Attack - XSS' THEN 'Web Attack' WHEN 'Infiltration' THEN 'Infiltration' END"""
+
+
+@query("label_columns", with_views(f"""
+SELECT flow_id, label, {_FAMILY_SQL} AS label_category,
+       CAST(label <> 'BENIGN' AS INTEGER) AS binary_label,
+       CASE WHEN label = 'BENIGN' THEN 'Benign' ELSE 'Attack' END AS binary_name
+FROM (SELECT flow_id, regexp_replace(trim(label), '^Web Attack[^A-Za-z0-9]+', 'Web Attack - ') AS label
+      FROM flows) t
+""", "flows"))
+def q_label_columns(spark, sf):
+    f = flows(spark, sf).select("flow_id", L.normalise_label("label").alias("label"))
+    return f.select("flow_id", "label", L.label_family("label").alias("label_category"),
+                    L.binary_label("label").alias("binary_label"),
+                    L.binary_name("label").alias("binary_name"))
+
+
+@query("label_encode", with_views("""
+SELECT flow_id, label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS multi_label FROM flows
+""", "flows"))
+def q_label_encode(spark, sf):
+    f = flows(spark, sf)
+    enc = L.LabelEncoder().fit(f, "label")
+    return f.select("flow_id", "label", enc.encode("label").alias("multi_label"))
+
+
+@query("ascii_scrub", """
+SELECT doc_id, regexp_replace(replace(text, '�', '-'), '[^\\x00-\\x7F]', '', 'g') AS text FROM documents
+""")
+def q_ascii_scrub(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", L.ascii_scrub("text").alias("text"))
+
+
+@query("rare_class_filter", with_views("""
+SELECT flow_id, label FROM flows
+WHERE label IN (SELECT label FROM flows GROUP BY label HAVING count(*) > 5)
+""", "flows"))
+def q_rare_class_filter(spark, sf):
+    from ..operators.clean import filter_rare_classes
+    return filter_rare_classes(flows(spark, sf), "label", min_count=6).select("flow_id", "label")
+
+
+@query("rare_class_filter_min50", with_views("""
+SELECT flow_id, label FROM flows
+WHERE label IN (SELECT label FROM flows GROUP BY label HAVING count(*) >= 50)
+""", "flows"))
+def q_rare_class_filter_min50(spark, sf):
+    from ..operators.clean import filter_rare_classes
+    return filter_rare_classes(flows(spark, sf), "label", min_count=50).select("flow_id", "label")
+
+
+@query("dropped_classes", with_views("""
+SELECT label FROM (SELECT DISTINCT label FROM flows)
+EXCEPT SELECT label FROM flows GROUP BY label HAVING count(*) >= 50
+""", "flows"))
+def q_dropped_classes(spark, sf):
+    from ..operators.clean import dropped_classes
+    return dropped_classes(flows(spark, sf), "label", min_count=50)
+
+
+_ENG_SQL = {
+    "eng_total_packets": "total_fwd_packets + total_backward_packets",
+    "eng_fwd_bwd_pkt_ratio": "total_fwd_packets / (total_backward_packets + 1e-6)",
+    "eng_total_bytes": "total_length_of_fwd_packets + total_length_of_bwd_packets",
+    "eng_fwd_bwd_byte_ratio": "total_length_of_fwd_packets / (total_length_of_bwd_packets + 1e-6)",
+    "eng_bytes_per_packet": "(total_length_of_fwd_packets + total_length_of_bwd_packets)"
+                            " / (total_fwd_packets + total_backward_packets + 1e-6)",
+}
+
+
+@query("engineered_features", with_views(
+    "SELECT flow_id, " + ", ".join(f"{R.sig_round_sql(e)} AS {k}" for k, e in _ENG_SQL.items())
+    + " FROM flows", "flows"))
+def q_engineered_features(spark, sf):
+    f = flows(spark, sf)
+    eng = {k: v for k, v in R.engineered_features(set(f.columns)).items() if k != "eng_combined_flags"}
+    return f.select("flow_id", *[R.sig_round(v).alias(k) for k, v in eng.items()])
+
+
+@query("port_bucket", with_views("""
+SELECT flow_id, CASE WHEN destination_port BETWEEN 1 AND 1023 THEN '1-1023'
+  WHEN destination_port BETWEEN 1024 AND 49151 THEN '1024-49151'
+  WHEN destination_port BETWEEN 49152 AND 65535 THEN '49152-65535' ELSE '0' END AS port_bucket
+FROM flows
+""", "flows"))
+def q_port_bucket(spark, sf):
+    return flows(spark, sf).select("flow_id", R.port_bucket("destination_port").alias("port_bucket"))
+
+
+@query("negative_duration", with_views("SELECT flow_id, flow_duration FROM flows WHERE flow_duration < 0", "flows"))
+def q_negative_duration(spark, sf):
+    return flows(spark, sf).where(R.negative("flow_duration")).select("flow_id", "flow_duration")
+
+
+@query("threshold_predicate", with_views(
+    "SELECT row_id, CAST(score >= 0.5 AS INTEGER) AS pred FROM scores", "scores"))
+def q_threshold_predicate(spark, sf):
+    return scores(spark, sf).select("row_id", R.at_threshold("score", 0.5).alias("pred"))
+
+
+@query("row_argmax", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax FROM embeddings
+""")
+def q_row_argmax(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", R.argmax("embedding").alias("argmax"))
+
+
+@query("row_softmax", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+m AS (SELECT vec_id, x, list_max(x) AS mx FROM e),
+s AS (SELECT vec_id, x, mx, list_sum(list_transform(x, lambda v: exp(v - mx))) AS tot FROM m)
+SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(exp(x[pos] - mx) / tot, 6) AS p
+FROM s, range(1, 65) r(pos) WHERE pos <= len(x)
+""")
+def q_row_softmax(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", R.softmax("embedding").alias("p"))
+    return e.select("vec_id", F.posexplode("p").alias("pos", "p")).select(
+        "vec_id", F.col("pos").cast("int"), F.round("p", 6).alias("p"))
+
+
+@query("one_vs_rest", with_views("""
+SELECT row_id, c.y_true AS class, CAST(s.y_true = c.y_true AS INTEGER) AS is_class
+FROM scores s CROSS JOIN (SELECT DISTINCT y_true FROM scores) c
+""", "scores"))
+def q_one_vs_rest(spark, sf):
+    s = scores(spark, sf)
+    classes = L.class_list(s, "y_true")
+    return s.select("row_id", F.arrays_zip(F.array(*[F.lit(c) for c in classes]).alias("class"),
+                                           L.one_vs_rest("y_true", classes).alias("is_class")).alias("z")) \
+            .select("row_id", F.explode("z").alias("z")).select("row_id", "z.class", "z.is_class")
+
+
+# ---- A: profiling -----------------------------------------------------------
+
+_DIRTY_ALL = ["row_id", "label", "day"] + DIRTY_FEATURES
+_DIRTY_DOUBLE = DIRTY_FEATURES
+
+
+def _per_column(cols, select_template: str, source: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, " + select_template.format(c=c) + f" FROM {source}" for c in cols)
+
+
+def _missing_expr(c):
+    return f"{c} IS NULL OR isnan({c})" if c in _DIRTY_DOUBLE else f"{c} IS NULL"
+
+
+@query("shape", with_views("""
+SELECT count(*) AS n_rows, count(DISTINCT label) AS n_labels, 11 AS n_columns, 9 AS n_numeric,
+       2 AS n_categorical FROM flows_dirty
+""", "flows_dirty"))
+def q_shape(spark, sf):
+    return A.shape(flows_dirty(spark, sf), label="label")
+
+
+@query("missing_counts", with_views("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST(count_if({_missing_expr(c)}) AS BIGINT) AS n_missing, "
+    f"round(count_if({_missing_expr(c)}) / count(*), 6) AS frac_missing FROM flows_dirty" for c in _DIRTY_ALL),
+    "flows_dirty"))
+def q_missing_counts(spark, sf):
+    m = A.missing_counts(flows_dirty(spark, sf))
+    return m.withColumn("frac_missing", F.round("frac_missing", 6))
+
+
+@query("inf_counts", with_views(
+    "SELECT * FROM (" + _per_column(_DIRTY_DOUBLE, "CAST(count_if(isinf({c})) AS BIGINT) AS n_inf", "flows_dirty")
+    + ") t WHERE n_inf > 0", "flows_dirty"))
+def q_inf_counts(spark, sf):
+    return A.inf_counts(flows_dirty(spark, sf), DIRTY_FEATURES)
+
+
+@query("all_finite", with_views(
+    "SELECT coalesce(bool_and(" + " AND ".join(
+        f"{c} IS NOT NULL AND isfinite({c})" for c in DIRTY_FEATURES) + "), true) AS all_finite FROM flows_dirty",
+    "flows_dirty"))
+def q_all_finite(spark, sf):
+    return A.all_finite(flows_dirty(spark, sf), DIRTY_FEATURES)
+
+
+@query("missing_row_labels", with_views(
+    "SELECT DISTINCT label FROM flows_dirty WHERE " + " OR ".join(
+        f"({_missing_expr(c)})" for c in DIRTY_FEATURES), "flows_dirty"))
+def q_missing_row_labels(spark, sf):
+    return A.missing_row_labels(flows_dirty(spark, sf), DIRTY_FEATURES, "label")
+
+
+_NONAN = "CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
+
+
+@query("constant_columns", with_views(
+    "SELECT feature FROM (" + _per_column(
+        DIRTY_FEATURES, f"count(DISTINCT {_NONAN}) AS nu", "flows_dirty") + ") t WHERE nu <= 1",
+    "flows_dirty"))
+def q_constant_columns(spark, sf):
+    return A.constant_columns(flows_dirty(spark, sf), DIRTY_FEATURES)
+
+
+@query("near_constant_columns", with_views("""
+WITH v AS (""" + _per_column(DIRTY_FEATURES, f"{_NONAN} AS value", "flows_dirty") + """),
+c AS (SELECT feature, value, count(*) AS cnt FROM v WHERE value IS NOT NULL GROUP BY feature, value)
+SELECT feature, round(max(cnt) / sum(cnt), 6) AS top_share FROM c
+GROUP BY feature HAVING count(*) > 1 AND max(cnt) / sum(cnt) > 0.99
+""", "flows_dirty"))
+def q_near_constant_columns(spark, sf):
+    return A.near_constant_columns(flows_dirty(spark, sf), DIRTY_FEATURES).withColumn(
+        "top_share", F.round("top_share", 6))
+
+
+@query("value_table", with_views(
+    "SELECT feature, value, count(*) AS cnt FROM (" + _per_column(
+        DIRTY_FEATURES, f"{_NONAN} AS value", "flows_dirty") + ") t GROUP BY feature, value",
+    "flows_dirty"))
+def q_value_table(spark, sf):
+    return A.value_table(flows_dirty(spark, sf), DIRTY_FEATURES)
+
+
+@query("label_counts", with_views("""
+SELECT label, count(*) AS cnt, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct
+FROM flows_dirty GROUP BY label
+""", "flows_dirty"))
+def q_label_counts(spark, sf):
+    return A.label_counts(flows_dirty(spark, sf), "label").withColumn("pct", F.round("pct", 6))
+
+
+@query("binary_balance", with_views("""
+SELECT count_if(label = 'BENIGN') AS n_benign, count_if(label <> 'BENIGN') AS n_attack,
+       round(count_if(label = 'BENIGN') / nullif(count_if(label <> 'BENIGN'), 0), 6) AS benign_attack_ratio
+FROM flows_dirty
+""", "flows_dirty"))
+def q_binary_balance(spark, sf):
+    return A.binary_balance(flows_dirty(spark, sf), "label").withColumn(
+        "benign_attack_ratio", F.round("benign_attack_ratio", 6))
+
+
+@query("per_day", with_views("""
+SELECT day, count(*) AS n_records, count_if(label <> 'BENIGN') AS n_attacks FROM flows_dirty GROUP BY day
+""", "flows_dirty"))
+def q_per_day(spark, sf):
+    return A.per_day(flows_dirty(spark, sf), "day", "label")
+
+
+_PROBS = [0.25, 0.5, 0.75, 0.95, 0.99, 0.999]
+_EV = ["user_id", "value"]
+
+
+@query("quantiles", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST({p} AS DOUBLE) AS p, round(quantile_cont({c}, {p}), 6) AS q FROM events"
+    for c in _EV for p in _PROBS))
+def q_quantiles(spark, sf):
+    return A.quantiles(table(spark, sf, "events"), _EV, _PROBS).withColumn("q", F.round("q", 6))
+
+
+@query("quantiles_lineitem", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CAST({p} AS DOUBLE) AS p, round(quantile_cont({c}, {p}), 6) AS q FROM lineitem"
+    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"] for p in _PROBS))
+def q_quantiles_lineitem(spark, sf):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return A.quantiles(table(spark, sf, "lineitem"), cols, _PROBS).withColumn("q", F.round("q", 6))
+
+
+@query("iqr_outliers", "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, round(lo, 6) AS lower, round(hi, 6) AS upper,
+       (SELECT count(*) FROM events WHERE {c} < lo OR {c} > hi) AS n_outliers
+FROM (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+      FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM events) a) b"""
+    for c in _EV))
+def q_iqr_outliers(spark, sf):
+    r = A.iqr_outlier_counts(table(spark, sf, "events"), _EV)
+    return r.select("feature", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"),
+                    "n_outliers")
+
+
+@query("describe", "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+  round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+  round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM events""" for c in _EV))
+def q_describe(spark, sf):
+    d = A.describe(table(spark, sf, "events"), _EV)
+    return d.select("feature", "count", *[F.round(c, 6).alias(c) for c in
+                                         ["mean", "std", "min", "p25", "p50", "p75", "max"]])
+
+
+@query("describe_categorical", """
+SELECT 'event_type' AS feature, sum(cnt) AS count, count(*) AS unique,
+       arg_min(event_type, (-cnt, event_type)) AS top, max(cnt) AS freq
+FROM (SELECT event_type, count(*) AS cnt FROM events WHERE event_type IS NOT NULL GROUP BY event_type) g
+""")
+def q_describe_categorical(spark, sf):
+    return A.top_value(table(spark, sf, "events"), "event_type")
+
+
+@query("histogram_by_class", """
+WITH b AS (SELECT quantile_cont(value, 0.99) AS up, min(value) AS lo FROM events),
+x AS (SELECT event_type, least(value, up) AS v, up, lo FROM events, b WHERE value IS NOT NULL),
+h AS (SELECT event_type, CAST(least(floor((v - lo) / (CASE WHEN up > lo THEN up - lo ELSE 1.0 END) * 50), 49) AS INTEGER) AS bin,
+             count(*) AS cnt FROM x GROUP BY ALL)
+SELECT event_type, bin, cnt, round(cnt / sum(cnt) OVER (PARTITION BY event_type), 6) AS share FROM h
+""")
+def q_histogram_by_class(spark, sf):
+    return A.histogram_by_class(table(spark, sf, "events"), "value", "event_type").withColumn(
+        "share", F.round("share", 6))
+
+
+@query("port_bucket_counts", with_views("""
+SELECT port_bucket, count_if(label = 'BENIGN') AS Benign, count_if(label <> 'BENIGN') AS Malicious
+FROM (SELECT label, CASE WHEN destination_port BETWEEN 1 AND 1023 THEN '1-1023'
+  WHEN destination_port BETWEEN 1024 AND 49151 THEN '1024-49151'
+  WHEN destination_port BETWEEN 49152 AND 65535 THEN '49152-65535' ELSE '0' END AS port_bucket FROM flows) t
+WHERE port_bucket <> '0' GROUP BY port_bucket
+""", "flows"))
+def q_port_bucket_counts(spark, sf):
+    return A.port_bucket_counts(flows(spark, sf), "destination_port", "label")
+
+
+@query("std_columns", with_views(_per_column(
+    FLOW_FEATURES, R.sig_round_sql("stddev_samp({c})") + " AS std", "flows"), "flows"))
+def q_std_columns(spark, sf):
+    return A.std_columns(flows(spark, sf), FLOW_FEATURES).withColumn("std", R.sig_round("std"))
+
+
+@query("top_variance", with_views(
+    "SELECT feature, " + R.sig_round_sql("variance") + " AS variance FROM (" + _per_column(
+        FLOW_FEATURES, "var_samp({c}) AS variance", "flows") + ") t ORDER BY variance DESC, feature LIMIT 20",
+    "flows"))
+def q_top_variance(spark, sf):
+    return A.top_variance(flows(spark, sf), FLOW_FEATURES).withColumn("variance", R.sig_round("variance"))
+
+
+@query("class_train_counts", with_views("""
+SELECT y_true, count(*) AS train_count, count(*) < 100 AS rare FROM scores WHERE split = 'train' GROUP BY y_true
+""", "scores"))
+def q_class_train_counts(spark, sf):
+    return A.class_train_counts(scores(spark, sf).where("split = 'train'"), "y_true")
