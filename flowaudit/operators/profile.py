@@ -35,6 +35,13 @@ def wide_stats(df: DataFrame, cols, metrics: dict) -> DataFrame:
     aggs = [fn(c).alias(f"m{j}_{i}") for i, c in enumerate(cols) for j, fn in enumerate(metrics.values())]
     wide = df.agg(*aggs)
     names = list(metrics)
+    casts = {}
+    for j in range(len(names)):
+        types = {wide.schema[f"m{j}_{i}"].dataType.simpleString() for i in range(len(cols))}
+        if len(types) > 1:
+            casts.update({f"m{j}_{i}": F.col(f"m{j}_{i}").cast("double") for i in range(len(cols))})
+    if casts:
+        wide = wide.withColumns(casts)
     parts = []
     for i, c in enumerate(cols):
         parts.append(_q(c))

@@ -435,3 +435,188 @@ SELECT y_true, count(*) AS train_count, count(*) < 100 AS rare FROM scores WHERE
 """, "scores"))
 def q_class_train_counts(spark, sf):
     return A.class_train_counts(scores(spark, sf).where("split = 'train'"), "y_true")
+
+
+# ---- C: cleaning, A21-A27: correlation and redundancy -----------------------
+
+from ..functions.missing import replace_infs  # noqa: E402
+from ..operators import clean as C  # noqa: E402
+from ..operators import correlation as K  # noqa: E402
+from ..operators import fitted as FT  # noqa: E402
+
+_C1 = "CASE WHEN isnan({c}) OR isinf({c}) THEN NULL ELSE {c} END"
+_DIRTY_C1 = ("SELECT row_id, label, day, " + ", ".join(f"{_C1.format(c=c)} AS {c}" for c in DIRTY_FEATURES)
+             + " FROM flows_dirty")
+
+
+def dirty_c1(spark, sf):
+    return replace_infs(flows_dirty(spark, sf), DIRTY_FEATURES)
+
+
+def _long_sql(src: str, cols, id_col: str = "row_id", value: str = "{c}") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {id_col}, '{c}' AS feature, {i} AS pos, {value.format(c=c)} AS value FROM {src}"
+        for i, c in enumerate(cols))
+
+
+def _to_long(df, cols, id_col="row_id"):
+    return df.select(id_col, *cols).unpivot([id_col], list(cols), "feature", "value")
+
+
+@query("replace_infs", with_views(f"WITH c1 AS ({_DIRTY_C1}) SELECT row_id, flow_bytes_s FROM c1", "flows_dirty"))
+def q_replace_infs(spark, sf):
+    return dirty_c1(spark, sf).select("row_id", "flow_bytes_s")
+
+
+@query("drop_missing_rows", with_views(
+    "SELECT row_id, label FROM flows_dirty WHERE " + " AND ".join(
+        f"{c} IS NOT NULL AND NOT isnan({c})" for c in DIRTY_FEATURES), "flows_dirty"))
+def q_drop_missing_rows(spark, sf):
+    return C.drop_missing_rows(flows_dirty(spark, sf), DIRTY_FEATURES).select("row_id", "label")
+
+
+@query("drop_inf_rows", with_views(
+    f"WITH c1 AS ({_DIRTY_C1}) SELECT row_id, label FROM c1 WHERE " + " AND ".join(
+        f"{c} IS NOT NULL" for c in DIRTY_FEATURES), "flows_dirty"))
+def q_drop_inf_rows(spark, sf):
+    return C.drop_inf_rows(flows_dirty(spark, sf), DIRTY_FEATURES).select("row_id", "label")
+
+
+@query("fill_constant", with_views(
+    "SELECT row_id, CASE WHEN flow_bytes_s IS NULL OR isnan(flow_bytes_s) THEN 0.0 ELSE flow_bytes_s END"
+    " AS flow_bytes_s FROM flows_dirty", "flows_dirty"))
+def q_fill_constant(spark, sf):
+    return C.fill_constant(flows_dirty(spark, sf), ["flow_bytes_s"]).select("row_id", "flow_bytes_s")
+
+
+@query("low_std_columns", with_views(
+    f"WITH c1 AS ({_DIRTY_C1}) SELECT feature FROM (" + _per_column(
+        DIRTY_FEATURES, "stddev_samp({c}) AS sd", "c1") + ") t WHERE sd < 0.01", "flows_dirty"))
+def q_low_std_columns(spark, sf):
+    cols = C.low_std_columns(dirty_c1(spark, sf), DIRTY_FEATURES)
+    return spark.createDataFrame([(c,) for c in cols], "feature string")
+
+
+def _pairs_sql(src, cols, expr: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {i} AS ia, {j} AS ib, "
+        + expr.format(a=a, b=b) + f" AS r FROM {src}"
+        for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i)
+
+
+@query("duplicate_column_pairs", with_views(
+    f"WITH c AS (SELECT " + ", ".join(f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS {c}" for c in DIRTY_FEATURES)
+    + " FROM flows_dirty) SELECT feature_a, feature_b FROM (" + _pairs_sql(
+        "c", DIRTY_FEATURES, "bool_and({a} IS NOT DISTINCT FROM {b})") + ") t WHERE r", "flows_dirty"))
+def q_duplicate_column_pairs(spark, sf):
+    return K.duplicate_column_pairs(flows_dirty(spark, sf), DIRTY_FEATURES)
+
+
+_PEARSON_SQL = f"WITH c1 AS ({_DIRTY_C1}), pr AS (" + _pairs_sql("c1", DIRTY_FEATURES, "corr({a}, {b})") + ")"
+
+
+@query("pearson_pairs", with_views(_PEARSON_SQL + " SELECT feature_a, feature_b, round(r, 6) AS r FROM pr",
+                                   "flows_dirty"))
+def q_pearson_pairs(spark, sf):
+    return K.pearson_pairs(dirty_c1(spark, sf), DIRTY_FEATURES).withColumn("r", F.round("r", 6))
+
+
+@query("high_corr_pairs", with_views(
+    _PEARSON_SQL + " SELECT feature_b AS feature_a, feature_a AS feature_b, round(r, 6) AS r FROM pr"
+    " WHERE abs(r) > 0.95 AND NOT isnan(r)", "flows_dirty"))
+def q_high_corr_pairs(spark, sf):
+    r = K.pearson_matrix(dirty_c1(spark, sf), DIRTY_FEATURES)
+    return K.high_corr_pairs(spark, DIRTY_FEATURES, r, 0.95).withColumn("r", F.round("r", 6))
+
+
+for _name, _policy, _t, _sel in [
+        ("correlated_drop_signed_earlier", "signed_earlier", 0.98, "feature_a FROM pr WHERE r > 0.98 AND NOT isnan(r)"),
+        ("correlated_drop_abs_later", "abs_later", 0.95, "feature_b FROM pr WHERE abs(r) > 0.95 AND NOT isnan(r)"),
+        ("correlated_drop_abs_earlier", "abs_earlier", 0.95, "feature_a FROM pr WHERE abs(r) > 0.95 AND NOT isnan(r)")]:
+    def _mk(policy=_policy, t=_t):
+        def fn(spark, sf):
+            cols = C.correlated_column_list(dirty_c1(spark, sf), DIRTY_FEATURES, t, policy)
+            return spark.createDataFrame([(c,) for c in cols], "feature string")
+        return fn
+    query(_name, with_views(_PEARSON_SQL + f" SELECT DISTINCT {_sel.replace(' FROM', ' AS feature FROM')}",
+                            "flows_dirty"))(_mk())
+
+
+_FR = ", ".join(FLOW_FEATURES)
+
+
+def _spearman_sql(cols) -> str:
+    ranks = ", ".join(
+        f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0) AS {c}" for c in cols)
+    return f"WITH rk AS (SELECT {ranks} FROM flows), pr AS (" + _pairs_sql(
+        "rk", cols, "corr({a}, {b})") + ") SELECT feature_a, feature_b, round(r, 6) AS r FROM pr"
+
+
+@query("spearman_pairs", with_views(_spearman_sql(FLOW_FEATURES), "flows"))
+def q_spearman_pairs(spark, sf):
+    r = K.spearman_matrix(flows(spark, sf), FLOW_FEATURES)
+    return K.matrix_to_pairs(spark, FLOW_FEATURES, r).withColumn("r", F.round("r", 6))
+
+
+@query("vif")
+def q_vif(spark, sf):
+    cols = [c for c in FLOW_FEATURES if c not in C.constant_column_list(flows(spark, sf), FLOW_FEATURES)][:20]
+    return K.vif(flows(spark, sf), cols)
+
+
+@query("pca_explained_variance")
+def q_pca_explained_variance(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+    e = table(spark, sf, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    return K.pca_explained_variance(e, "v", k=64, target=0.99)
+
+
+@query("median_impute", with_views(
+    f"WITH c1 AS ({_DIRTY_C1}) SELECT row_id, " + R.sig_round_sql(
+        "coalesce(flow_bytes_s, (SELECT quantile_cont(flow_bytes_s, 0.5) FROM c1))") + " AS flow_bytes_s FROM c1",
+    "flows_dirty"))
+def q_median_impute(spark, sf):
+    d = dirty_c1(spark, sf)
+    m = FT.MedianImputer(inputCols=["flow_bytes_s"]).fit(d)
+    return m.transform(d).select("row_id", R.sig_round("flow_bytes_s").alias("flow_bytes_s"))
+
+
+@query("zscore", with_views(
+    "WITH st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}"
+                                     for c in FLOW_FEATURES) + " FROM flows) SELECT flow_id, "
+    + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in FLOW_FEATURES) + " FROM flows, st", "flows"))
+def q_zscore(spark, sf):
+    f = flows(spark, sf)
+    m = FT.StandardScaler(inputCols=FLOW_FEATURES).fit(f)
+    return m.transform(f).select("flow_id", *[F.round(c, 6).alias(c) for c in FLOW_FEATURES])
+
+
+@query("clip_upper", with_views(
+    "WITH q AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.999) AS q_{c}" for c in FLOW_FEATURES)
+    + " FROM flows) SELECT flow_id, " + ", ".join(
+        f"{R.sig_round_sql(f'least({c}, q_{c})')} AS {c}" for c in FLOW_FEATURES) + " FROM flows, q", "flows"))
+def q_clip_upper(spark, sf):
+    f = flows(spark, sf)
+    m = FT.ClipUpper(inputCols=FLOW_FEATURES, p=99.9).fit(f)
+    return m.transform(f).select("flow_id", *[R.sig_round(c).alias(c) for c in FLOW_FEATURES])
+
+
+@query("log1p_heavy", with_views(
+    "WITH st AS (SELECT " + ", ".join(f"max({c}) AS hi_{c}, min({c}) AS lo_{c}" for c in FLOW_FEATURES)
+    + " FROM flows) SELECT flow_id, " + ", ".join(
+        f"{R.sig_round_sql(f'CASE WHEN hi_{c} > 1000 AND lo_{c} >= 0 THEN ln(1 + {c}) ELSE {c} END')} AS {c}"
+        for c in FLOW_FEATURES) + " FROM flows, st", "flows"))
+def q_log1p_heavy(spark, sf):
+    f = flows(spark, sf)
+    m = FT.Log1pHeavy(inputCols=FLOW_FEATURES).fit(f)
+    return m.transform(f).select("flow_id", *[R.sig_round(F.col(c).cast("double")).alias(c) for c in FLOW_FEATURES])
+
+
+@query("iqr_outlier_flags", """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT event_id, (value < q1 - 1.5 * (q3 - q1)) OR (value > q3 + 1.5 * (q3 - q1)) AS is_outlier FROM events, q
+""")
+def q_iqr_outlier_flags(spark, sf):
+    ev = table(spark, sf, "events")
+    qm = A.quantile_map(A.quantiles(ev, ["value"], [0.25, 0.75]))
+    return ev.select("event_id", R.iqr_outlier("value", qm[("value", 0.25)], qm[("value", 0.75)]).alias("is_outlier"))
