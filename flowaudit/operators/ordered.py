@@ -1,117 +1,93 @@
-"""Ordered primitives that stay distributed: running totals and hash ranks.
+"""Ordered primitives that stay distributed: prefix sums and hash ranks.
 
 A window ``OVER (PARTITION BY g ORDER BY o)`` sends every row of a group to
 one task; without ``PARTITION BY`` it sends the whole table to one task.
-Both break when one class holds a third of all rows.  Here the rows are
-range-partitioned on (group, order) instead, so a hot group is spread over
-many partitions:
-
-1. ``repartitionByRange`` + ``sortWithinPartitions`` (one shuffle);
-2. per (partition, group) totals - at most ``partitions + groups`` rows;
-3. exclusive offsets over those totals (a window over the small table);
-4. running sums inside each partition in ``mapInPandas`` (vectorised
-   ``cumsum`` on Arrow batches, carrying the last group across batches),
-   plus the offset of the partition.
-
-Steps 2 and 4 read the same exchange (Spark reuses it within one plan).
+Both break when one class holds a third of all rows.  Here every row gets a
+deterministic *bucket*, monotone in the order key within its group, sized so
+that a bucket holds at most ~``bucket_rows`` rows:
+
+1. per (group, bucket) totals - a small aggregate;
+2. exclusive offsets of each bucket (a window over that small table);
+3. running sums inside each bucket with an ordinary window partitioned by
+   (group, bucket), plus the bucket's offset (join on the same keys, so the
+   large side keeps its partitioning).
+
+Buckets come from the data, not from partition ids, so every re-execution
+(e.g. after a lost executor) assigns the same bucket to the same row.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-
-_PART = "_fa_part"
-
-
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def running_totals(df: DataFrame, order_cols, sum_cols, group_cols=(), descending=False,
-                   num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Add inclusive running sums ``prefix+c`` of ``sum_cols`` within ``group_cols``
-    ordered by ``order_cols`` (ascending, or descending when ``descending``).
-
-    Rows tied on (group, order) get an arbitrary but consistent order; callers
-    that need tie-aware totals aggregate ties first.
-    """
-    group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
-    n = _num_partitions(df, num_partitions)
-    order_exprs = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
-                   for c in order_cols]
-    sort_exprs = [F.col(g).asc_nulls_first() for g in group_cols] + order_exprs
-    ranged = (df.repartitionByRange(n, *sort_exprs)
-                .sortWithinPartitions(*sort_exprs)
-                .withColumn(_PART, F.spark_partition_id()))
-
-    sums = [F.sum(c).alias(c) for c in sum_cols]
-    totals = ranged.groupBy(_PART, *group_cols).agg(*sums)
-    w = (Window.partitionBy(*[F.col(g) for g in group_cols]).orderBy(_PART)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(
-        _PART, *group_cols,
-        *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-
-    out_fields = list(ranged.schema.fields)
-    cum_types = {}
-    for c in sum_cols:
-        dt = df.schema[c].dataType
-        cum_types[c] = T.LongType() if isinstance(dt, (T.IntegralType, T.BooleanType)) else T.DoubleType()
-        out_fields.append(T.StructField(f"_loc_{c}", cum_types[c], True))
-    out_schema = T.StructType(out_fields)
-
-    def local_cumsum(batches):
-        carry_key = None
-        carry = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            vals = pdf[sum_cols].astype("float64").fillna(0.0)
-            if group_cols:
-                g = pdf[group_cols]
-                prev = g.shift()
-                same = (g == prev) | (g.isna() & prev.isna())
-                changed = (~same.all(axis=1)).to_numpy()
-                changed[0] = True
-                seg = pd.Series(changed.cumsum() - 1, index=pdf.index)
-                loc = vals.groupby(seg.values).cumsum()
-                first_key = tuple(g.iloc[0].tolist())
-                if carry is not None and _key_eq(first_key, carry_key):
-                    loc.loc[seg.values == 0] += carry
-                carry_key = tuple(g.iloc[-1].tolist())
-            else:
-                loc = vals.cumsum()
-                if carry is not None:
-                    loc += carry
-            carry = loc.iloc[-1].to_numpy()
-            for c in sum_cols:
-                col = loc[c].to_numpy()
-                pdf[f"_loc_{c}"] = np.rint(col).astype("int64") if cum_types[c] == T.LongType() else col
-            yield pdf
-
-    local = ranged.mapInPandas(local_cumsum, out_schema)
-    cond = [local[_PART] == offsets[_PART]] + [local[g].eqNullSafe(offsets[g]) for g in group_cols]
-    joined = local.join(offsets, cond, "left")
-    out_cols = [local[c] for c in df.columns] + [
-        (local[f"_loc_{c}"] + F.coalesce(offsets[f"_off_{c}"], F.lit(0))).cast(cum_types[c]).alias(prefix + c)
-        for c in sum_cols]
-    return joined.select(*out_cols)
-
-
-def _key_eq(a, b) -> bool:
-    if b is None or len(a) != len(b):
-        return False
-    for x, y in zip(a, b):
-        if (x is None or (isinstance(x, float) and np.isnan(x))) and \
-           (y is None or (isinstance(y, float) and np.isnan(y))):
-            continue
-        if x != y:
-            return False
-    return True
+import math
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.labels import MAX_CLASSES
+
+_B = "_fa_bucket"
+
+
+def bucket_rows(spark) -> int:
+    return int(spark.conf.get("spark.flowaudit.bucketRows", "1000000"))
+
+
+def _group_counts(df: DataFrame, group_cols) -> dict:
+    if not group_cols:
+        return {(): df.count()}
+    rows = df.groupBy(*group_cols).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError("too many groups for bucketed prefix sums")
+    return {tuple(r[g] for g in group_cols): r["count"] for r in rows}
+
+
+def with_value_bucket(df: DataFrame, order_col: str, descending: bool = False,
+                      target: int | None = None) -> DataFrame:
+    """Add the bucket column: approximate-quantile splits of ``order_col``
+    (B = rows / target, at least one), applied with ``Bucketizer`` (a binary
+    search on the JVM).  NULLs go first, NaN last; negated when descending."""
+    target = target or bucket_rows(df.sparkSession)
+    n = df.count()
+    nb = max(1, math.ceil(n / target))
+    x = F.col(order_col).cast("double")
+    if nb == 1:
+        out = df.withColumn(_B, F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), F.lit(1)).otherwise(F.lit(0)))
+    else:
+        probs = [i / nb for i in range(1, nb)]
+        qs = df.select(F.percentile_approx(x, probs, 10 * nb + 10000)).first()[0]
+        splits = sorted({float(q) for q in qs if q is not None and not math.isnan(q)} - {float("inf"), float("-inf")})
+        splits = [float("-inf")] + splits + [float("inf")]
+        bz = Bucketizer(splits=splits, inputCol="_fa_x", outputCol="_fa_bz", handleInvalid="keep")
+        out = (bz.transform(df.withColumn("_fa_x", F.coalesce(x, F.lit(float("nan")))))
+                 .withColumn(_B, F.when(x.isNull(), F.lit(-1)).otherwise(F.col("_fa_bz").cast("int")))
+                 .drop("_fa_x", "_fa_bz"))
+    return out.withColumn(_B, -F.col(_B)) if descending else out
+
+
+def prefix_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(), bucket: Column | None = None,
+                descending: bool = False, prefix: str = "cum_") -> DataFrame:
+    """Add inclusive running sums ``prefix + c`` of ``sum_cols`` within
+    ``group_cols`` ordered by ``order_col``.
+
+    ``bucket`` must be non-decreasing in the order (non-increasing when
+    ``descending``) within each group; by default it is derived from value
+    quantiles.  Rows tied on (group, order) get an arbitrary order, so callers
+    that need tie-aware totals aggregate ties first."""
+    group_cols, sum_cols = list(group_cols), list(sum_cols)
+    d = with_value_bucket(df, order_col, descending) if bucket is None else df.withColumn(_B, bucket)
+    keys = group_cols + [_B]
+    totals = d.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    w_off = Window.partitionBy(*group_cols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, *[F.coalesce(F.sum(c).over(w_off), F.lit(0)).alias(f"_off_{c}")
+                                     for c in sum_cols])
+    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
+    w_in = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = d.withColumns({f"_loc_{c}": F.sum(c).over(w_in) for c in sum_cols})
+    cond = [local[k].eqNullSafe(offsets[k]) for k in keys]
+    j = local.join(offsets, cond, "left")
+    return j.select(*[local[c] for c in df.columns],
+                    *[(local[f"_loc_{c}"] + F.coalesce(offsets[f"_off_{c}"], F.lit(0))).alias(prefix + c)
+                      for c in sum_cols])
 
 
 def hash_key(key: Column | str, seed: int) -> Column:
@@ -119,17 +95,16 @@ def hash_key(key: Column | str, seed: int) -> Column:
 
     md5 of a string is identical in Spark and DuckDB, so the SQL twin is
     ``ORDER BY md5(concat(seed, '-', key))``.  Keys must be integers: doubles
-    print differently in the two engines.
-    """
+    print differently in the two engines."""
     k = F.col(key) if isinstance(key, str) else key
     return F.md5(F.concat(F.lit(f"{seed}-"), k.cast("bigint").cast("string")))
 
 
 def hash_unit(key: Column | str, seed, salt: Column | None = None) -> Column:
-    """Uniform number in [0, 1) from the first 13 hex digits of the md5 key.
+    """Uniform number in [0, 1) from the first 13 hex digits of an md5 key;
+    monotone in the md5 string.
 
-    SQL twin: ``CAST(('0x' || substr(md5(...), 1, 13)) AS BIGINT) / 4503599627370496``.
-    """
+    SQL twin: ``CAST(('0x' || substr(md5(...), 1, 13)) AS BIGINT) / 4503599627370496``."""
     k = F.col(key) if isinstance(key, str) else key
     parts = [F.lit(f"{seed}-"), k.cast("bigint").cast("string")]
     if salt is not None:
@@ -139,10 +114,35 @@ def hash_unit(key: Column | str, seed, salt: Column | None = None) -> Column:
 
 
 def hash_rank(df: DataFrame, group_cols, key: str, seed: int, out: str = "rank",
-              num_partitions: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY group ORDER BY md5(seed-key))`` without
-    putting a whole group into one task (see module doc)."""
+              counts: dict | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group ORDER BY md5(seed-key))`` with
+    hash buckets: ``floor(u * B_g)`` is monotone in the md5 order and uniform,
+    so each bucket holds about ``bucket_rows`` rows of its group."""
+    group_cols = list(group_cols)
+    counts = counts if counts is not None else _group_counts(df, group_cols)
+    target = bucket_rows(df.sparkSession)
+    nb = {k: max(1, math.ceil(v / target)) for k, v in counts.items()}
+    u = hash_unit(key, seed)
+    if not group_cols:
+        b = F.floor(u * F.lit(nb[()])).cast("int")
+    elif len(group_cols) == 1:
+        m = F.create_map(*[x for k, v in nb.items() for x in (F.lit(k[0]), F.lit(v))])
+        b = F.floor(u * F.coalesce(m[F.col(group_cols[0])], F.lit(1))).cast("int")
+    else:
+        b = F.lit(0)
+        for k, v in nb.items():
+            cond = None
+            for g, val in zip(group_cols, k):
+                c = F.col(g).eqNullSafe(F.lit(val))
+                cond = c if cond is None else cond & c
+            b = F.when(cond, F.floor(u * F.lit(v)).cast("int")).otherwise(b)
     tmp = df.withColumn("_fa_h", hash_key(key, seed)).withColumn("_fa_one", F.lit(1))
-    ranked = running_totals(tmp, ["_fa_h"], ["_fa_one"], group_cols=group_cols,
-                            num_partitions=num_partitions, prefix="_fa_cum")
+    ranked = prefix_sums(tmp, "_fa_h", ["_fa_one"], group_cols=group_cols, bucket=b, prefix="_fa_cum")
     return ranked.withColumnRenamed("_fa_cum_fa_one", out).drop("_fa_h", "_fa_one")
+
+
+def running_totals(df: DataFrame, order_cols, sum_cols, group_cols=(), descending=False,
+                   prefix: str = "cum_") -> DataFrame:
+    """Back-compatible wrapper over :func:`prefix_sums` with one order column."""
+    (order_col,) = list(order_cols)
+    return prefix_sums(df, order_col, sum_cols, group_cols, descending=descending, prefix=prefix)
