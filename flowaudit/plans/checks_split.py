@@ -209,3 +209,75 @@ def q_leakage_by_strategy(spark, sf):
     r = J.leakage_by_strategy(flows_dirty(spark, sf), ["random_original", "random_deduplicated", "grouped",
                                                       "chronological"], "label", "row_id", DIRTY_FEATURES)
     return r.withColumn("leakage_pct", F.round("leakage_pct", 6))
+
+
+# ---- B: class balance ---------------------------------------------------------
+
+_TARGETS = {"BENIGN": 1000, "DoS Hulk": 500}
+
+
+@query("balanced_weights", with_views("""
+SELECT flow_id, label, round((SELECT count(*) FROM flows)
+  / ((SELECT count(DISTINCT label) FROM flows) * count(*) OVER (PARTITION BY label)), 6) AS weight FROM flows
+""", "flows"))
+def q_balanced_weights(spark, sf):
+    return B.balanced_weights(flows(spark, sf), "label").select("flow_id", "label", F.round("weight", 6).alias("weight"))
+
+
+@query("inverse_frequency_weights", with_views("""
+SELECT flow_id, label, round(1.0 / count(*) OVER (PARTITION BY label), 9) AS weight FROM flows
+""", "flows"))
+def q_inverse_frequency_weights(spark, sf):
+    return B.inverse_frequency_weights(flows(spark, sf), "label").select(
+        "flow_id", "label", F.round("weight", 9).alias("weight"))
+
+
+@query("undersample_minority", with_views(f"""WITH {ranked_sql('flows', 'label', 'flow_id', 'rk')}
+SELECT flow_id, label FROM rk WHERE rk <= (SELECT min(n) FROM (SELECT count(*) AS n FROM flows GROUP BY label) t)
+""", "flows"))
+def q_undersample_minority(spark, sf):
+    return B.undersample(flows(spark, sf), "label", "flow_id").select("flow_id", "label")
+
+
+@query("undersample_targets", with_views(f"""WITH {ranked_sql('flows', 'label', 'flow_id', 'rk')}
+SELECT flow_id, label FROM rk WHERE rk <= CASE label WHEN 'BENIGN' THEN 1000 WHEN 'DoS Hulk' THEN 500 ELSE rk END
+""", "flows"))
+def q_undersample_targets(spark, sf):
+    return B.undersample(flows(spark, sf), "label", "flow_id", _TARGETS).select("flow_id", "label")
+
+
+@query("oversample_majority", with_views(f"""WITH c AS (SELECT label, count(*) AS n FROM flows GROUP BY label),
+m AS (SELECT max(n) AS mx FROM c),
+e AS (SELECT label, n, (mx - n) // n AS full_copies, (mx - n) % n AS rem FROM c, m),
+{ranked_sql('flows', 'label', 'flow_id', 'rk')}
+SELECT flow_id, label, CAST(copy AS INTEGER) AS copy FROM rk JOIN e USING (label),
+  range(0, full_copies + CASE WHEN rk <= rem THEN 1 ELSE 0 END + 1) t(copy)
+""", "flows"))
+def q_oversample_majority(spark, sf):
+    return B.oversample(flows(spark, sf), "label", "flow_id").select("flow_id", "label", "copy")
+
+
+@query("weighted_sample")
+def q_weighted_sample(spark, sf):
+    return B.weighted_sample(flows(spark, sf), "label", "flow_id").select("flow_id", "label", "copy")
+
+
+@query("stage_counts", with_views(f"""WITH {ranked_sql('flows', 'label', 'flow_id', 'rk')}
+SELECT 'before' AS stage, label, count(*) AS cnt FROM flows GROUP BY label
+UNION ALL
+SELECT 'after', label, count(*) FROM rk
+WHERE rk <= CASE label WHEN 'BENIGN' THEN 1000 WHEN 'DoS Hulk' THEN 500 ELSE rk END GROUP BY label
+""", "flows"))
+def q_stage_counts(spark, sf):
+    f = flows(spark, sf)
+    return B.stage_counts({"before": f, "after": B.undersample(f, "label", "flow_id", _TARGETS)}, "label")
+
+
+@query("minority_class", with_views("""
+SELECT arg_min(label, (cnt, label)) AS label, min(cnt) AS cnt
+FROM (SELECT y_true AS label, count(*) AS cnt FROM scores WHERE split = 'train' GROUP BY y_true) t
+""", "scores"))
+def q_minority_class(spark, sf):
+    from ..sources.fixtures import scores
+    s = scores(spark, sf).where("split = 'train'").withColumnRenamed("y_true", "label")
+    return B.minority_class(s, "label")
