@@ -65,7 +65,7 @@ def with_value_bucket(df: DataFrame, order_col: str, descending: bool = False,
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(), bucket: Column | None = None,
-                descending: bool = False, prefix: str = "cum_") -> DataFrame:
+                descending: bool = False, prefix: str = "cum_", tiebreak=()) -> DataFrame:
     """Add inclusive running sums ``prefix + c`` of ``sum_cols`` within
     ``group_cols`` ordered by ``order_col``.
 
@@ -81,7 +81,8 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(), bucket:
     offsets = totals.select(*keys, *[F.coalesce(F.sum(c).over(w_off), F.lit(0)).alias(f"_off_{c}")
                                      for c in sum_cols])
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
-    w_in = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_in = Window.partitionBy(*keys).orderBy(o, *[F.col(t) for t in tiebreak]).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     local = d.withColumns({f"_loc_{c}": F.sum(c).over(w_in) for c in sum_cols})
     cond = [local[k].eqNullSafe(offsets[k]) for k in keys]
     j = local.join(offsets, cond, "left")
