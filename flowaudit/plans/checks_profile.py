@@ -620,3 +620,89 @@ def q_iqr_outlier_flags(spark, sf):
     ev = table(spark, sf, "events")
     qm = A.quantile_map(A.quantiles(ev, ["value"], [0.25, 0.75]))
     return ev.select("event_id", R.iqr_outlier("value", qm[("value", 0.25)], qm[("value", 0.75)]).alias("is_outlier"))
+
+
+# ---- S: CSV ingest round trip ---------------------------------------------------
+
+_RAW_NAMES = {"row_id": "Row Id", "label": "Label", "flow_duration": " Flow Duration",
+              "total_fwd_packets": " Total Fwd Packets", "total_backward_packets": "Total Backward Packets",
+              "total_length_of_fwd_packets": "Total Length of Fwd Packets", "flow_bytes_s": "Flow Bytes/s",
+              "bwd_psh_flags": "Bwd PSH Flags", "cwe_flag_count": "CWE Flag Count",
+              "subflow_fwd_packets": "Subflow Fwd Packets"}
+
+
+@query("csv_roundtrip", with_views(
+    "SELECT CAST(row_id AS DOUBLE) AS row_id, label, day, " + ", ".join(
+        f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS {c}" for c in DIRTY_FEATURES) + " FROM flows_dirty",
+    "flows_dirty"))
+def q_csv_roundtrip(spark, sf):
+    """The dirty flows written as one CSV folder per capture day
+    (Monday with another column order), read back with :func:`read_flows`."""
+    from ..sources.flows import read_flows
+    from ..sources.store import scratch_path
+    d = flows_dirty(spark, sf)
+    base = scratch_path(spark, "csv")
+    order = list(_RAW_NAMES)
+    for day in ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]:
+        cols = order if day != "Monday" else list(reversed(order))
+        part = d.where(F.col("day") == day).select(*[F.col(c).alias(_RAW_NAMES[c]) for c in cols])
+        part.write.mode("overwrite").option("header", True).csv(f"{base}/{day}-WorkingHours.pcap_ISCX.csv")
+    back = read_flows(spark, base, names="snake", label="Label")
+    return back.select("row_id", "label", "day", *DIRTY_FEATURES)
+
+
+# ---- C18 / C19 compositions (long form: the kept columns depend on the data) ---
+
+from . import audit as _audit  # noqa: E402
+from . import paper as _paper  # noqa: E402
+
+_MED = ("med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in DIRTY_FEATURES) + " FROM c1),\n"
+        "imp AS (SELECT row_id, label, " + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in DIRTY_FEATURES)
+        + " FROM c1, med)")
+
+
+@query("clean_audit", with_views(f"""WITH c1 AS ({_DIRTY_C1}), {_MED},
+lng AS ({_long_sql('imp', DIRTY_FEATURES)}),
+const AS (SELECT feature FROM lng GROUP BY feature HAVING count(DISTINCT value) <= 1),
+pairs AS (SELECT a.feature AS fa, b.feature AS fb FROM lng a JOIN lng b ON a.row_id = b.row_id AND a.pos < b.pos
+          WHERE a.feature NOT IN (SELECT feature FROM const) AND b.feature NOT IN (SELECT feature FROM const)
+          GROUP BY a.feature, b.feature HAVING bool_and(a.value IS NOT DISTINCT FROM b.value)),
+dups AS (SELECT DISTINCT fb AS feature FROM pairs)
+SELECT row_id, feature, {R.sig_round_sql('value')} AS value FROM lng
+WHERE feature NOT IN (SELECT feature FROM const) AND feature NOT IN (SELECT feature FROM dups)
+""", "flows_dirty"))
+def q_clean_audit(spark, sf):
+    out, _, _, _, sch = _audit.clean_audit(flows_dirty(spark, sf), DIRTY)
+    return _to_long(out, list(sch.features)).select("row_id", "feature", R.sig_round("value").alias("value"))
+
+
+@query("clean_audit_labels", with_views("""
+SELECT row_id, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS multi_label,
+       CAST(label <> 'BENIGN' AS INTEGER) AS binary_label FROM flows_dirty
+""", "flows_dirty"))
+def q_clean_audit_labels(spark, sf):
+    out = _audit.clean_audit(flows_dirty(spark, sf), DIRTY)[0]
+    return out.select("row_id", "multi_label", "binary_label")
+
+
+_PAPER_PAIRS = _pairs_sql("c2", DIRTY_FEATURES, "corr({a}, {b})")
+
+
+@query("clean_paper", with_views(f"""WITH c3 AS (SELECT * EXCLUDE (cnt) FROM (
+    SELECT *, count(*) OVER (PARTITION BY {_DF}, label, day) AS cnt FROM flows_dirty) t WHERE cnt = 1),
+c2 AS (SELECT * FROM c3 WHERE """ + " AND ".join(f"{c} IS NOT NULL AND isfinite({c})" for c in DIRTY_FEATURES) + f"""),
+sd AS ({_per_column(DIRTY_FEATURES, 'stddev_samp({c}) AS sd', 'c2')}),
+kept7 AS (SELECT feature FROM sd WHERE NOT (sd < 0.01)),
+pr AS ({_PAPER_PAIRS}),
+c11 AS (SELECT DISTINCT feature_a AS feature FROM pr WHERE r > 0.98 AND NOT isnan(r)
+        AND feature_a IN (SELECT feature FROM kept7) AND feature_b IN (SELECT feature FROM kept7)),
+lng AS ({_long_sql('c2', DIRTY_FEATURES)})
+SELECT l.row_id, {_FAMILY_SQL.replace('CASE label', 'CASE c2.label')} AS label_category, l.feature,
+       {R.sig_round_sql('l.value')} AS value
+FROM lng l JOIN c2 ON c2.row_id = l.row_id
+WHERE l.feature IN (SELECT feature FROM kept7) AND l.feature NOT IN (SELECT feature FROM c11)
+""", "flows_dirty"))
+def q_clean_paper(spark, sf):
+    out, keep = _paper.clean_paper(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "day")
+    return (out.select("row_id", "label_category", *keep).unpivot(["row_id", "label_category"], keep, "feature", "value")
+               .select("row_id", "label_category", "feature", R.sig_round("value").alias("value")))
