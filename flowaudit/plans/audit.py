@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.labels import LabelEncoder, binary_label
 from ..functions.missing import replace_infs
 from ..operators import clean as C
+from ..operators import correlation as K
 from ..operators import duplicates as U
 from ..operators import profile as A
 from ..operators.fitted import MedianImputer
@@ -48,7 +49,7 @@ def run_eda(df: DataFrame, schema: FlowSchema) -> dict[str, DataFrame]:
         "near_constant_features": A.near_constant_columns(df, feats),
         "duplicate_rows": U.exact_duplicate_count(df, schema),
         "class_distribution": A.label_counts(df, schema.label),
-        "duplicate_columns": __import__("flowaudit.operators.correlation", fromlist=["x"]).duplicate_column_pairs(df, feats),
+        "duplicate_columns": K.duplicate_column_pairs(df, feats),
     }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators import fitted as FT
 from ..operators import forensics as X
@@ -258,7 +258,7 @@ def q_centred_pca(spark, sf):
 @query("importance_selection")
 def q_importance_selection(spark, sf):
     tr, _, _ = model_data(spark, sf, False)
-    si = tr.withColumn("label_idx", F.dense_rank().over(__import__("pyspark.sql").sql.Window.orderBy("label")) - 1)
+    si = tr.withColumn("label_idx", F.dense_rank().over(Window.orderBy("label")) - 1)
     m = FT.ImportanceSelector(inputCols=FLOW_FEATURES, labelCol="label_idx").fit(si)
     return spark.createDataFrame([(c,) for c in m.kept()], "feature string")
 
@@ -291,3 +291,120 @@ def q_under_then_smote(spark, sf):
     feats = ["total_fwd_packets", "total_backward_packets", "fwd_packet_length_max", "flow_duration"]
     return under_then_smote(f, "label", "flow_id", feats, under={"BENIGN": 2000, "DoS Hulk": 1000},
                             over={"Heartbleed": 500, "Infiltration": 500, "Bot": 500, "DDoS": 500})
+
+
+# ---- experiments and attribution (rows only) ----------------------------------
+
+from . import experiments as XP  # noqa: E402
+from ..operators.profile import wide_stats as A_wide  # noqa: E402
+from ..operators import explain as XA  # noqa: E402
+from ..sources.fixtures import DIRTY_FEATURES, flows_dirty  # noqa: E402
+
+_RF = {"Random Forest": ("forest", {"numTrees": 20, "maxDepth": 10})}
+
+
+@query("threshold_analysis_val")
+def q_threshold_analysis_val(spark, sf):
+    sweep, _ = XP.threshold_analysis(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
+                                     numTrees=50, maxDepth=10)
+    return sweep
+
+
+@query("threshold_analysis_test")
+def q_threshold_analysis_test(spark, sf):
+    _, chosen = XP.threshold_analysis(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
+                                      numTrees=50, maxDepth=10)
+    return chosen
+
+
+@query("cv_results")
+def q_cv_results(spark, sf):
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=5)[0]
+
+
+@query("cv_bootstrap_ci")
+def q_cv_bootstrap_ci(spark, sf):
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=2)[1]
+
+
+@query("ablation")
+def q_ablation(spark, sf):
+    return XP.ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
+                       numTrees=20, maxDepth=10)
+
+
+@query("imbalance_ablation")
+def q_imbalance_ablation(spark, sf):
+    return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
+                                 numTrees=20, maxDepth=10)
+
+
+@query("paper_imbalance_grid")
+def q_paper_imbalance_grid(spark, sf):
+    """The neural network under none / class weight (as weighted sampling) / undersample / SMOTE."""
+    return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="mlp",
+                                 strategies=["none", "class_weight", "undersample", "smote"],
+                                 hidden=[64, 64], maxIter=50)
+
+
+@query("clipping_experiment")
+def q_clipping_experiment(spark, sf):
+    return XP.clipping_experiment(flows(spark, sf), FLOW_FEATURES, "label", "flow_id")
+
+
+@query("redundancy_experiment")
+def q_redundancy_experiment(spark, sf):
+    return XP.redundancy_experiment(flows(spark, sf), FLOW_FEATURES, "label", "flow_id")
+
+
+@query("split_strategy_experiment")
+def q_split_strategy_experiment(spark, sf):
+    return XP.split_strategy_experiment(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "row_id", _RF)
+
+
+def _binary_model(spark, sf):
+    tr, te, _ = model_data(spark, sf, True)
+    (tr, te), feats = XP.prepare(tr, [te], FLOW_FEATURES, scale=False)
+    m = M.fit(tr, feats, "y", "forest", numTrees=20, maxDepth=10)
+    return m, tr, te, feats
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    m, tr, te, feats = _binary_model(spark, sf)
+    return XA.permutation_importance(m, te, feats, "y", "flow_id", repeats=5)
+
+
+def _attribution(spark, sf):
+    from ..operators.splits import sample_without_replacement
+    m, tr, te, feats = _binary_model(spark, sf)
+    base = {r["feature"]: r["m"] for r in A_wide(
+        tr, feats, {"m": lambda c: F.avg(c)}).collect()}
+    rows = sample_without_replacement(te, "flow_id", 1000)
+    return XA.sampled_shapley(m, rows, feats, base, key="flow_id", n_perm=10), m, feats, te
+
+
+@query("global_attribution")
+def q_global_attribution(spark, sf):
+    attr, _, _, _ = _attribution(spark, sf)
+    return XA.global_attribution(attr)
+
+
+@query("local_attribution")
+def q_local_attribution(spark, sf):
+    """X3 for the first representative of each cohort (F8)."""
+    m, tr, te, feats = _binary_model(spark, sf)
+    base = {c: v for c, v in zip(feats, tr.select(*[F.avg(c) for c in feats]).first())}
+    sc = m.score(te, keep=["flow_id"]).withColumn("y", F.col("y_true").cast("int")) \
+          .withColumn("pred", F.col("y_pred").cast("int"))
+    firsts = X.cohorts(sc, key="flow_id").select("cohort", F.col("first_flow_id").alias("flow_id"))
+    rows = te.join(firsts, "flow_id")
+    attr = XA.sampled_shapley(m, rows, feats, base, key="flow_id", n_perm=10)
+    return XA.local_top(attr, "flow_id").join(firsts, "flow_id")
+
+
+@query("global_importance_table")
+def q_global_importance_table(spark, sf):
+    attr, m, feats, te = _attribution(spark, sf)
+    perm = XA.permutation_importance(m, te, feats, "y", "flow_id", repeats=5)
+    return XA.global_table(perm, m.importances(20), XA.global_attribution(attr, top=len(feats)))
