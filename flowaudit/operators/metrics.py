@@ -17,6 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import spread
 from .ordered import hash_unit, prefix_sums
 
 
@@ -64,15 +65,21 @@ def normalised_confusion(scored: DataFrame, y: str, pred: str, by=()) -> DataFra
 
 
 def class_stats(cm: DataFrame, by=()) -> DataFrame:
-    """(by..., cls, tp, p, t, total) from a confusion-count table."""
+    """(by..., cls, tp, p, t, total) from a confusion-count table.
+
+    Every cell contributes to the true-class and the predicted-class rows
+    (explode), so one aggregate yields all per-class counts - no joins."""
     user_by = list(by)
     cm, by = _with_group(cm, user_by)
-    t = cm.groupBy(*by, F.col("y_true").alias("cls")).agg(F.sum("cnt").alias("t"))
-    p = cm.groupBy(*by, F.col("y_pred").alias("cls")).agg(F.sum("cnt").alias("p"))
-    tp = cm.where(F.col("y_true") == F.col("y_pred")).groupBy(*by, F.col("y_true").alias("cls")) \
-           .agg(F.sum("cnt").alias("tp"))
-    tot = cm.groupBy(*by).agg(F.sum("cnt").alias("total"))
-    st = t.join(p, by + ["cls"], "full").join(tp, by + ["cls"], "left").na.fill(0, ["t", "p", "tp"]).join(tot, by)
+    zero = F.lit(0).cast(cm.schema["cnt"].dataType)
+    contrib = F.array(
+        F.struct(F.col("y_true").alias("cls"), F.col("cnt").alias("t"), zero.alias("p"),
+                 F.when(F.col("y_true") == F.col("y_pred"), F.col("cnt")).otherwise(zero).alias("tp")),
+        F.struct(F.col("y_pred").alias("cls"), zero.alias("t"), F.col("cnt").alias("p"), zero.alias("tp")))
+    st = (cm.select(*by, F.explode(contrib).alias("c"))
+            .groupBy(*by, F.col("c.cls").alias("cls"))
+            .agg(F.sum("c.tp").alias("tp"), F.sum("c.p").alias("p"), F.sum("c.t").alias("t")))
+    st = st.withColumn("total", F.sum("t").over(Window.partitionBy(*by)))
     return st.drop(_G) if not user_by else st
 
 
@@ -111,6 +118,7 @@ def summary_from_stats(st: DataFrame, by=(), beta: float = 2.0) -> DataFrame:
         F.sum(F.col("p") * F.col("t")).alias("_pt"),
         F.sum(F.col("p") * F.col("p")).alias("_pp"),
         F.sum(F.col("t") * F.col("t")).alias("_tt"),
+        F.count_if(F.col("t") > 0).alias("n_true_classes"),
     ]
     g = st.groupBy(*by).agg(*agg) if by else st.agg(*agg)
     s, c = F.col("_s").cast("double"), F.col("_c").cast("double")
@@ -121,7 +129,7 @@ def summary_from_stats(st: DataFrame, by=(), beta: float = 2.0) -> DataFrame:
 
 def summary_metrics(scored: DataFrame, y: str, pred: str, by=(), beta: float = 2.0) -> DataFrame:
     """E4 + E6 + E7 (macro) + E8 (multiclass MCC)."""
-    return summary_from_stats(class_stats(confusion_counts(scored, y, pred, by), by), by, beta)
+    return summary_from_stats(class_stats(confusion_counts(scored, y, pred, by), by), by, beta).drop("n_true_classes")
 
 
 def binary_counts(scored: DataFrame, y: str, pred: str, by=(), weight: str | None = None) -> DataFrame:
@@ -332,14 +340,14 @@ def bootstrap_metrics(scored: DataFrame, y: str, pred: str, key: str, iterations
     iteration from md5(seed-key-iter).  All iterations run in one job; the
     only shuffle is the (iteration, y, pred) weighted count table."""
     it = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iter")
-    rows = scored.select(F.col(key), F.col(y).alias("_y"), F.col(pred).alias("_p"), it)
-    w = poisson_weight(hash_unit(key, seed, F.col("iter")))
-    weighted = rows.select("iter", "_y", "_p", w.alias("w")).where(F.col("w") > 0)
+    rows = spread(scored.select(F.col(key), F.col(y).alias("_y"), F.col(pred).alias("_p"))).select("*", it)
+    # the uniform is its own column so the inverse-CDF chain reads it instead of
+    # re-hashing in every branch
+    u = rows.select("iter", "_y", "_p", hash_unit(key, seed, F.col("iter")).alias("_u"))
+    weighted = u.select("iter", "_y", "_p", poisson_weight(F.col("_u")).alias("w")).where(F.col("w") > 0)
     cm = weighted.groupBy("iter", F.col("_y").alias("y_true"), F.col("_p").alias("y_pred")).agg(
         F.sum("w").alias("cnt"))
-    st = class_stats(cm, ["iter"])
-    n_true = cm.groupBy("iter").agg(F.count_distinct("y_true").alias("n_true_classes"))
-    s = summary_from_stats(st, ["iter"]).join(n_true, "iter")
+    s = summary_from_stats(class_stats(cm, ["iter"]), ["iter"])
     return s.select("iter", "macro_f1", "mcc", "n_true_classes")
 
 

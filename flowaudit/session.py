@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "flowaudit",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """Session tuned for the operators in this package.
 
     AQE re-plans joins and coalesces shuffle partitions at run time; skew-join
@@ -34,6 +34,8 @@ def get_spark(master: str | None = None, app: str = "flowaudit",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FLOWAUDIT_DRIVER_MEMORY", "16g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -69,3 +71,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``defaultParallelism`` partitions
+    before a row-multiplying step (explode over iterations, permutations,
+    coalitions).  Large inputs already have many splits and pass through
+    unchanged; only narrow inputs pay one small shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
