@@ -90,3 +90,16 @@ def one_vs_rest(c, classes) -> Column:
     """Indicator array (y == class) over a known class list."""
     c = _c(c)
     return F.array(*[(c == F.lit(k)).cast("int") for k in classes])
+
+
+def one_hot_drop_first(df: DataFrame, cols, max_levels: int = MAX_CLASSES) -> DataFrame:
+    """One 0/1 column per level except the first (alphabetical), for the
+    given categorical columns; levels are bounded and checked.  Numeric-only
+    tables pass through unchanged (empty column list)."""
+    out = df
+    for c in cols:
+        levels = class_list(df, c) if max_levels else []
+        for lv in levels[1:]:
+            out = out.withColumn(f"{c}_{lv}", (F.col(c) == F.lit(lv)).cast("double"))
+        out = out.drop(c)
+    return out

@@ -220,3 +220,25 @@ def evaluate_all(models: dict, test: DataFrame, task: str = "multiclass", keep=(
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     """Join two single-row frames on a constant key."""
     return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def model_from_config(config: dict) -> tuple[str, dict]:
+    """(kind, params) from a ``{"model": {"type": ..., "args": {...}}}`` config.
+
+    ``MLP`` maps to the Spark multilayer perceptron with the configured hidden
+    sizes; ``DBN`` (a stacked-RBM network, not built) is served by the same
+    perceptron with its hidden sizes; other names map to the classic models."""
+    m = config.get("model", config)
+    kind, args = m.get("type"), dict(m.get("args", {}))
+    import re
+    numbered = sorted((int(mm.group(1)), v) for k, v in args.items() if (mm := re.fullmatch(r"hidden(\d+)_size", k)))
+    hidden = ([v for _, v in numbered] or args.get("hidden_sizes") or args.get("n_hidden") or [128, 64, 32])
+    if isinstance(hidden, int):
+        hidden = [hidden]
+    if kind in ("MLP", "DBN"):
+        return "mlp", {"hidden": list(hidden), "maxIter": int(args.get("max_iter", 200))}
+    table = {"LogisticRegression": "logreg", "DecisionTree": "tree", "RandomForest": "forest",
+             "GradientBoosting": "gbt_ovr", "XGB": "gbt_ovr"}
+    if kind not in table:
+        raise NotImplementedError(f"The model {kind} is not implemented")
+    return table[kind], args

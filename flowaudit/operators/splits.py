@@ -166,3 +166,19 @@ def split_proportions(df: DataFrame, label: str, split_col: str = "split") -> Da
     return (g.withColumn("share", F.col("cnt") / F.sum("cnt").over(w_split))
              .withColumn("overall_share", F.sum("cnt").over(w_class) / F.sum("cnt").over(Window.partitionBy()))
              .withColumn("gap", F.abs(F.col("share") - F.col("overall_share"))))
+
+
+def resample_with_replacement(df: DataFrame, key: str, n: int | None = None, seed: int = 0,
+                              copy_col: str = "copy") -> DataFrame:
+    """``n`` draws with replacement (default n = rows); draw i picks row
+    position ``floor(u_i * N) + 1`` in hash order.  Draws are counted per
+    position before the join, so a row drawn many times is one join key."""
+    from .ordered import hash_unit
+    total = df.count()
+    n = n or total
+    spark = df.sparkSession
+    draws = spark.range(n).select((F.floor(hash_unit("id", seed) * total) + 1).cast("bigint").alias("_pos"))
+    mult = draws.groupBy("_pos").agg(F.count(F.lit(1)).alias("_mult"))
+    ranked = hash_rank(df, [], key, seed, out="_pos", counts={(): total})
+    return (ranked.join(mult, "_pos").withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int"))))
+                  .drop("_pos", "_mult"))

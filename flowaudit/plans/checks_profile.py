@@ -706,3 +706,39 @@ def q_clean_paper(spark, sf):
     out, keep = _paper.clean_paper(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "day")
     return (out.select("row_id", "label_category", *keep).unpivot(["row_id", "label_category"], keep, "feature", "value")
                .select("row_id", "label_category", "feature", R.sig_round("value").alias("value")))
+
+
+@query("one_hot_drop_first", """
+SELECT event_id, CAST(event_type = 'error' AS DOUBLE) AS event_type_error,
+       CAST(event_type = 'purchase' AS DOUBLE) AS event_type_purchase,
+       CAST(event_type = 'signup' AS DOUBLE) AS event_type_signup,
+       CAST(event_type = 'view' AS DOUBLE) AS event_type_view FROM events
+""")
+def q_one_hot_drop_first(spark, sf):
+    """P21 on the events' categorical column (levels: alphabetical, first dropped)."""
+    return L.one_hot_drop_first(table(spark, sf, "events").select("event_id", "event_type"), ["event_type"])
+
+
+@query("pearson_sample", with_views(
+    f"WITH c1 AS ({_DIRTY_C1}), smp AS (SELECT * FROM c1 ORDER BY md5(concat('42-', CAST(row_id AS VARCHAR))), row_id"
+    " LIMIT 10000), pr AS (" + _pairs_sql("smp", DIRTY_FEATURES, "corr({a}, {b})") + ")"
+    " SELECT feature_a, feature_b, round(r, 6) AS r FROM pr", "flows_dirty"))
+def q_pearson_sample(spark, sf):
+    """A23 + A21: correlation on a 10,000-row hash-ordered sample (the limit is the feature)."""
+    from ..operators.splits import sample_without_replacement
+    smp = sample_without_replacement(dirty_c1(spark, sf), "row_id", 10000)
+    return K.pearson_pairs(smp, DIRTY_FEATURES).withColumn("r", F.round("r", 6))
+
+
+@query("table_roundtrip", with_views("""
+SELECT label, count(*) AS cnt FROM flows_dirty GROUP BY label
+""", "flows_dirty"))
+def q_table_roundtrip(spark, sf):
+    """S13 + S14 (CSV) and S15 (JSON): a result table written and read back."""
+    from ..sources.store import read_table, scratch_path, write_table
+    t = A.label_counts(flows_dirty(spark, sf), "label").select("label", "cnt")
+    p1, p2 = scratch_path(spark, "csv"), scratch_path(spark, "json")
+    write_table(t, p1, "csv")
+    write_table(t, p2, "json")
+    back = read_table(spark, p1, "csv").join(read_table(spark, p2, "json").withColumnRenamed("cnt", "cnt2"), "label")
+    return back.where(F.col("cnt") == F.col("cnt2")).select("label", F.col("cnt").cast("bigint").alias("cnt"))

@@ -281,3 +281,31 @@ def q_minority_class(spark, sf):
     from ..sources.fixtures import scores
     s = scores(spark, sf).where("split = 'train'").withColumnRenamed("y_true", "label")
     return B.minority_class(s, "label")
+
+
+# ---- S10/S11, T11 ---------------------------------------------------------------
+
+@query("split_roundtrip", with_views(f"""WITH {three_way_sql('flows', 'label', 'flow_id')}
+SELECT flow_id, label FROM tw WHERE split = 'test'
+""", "flows"))
+def q_split_roundtrip(spark, sf):
+    """S10 + S11: the 60/20/20 split written partitioned by split, the test part read back (pruned)."""
+    from ..sources.store import read_split, scratch_path, write_split
+    path = scratch_path(spark, "split")
+    write_split(S.three_way_split(flows(spark, sf), "label", "flow_id").select("flow_id", "label", "split"), path)
+    return read_split(spark, path, "test").select("flow_id", "label")
+
+
+_U_DRAW = ("CAST(('0x' || substr(md5(concat('7-', CAST(id AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0")
+
+
+@query("resample_with_replacement", f"""
+WITH n AS (SELECT count(*) AS n FROM events),
+draws AS (SELECT CAST(floor({_U_DRAW} * n) + 1 AS BIGINT) AS pos FROM range(0, (SELECT n FROM n)) r(id), n),
+mult AS (SELECT pos, count(*) AS m FROM draws GROUP BY pos),
+{ranked_sql('events', None, 'event_id', 'rk', 7)}
+SELECT event_id, CAST(c AS INTEGER) AS copy FROM rk JOIN mult ON rk.rk = mult.pos, range(1, m + 1) t(c)
+""")
+def q_resample_with_replacement(spark, sf):
+    r = S.resample_with_replacement(table(spark, sf, "events"), "event_id", seed=7)
+    return r.select("event_id", F.col("copy").cast("int"))

@@ -127,3 +127,44 @@ def test_quantiles_match_numpy(spark):
     got = {r["p"]: r["q"] for r in A.quantiles(df, ["v"], probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(np.quantile(v, p), abs=1e-12)
+
+
+def test_streaming_ingest_and_score(spark, tmp_path):
+    from flowaudit.operators import models as M
+    from flowaudit.streaming.ingest import read_flows_stream, score_stream
+    src = tmp_path / "in"
+    src.mkdir()
+    header = "Flow Duration,Total Fwd Packets,Label"
+    lines = [f"{i},{i % 7},{'BENIGN' if i % 3 else 'Bot'}" for i in range(60)]
+    (src / "Friday-WorkingHours.pcap_ISCX.csv").write_text(header + "\n" + "\n".join(lines) + "\n")
+    st = read_flows_stream(spark, str(src), header, names="snake")
+    batch = spark.createDataFrame([(float(i), float(i % 7), "BENIGN" if i % 3 else "Bot") for i in range(60)],
+                                  "flow_duration double, total_fwd_packets double, label string")
+    m = M.fit(batch, ["flow_duration", "total_fwd_packets"], "label", "tree", maxDepth=3)
+    q = score_stream(st, m, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 60 and set(out.columns) >= {"y_true", "y_pred", "probs", "epoch"}
+
+
+def test_model_config_and_persistence(spark, tmp_path):
+    from flowaudit.operators import models as M
+    assert M.model_from_config({"model": {"type": "MLP", "args": {"hidden1_size": 64, "hidden2_size": 64}}}) == \
+        ("mlp", {"hidden": [64, 64], "maxIter": 200})
+    df = spark.createDataFrame([(float(i), "a" if i % 2 else "b") for i in range(40)], "x double, label string")
+    m = M.fit(df, ["x"], "label", "logreg")
+    m.save(str(tmp_path / "m"))
+    back = M.FlowModel.load(str(tmp_path / "m"), "logreg", ["x"], "label", m.classes)
+    a = [r["y_pred"] for r in m.score(df).collect()]
+    b = [r["y_pred"] for r in back.score(df).collect()]
+    assert a == b
+
+
+def test_one_hot_and_resample(spark):
+    from flowaudit.functions.labels import one_hot_drop_first
+    from flowaudit.operators.splits import resample_with_replacement
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z"), (4, "y")], "id long, c string")
+    oh = one_hot_drop_first(df, ["c"])
+    assert oh.columns == ["id", "c_y", "c_z"]
+    r = resample_with_replacement(df, "id", n=100, seed=3)
+    assert r.count() == 100
