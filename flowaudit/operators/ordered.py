@@ -47,14 +47,22 @@ def with_value_bucket(df: DataFrame, order_col: str, descending: bool = False,
     (B = rows / target, at least one), applied with ``Bucketizer`` (a binary
     search on the JVM).  NULLs go first, NaN last; negated when descending."""
     target = target or bucket_rows(df.sparkSession)
-    n = df.count()
-    nb = max(1, math.ceil(n / target))
     x = F.col(order_col).cast("double")
+    # one pass: the row count and a fixed grid of split candidates
+    grid = 1024
+    row = df.select(F.count(F.lit(1)).alias("n"),
+                    F.percentile_approx(x, [i / grid for i in range(1, grid)], 20 * grid).alias("qs")).first()
+    n = row["n"]
+    nb = max(1, math.ceil(n / target))
     if nb == 1:
         out = df.withColumn(_B, F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), F.lit(1)).otherwise(F.lit(0)))
     else:
-        probs = [i / nb for i in range(1, nb)]
-        qs = df.select(F.percentile_approx(x, probs, 10 * nb + 10000)).first()[0]
+        if nb < grid:
+            step = grid / nb
+            qs = [row["qs"][min(grid - 2, int(round(i * step)) - 1)] for i in range(1, nb)]
+        else:
+            probs = [i / nb for i in range(1, nb)]
+            qs = df.select(F.percentile_approx(x, probs, 10 * nb + 10000)).first()[0]
         splits = sorted({float(q) for q in qs if q is not None and not math.isnan(q)} - {float("inf"), float("-inf")})
         splits = [float("-inf")] + splits + [float("inf")]
         bz = Bucketizer(splits=splits, inputCol="_fa_x", outputCol="_fa_bz", handleInvalid="keep")

@@ -57,7 +57,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float, seed
     ``names[1]``, chosen by hash rank within the class."""
     counts = _counts(df, label)
     q = largest_remainder(counts, test_size)
-    r = hash_rank(df, [label], key, seed, out="_rank")
+    r = hash_rank(df, [label], key, seed, out="_rank", counts={(k,): c for k, c in counts.items()})
     return r.withColumn(out, F.when(F.col("_rank") <= _quota_col(label, q), names[1])
                         .otherwise(names[0])).drop("_rank")
 
@@ -68,14 +68,15 @@ def stratified_sample(df: DataFrame, label: str, key: str, frac: float, seed: in
 
 
 def three_way_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,
-                    val_size: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
+                    val_size: float = 0.2, seed: int = 42, out: str = "split",
+                    counts: dict | None = None) -> DataFrame:
     """Stratified test, then stratified val from the rest with
     ``val_size / (1 - test_size)``; one hash rank serves both cuts."""
-    counts = _counts(df, label)
+    counts = counts if counts is not None else _counts(df, label)
     qt = largest_remainder(counts, test_size)
     rest = {k: counts[k] - qt[k] for k in counts}
     qv = largest_remainder(rest, val_size / (1.0 - test_size))
-    r = hash_rank(df, [label], key, seed, out="_rank")
+    r = hash_rank(df, [label], key, seed, out="_rank", counts={(k,): c for k, c in counts.items()})
     t, v = _quota_col(label, qt), _quota_col(label, qv)
     return r.withColumn(out, F.when(F.col("_rank") <= t, "test")
                         .when(F.col("_rank") <= t + v, "val").otherwise("train")).drop("_rank")
@@ -88,11 +89,11 @@ def paper_split(df: DataFrame, label: str, key: str, train_size: float = 0.6,
     ``ceil(test/(val+test) * n_rest)`` rows become val, the others test."""
     counts = _counts(df, label)
     q_rest = largest_remainder(counts, val_size + test_size)
-    r = hash_rank(df, [label], key, seed, out="_rank")
+    r = hash_rank(df, [label], key, seed, out="_rank", counts={(k,): c for k, c in counts.items()})
     rest = r.withColumn("_rest", F.col("_rank") <= _quota_col(label, q_rest))
     n_rest = sum(q_rest.values())
     n_val = math.ceil(test_size / (val_size + test_size) * n_rest - 1e-9)
-    r2 = hash_rank(rest.where("_rest"), [], key, seed, out="_rank2")
+    r2 = hash_rank(rest.where("_rest"), [], key, seed, out="_rank2", counts={(): n_rest})
     tagged = r2.withColumn(out, F.when(F.col("_rank2") <= n_val, "val").otherwise("test"))
     train = rest.where(~F.col("_rest")).withColumn(out, F.lit("train"))
     cols = df.columns + [out]
@@ -110,7 +111,7 @@ def grouped_split(df: DataFrame, features, key: str, test_size: float = 0.2,
     n_groups = groups.count()
     n_test = math.ceil(test_size * n_groups - 1e-9)
     n_val = math.ceil(val_size / (1.0 - test_size) * (n_groups - n_test) - 1e-9)
-    ranked = hash_rank(groups, [], "_gid", seed, out="_grank")
+    ranked = hash_rank(groups, [], "_gid", seed, out="_grank", counts={(): n_groups})
     g = ranked.withColumn(out, F.when(F.col("_grank") <= n_test, "test")
                           .when(F.col("_grank") <= n_test + n_val, "val").otherwise("train"))
     left, right = df.alias("_l"), g.select(*features, out).alias("_r")
@@ -132,7 +133,6 @@ def split(df: DataFrame, strategy: str, label: str, key: str, features=None, day
 
     ``random_original``/``random_deduplicated`` drop classes below
     ``min_class_count`` first (they cannot be stratified)."""
-    from .clean import filter_rare_classes
     from .duplicates import keep_first
     if strategy == "chronological":
         return chronological_split(df, day)
@@ -142,8 +142,9 @@ def split(df: DataFrame, strategy: str, label: str, key: str, features=None, day
         df = keep_first(df, features, key)
     elif strategy != "random_original":
         raise ValueError(f"unknown split strategy {strategy}")
-    df = filter_rare_classes(df, label, min_class_count)
-    return three_way_split(df, label, key, test_size, val_size, seed)
+    counts = {k: v for k, v in _counts(df, label).items() if v >= min_class_count and k is not None}
+    df = df.where(F.col(label).isin(sorted(counts)))
+    return three_way_split(df, label, key, test_size, val_size, seed, counts=counts)
 
 
 def kfold(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:

@@ -67,7 +67,7 @@ m AS (SELECT cls, t, p, tp, total,
 
 @query("per_class_report", with_views(f"""WITH {_STATS_SQL}
 SELECT cls AS class, {_rsql(['prec'])}, {_rsql(['rec'])}, {_rsql(['f1', 'f2'])}, t AS support FROM m
-""".replace("round(prec, 6) AS prec", "round(prec, 6) AS precision").replace("round(rec, 6) AS rec", "round(rec, 6) AS recall"),
+""".replace("round(prec, 6) AS prec", "round(prec, 6) AS precision").replace("round(rec, 6) AS rec", "round(rec, 6) AS recall").replace("t AS support", "CAST(t AS BIGINT) AS support"),
     "scores"))
 def q_per_class_report(spark, sf):
     return _r(E.per_class_report(scores(spark, sf), "y_true", "y_pred"), ["precision", "recall", "f1", "f2"])

@@ -265,7 +265,13 @@ def q_importance_selection(spark, sf):
 
 # ---- J5 / B7-B9: neighbours and SMOTE -------------------------------------
 
-@query("class_knn")
+@query("class_knn", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+d AS (SELECT a.vec_id, a.label, b.vec_id AS neighbour, list_distance(a.x, b.x) AS dist
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, neighbour) - 1 AS rank FROM d)
+SELECT vec_id, label, CAST(rank AS INTEGER) AS rank, neighbour, round(dist, 6) AS distance FROM r WHERE rank < 5
+""")
 def q_class_knn(spark, sf):
     from ..operators.smote import class_knn
     e = table(spark, sf, "embeddings")
@@ -273,7 +279,8 @@ def q_class_knn(spark, sf):
     wide = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(cols[i]) for i in range(64)])
     nn = class_knn(wide, "label", "vec_id", cols, k=5)
     return nn.select("vec_id", "label", F.posexplode("nbrs").alias("rank", "nb")).select(
-        "vec_id", "label", "rank", F.col("nb.key").alias("neighbour"), F.round("nb.d", 6).alias("distance"))
+        "vec_id", "label", F.col("rank").cast("int").alias("rank"), F.col("nb.key").alias("neighbour"),
+        F.round("nb.d", 6).alias("distance"))
 
 
 @query("smote")
@@ -408,3 +415,12 @@ def q_global_importance_table(spark, sf):
     attr, m, feats, te = _attribution(spark, sf)
     perm = XA.permutation_importance(m, te, feats, "y", "flow_id", repeats=5)
     return XA.global_table(perm, m.importances(20), XA.global_attribution(attr, top=len(feats)))
+
+
+@query("train_all_times")
+def q_train_all_times(spark, sf):
+    """M8: fit several models on one training set; one (model, fit_seconds) row each."""
+    tr, _, _ = model_data(spark, sf, False)
+    models = {"Logistic Regression": ("logreg", {"maxIter": 100}), "Decision Tree": ("tree", {}),
+              "Random Forest": ("forest", {"numTrees": 20, "maxDepth": 10})}
+    return M.train_all(tr, FLOW_FEATURES, "label", models)[1].select("model", F.lit(True).alias("fitted"))

@@ -50,7 +50,8 @@ SELECT {_DF}, count(*) AS n_rows, count(DISTINCT label) AS n_labels
 FROM flows_dirty GROUP BY {_DF} HAVING count(DISTINCT label) > 1
 """, "flows_dirty"))
 def q_conflicting_vectors(spark, sf):
-    return U.conflicting_vectors(flows_dirty(spark, sf), DIRTY).drop("labels")
+    return U.conflicting_vectors(flows_dirty(spark, sf), DIRTY).drop("labels").withColumn(
+        "n_labels", F.col("n_labels").cast("bigint"))
 
 
 @query("duplicates_per_day", with_views(f"""
@@ -385,7 +386,7 @@ def q_describe(spark, sf):
 
 
 @query("describe_categorical", """
-SELECT 'event_type' AS feature, sum(cnt) AS count, count(*) AS unique,
+SELECT 'event_type' AS feature, CAST(sum(cnt) AS BIGINT) AS count, count(*) AS unique,
        arg_min(event_type, (-cnt, event_type)) AS top, max(cnt) AS freq
 FROM (SELECT event_type, count(*) AS cnt FROM events WHERE event_type IS NOT NULL GROUP BY event_type) g
 """)

@@ -204,7 +204,37 @@ def q_leaked_rows(spark, sf):
     return J.leaked_rows(sp.where("split = 'train'"), sp.where("split = 'test'"), DIRTY_FEATURES).select("row_id")
 
 
-@query("leakage_by_strategy")
+def _leak_union_sql() -> str:
+    def named(sql: str, name: str) -> str:
+        return sql.replace("lk AS (", f"lk_{name} AS (").replace("FROM lk", f"FROM lk_{name}").replace(
+            "SELECT CAST(coalesce(sum(n_te)", f"SELECT '{name}' AS strategy, CAST(coalesce(sum(n_te)")
+
+    def body(sql: str) -> tuple[str, str]:
+        head, _, tail = sql.rpartition(")\nSELECT ")
+        return head + ")", "SELECT " + tail
+
+    parts = {
+        "random_original": f"""src AS (SELECT * FROM flows_dirty WHERE label IN (SELECT label FROM flows_dirty
+             GROUP BY label HAVING count(*) >= 3)), {three_way_sql('src', 'label', 'row_id')}""",
+    }
+    r_ctes, r_sel = body(named(_leak_sql("tw"), "random_original"))
+    import re
+    d_sql = _DEDUP_SQL
+    for name in ["qt_c", "qt_b", "qt_w", "qt_r", "qt", "qv_c", "qv_b", "qv_w", "qv_r", "qv",
+                 "tw_rest", "tw_rk", "tw", "dd2", "dd"]:
+        d_sql = re.sub(rf"\b{name}\b", "d" + name if name.startswith("d") else "d_" + name, d_sql)
+    d_sql = d_sql.replace("d_tw AS (", "dtw AS (")
+    d_sql = re.sub(r"\bd_tw\b", "dtw", d_sql)
+    d_ctes, d_sel = body(named(_leak_sql("dtw"), "random_deduplicated"))
+    g_ctes, g_sel = body(named(_leak_sql("gsplit"), "grouped"))
+    c_ctes, c_sel = body(named(_leak_sql("ch"), "chronological"))
+    ch = """ch AS (SELECT *, CASE WHEN day IN ('Monday', 'Tuesday', 'Wednesday') THEN 'train'
+      WHEN day = 'Thursday' THEN 'val' WHEN day = 'Friday' THEN 'test' END AS split FROM flows_dirty)"""
+    ctes = ",\n".join([parts["random_original"], r_ctes, d_sql, d_ctes, _GROUPED_SQL, g_ctes, ch, c_ctes])
+    return "WITH " + ctes + "\n" + "\nUNION ALL\n".join([r_sel, d_sel, g_sel, c_sel])
+
+
+@query("leakage_by_strategy", with_views(_leak_union_sql(), "flows_dirty"))
 def q_leakage_by_strategy(spark, sf):
     r = J.leakage_by_strategy(flows_dirty(spark, sf), ["random_original", "random_deduplicated", "grouped",
                                                       "chronological"], "label", "row_id", DIRTY_FEATURES)

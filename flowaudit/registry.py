@@ -16,13 +16,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's is BIGINT.  Wrap every
+    ``count_if(...)`` of a SQL twin in ``CAST(... AS BIGINT)`` (lossless)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _bigint_counts(sql)
         return fn
     return deco
 
