@@ -62,3 +62,18 @@ def duplicate_audit(df: DataFrame, schema: FlowSchema) -> dict:
     return {"exact_duplicates": s["exact_duplicates"], "feature_duplicates_ignoring_label": s["feature_duplicates"],
             "conflicting_label_vectors": s["conflicting_label_vectors"], "duplicates_per_day": per_day,
             "duplicates_per_class": per_cls}
+
+
+def load_flows(spark, path: str, sample_frac: float = 0.10, seed: int = 42, min_class_rows: int = 6):
+    """S1 + S2 + S4 + S6 + P1/P2 + P9 + T1: every CSV under ``path`` (names
+    trimmed, day from the file name, labels normalised), classes with at most
+    five rows removed, then a stratified ``sample_frac`` sample (1.0 keeps all).
+    Rows get a ``row_id`` (stable within one read of the same files)."""
+    from ..operators.splits import stratified_sample
+    from ..sources.flows import read_flows
+    df = read_flows(spark, path, names="strip", label="Label")
+    df = df.withColumn("row_id", F.monotonically_increasing_id())
+    df = C.filter_rare_classes(df, "Label", min_class_rows)
+    if sample_frac < 1.0:
+        df = stratified_sample(df, "Label", "row_id", sample_frac, seed)
+    return df

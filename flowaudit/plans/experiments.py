@@ -80,7 +80,7 @@ def cross_validate(df: DataFrame, features, label: str, key: str, models: dict,
     fold), mean and population std of six scores, mean fit time; then the
     first fold's model is bootstrapped on the held-out test part."""
     spark = df.sparkSession
-    sp = S.stratified_split(df, label, key, test_size, seed)
+    sp = S.stratified_split(df, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     train = S.kfold(sp.where("split = 'train'"), label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
     test = sp.where("split = 'test'")
     rows, boot_rows = [], []
@@ -109,6 +109,7 @@ def cross_validate(df: DataFrame, features, label: str, key: str, models: dict,
         ci = E.bootstrap_ci(E.bootstrap_metrics(sc, "y_true", "y_pred", key, bootstrap_iterations, seed)).first()
         boot_rows.append({"model": name, **ci.asDict()})
     train.unpersist()
+    sp.unpersist()
     return spark.createDataFrame(rows), spark.createDataFrame(boot_rows)
 
 
@@ -125,7 +126,7 @@ def ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "g
     d = C.filter_rare_classes(df, label, 2)
     eng = engineered_features(set(d.columns))
     d_eng = d.withColumns(eng)
-    sp = S.stratified_split(d_eng, label, key, test_size, seed)
+    sp = S.stratified_split(d_eng, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     tr0, te0 = sp.where("split = 'train'"), sp.where("split = 'test'")
     feats0 = list(features)
     out = []
@@ -152,6 +153,7 @@ def ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "g
         s = _multiclass_scores(sc, m.classes)
         sc.unpersist()
         out.append((recipe, len(feats), s["f1_macro"], s["f2_macro"], s["mcc"], s["pr_auc"], fit_s))
+    sp.unpersist()
     return spark.createDataFrame(out, "recipe string, n_features int, f1_macro double, f2_macro double, "
                                       "mcc double, pr_auc double, fit_seconds double")
 
@@ -168,7 +170,7 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
     params = {"maxIter": 50, "maxDepth": 6} if model_kind == "gbt_ovr" else {}
     params.update(model_params)
     d = C.filter_rare_classes(df, label, 2)
-    sp = S.stratified_split(d, label, key, test_size, seed)
+    sp = S.stratified_split(d, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
     mc = B.minority_class(tr, label).first()[label]
     out = []
@@ -196,6 +198,7 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
         bf = E.benign_fpr(sc, "y_true", "y_pred", benign).first()[0]
         sc.unpersist()
         out.append((s, r["f1_macro"], r["f2_macro"], r["mcc"], r["pr_auc"], mr, bf, fit_s))
+    sp.unpersist()
     return spark.createDataFrame(out, "strategy string, f1_macro double, f2_macro double, mcc double, "
                                       "pr_auc double, minority_recall double, benign_fpr double, fit_seconds double")
 
@@ -204,7 +207,7 @@ def clipping_experiment(df: DataFrame, features, label: str, key: str, seed: int
                         rare_below: int = 100, num_trees: int = 20) -> DataFrame:
     """Recall of rare classes with and without P14 clipping (99.9th train percentile)."""
     d = C.filter_rare_classes(df, label, 2)
-    sp = S.stratified_split(d, label, key, 0.3, seed)
+    sp = S.stratified_split(d, label, key, 0.3, seed).persist(StorageLevel.MEMORY_AND_DISK)
     (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
     counts = C.class_counts(d, label)
     rare = [c for c, n in counts.items() if n < rare_below]
@@ -217,6 +220,7 @@ def clipping_experiment(df: DataFrame, features, label: str, key: str, seed: int
         m = M.fit(a, feats, label, "forest", numTrees=num_trees, maxDepth=30, seed=seed)
         rep = E.per_class_report(m.score(b, keep=[key]), "y_true", "y_pred").collect()
         res[variant] = {r["class"]: r["recall"] for r in rep}
+    sp.unpersist()
     rows = [(c, res["base"].get(c), res["clipped"].get(c),
              (res["clipped"].get(c) or 0.0) - (res["base"].get(c) or 0.0)) for c in rare if c in res["base"]]
     return df.sparkSession.createDataFrame(rows, "class string, recall_base double, recall_clipped double, impact double")
@@ -226,7 +230,7 @@ def redundancy_experiment(df: DataFrame, features, label: str, key: str, seed: i
                           threshold: float = 0.95, num_trees: int = 20) -> DataFrame:
     """Macro-F1 and fit time before/after C13 (|r| > 0.95, drop the earlier column)."""
     d = C.filter_rare_classes(df, label, 2)
-    sp = S.stratified_split(d, label, key, 0.3, seed)
+    sp = S.stratified_split(d, label, key, 0.3, seed).persist(StorageLevel.MEMORY_AND_DISK)
     (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
     drop = C.correlated_column_list(tr, feats, threshold, "abs_earlier")
     reduced = [c for c in feats if c not in drop]
@@ -237,6 +241,7 @@ def redundancy_experiment(df: DataFrame, features, label: str, key: str, seed: i
         secs = time.time() - t0
         f1 = E.summary_metrics(m.score(te, keep=[key]), "y_true", "y_pred").first()["macro_f1"]
         out[name] = (len(fs), f1, secs)
+    sp.unpersist()
     return df.sparkSession.createDataFrame(
         [(out["before"][0], out["after"][0], out["before"][1], out["after"][1], out["before"][2], out["after"][2])],
         "features_before int, features_after int, f1_macro_before double, f1_macro_after double, "
@@ -251,14 +256,16 @@ def split_strategy_experiment(df: DataFrame, features, label: str, key: str, mod
     spark = df.sparkSession
     out = []
     for s in strategies:
-        sp = S.split(df, s, label, key, features, day, seed=seed)
+        sp = S.split(df, s, label, key, features, day, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
         lk = leakage(sp.where("split = 'train'"), sp.where("split = 'test'"), features).first()["leakage_pct"]
         (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features)
         if te.isEmpty() or tr.isEmpty():
+            sp.unpersist()
             continue
         for name, (kind, params) in models.items():
             m = M.fit(tr, feats, label, kind, seed=seed, **params)
             s_ = E.summary_metrics(m.score(te, keep=[key]), "y_true", "y_pred").first()
             out.append((s, name, float(lk), s_["accuracy"], s_["macro_f1"], s_["weighted_f1"], s_["mcc"]))
+        sp.unpersist()
     return spark.createDataFrame(out, "strategy string, model string, leakage_pct double, accuracy double, "
                                       "macro_f1 double, weighted_f1 double, mcc double")

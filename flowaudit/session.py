@@ -58,13 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     current = sc.getCheckpointDir()
     if current:
-        return current
+        return current.removeprefix("file:")
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="flowaudit-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
-    return path
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
+        pass
+    return sc.getCheckpointDir() or path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -90,13 +90,15 @@ def flows_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("total_fwd_packets").alias("subflow_fwd_packets"),
         fid,
     )
-    rest = DIRTY_FEATURES[:]
-    body = ["label", "day"] + rest
-    copy0 = base.select((fid * 3).alias("row_id"), *body)
-    copy1 = base.where(fid % 20 == 0).select((fid * 3 + 1).alias("row_id"), *body)
-    copy2 = base.where(fid % 50 == 1).select(
-        (fid * 3 + 2).alias("row_id"), F.lit("PortScan").alias("label"), "day", *rest)
-    return copy0.unionByName(copy1).unionByName(copy2)
+    # the three copies come from one scan: each flow explodes into its
+    # original, an exact duplicate (every 20th) and a relabelled copy (every 50th)
+    copy = lambda c, lab: F.struct(F.lit(c).alias("c"), lab.alias("lab"))
+    copies = F.array(copy(0, F.col("label")),
+                     F.when(fid % 20 == 0, copy(1, F.col("label"))),
+                     F.when(fid % 50 == 1, copy(2, F.lit("PortScan"))))
+    ex = base.select("*", F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("cp"))
+    return ex.select((fid * 3 + F.col("cp.c")).alias("row_id"), F.col("cp.lab").alias("label"), "day",
+                     *DIRTY_FEATURES)
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
