@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..functions.missing import INF, is_missing, nan_to_null
 from ..functions.rowwise import port_bucket
 from ..schema import BENIGN
+from ..session import cut_lineage
 from .ordered import running_totals
 
 
@@ -221,7 +222,9 @@ def quantiles(df: DataFrame, cols, probs, method: str = "exact",
             nan_to_null(F.col(c).cast("double")), F.array(*[F.lit(p) for p in probs]), accuracy)})
         return (w.select("feature", F.posexplode("qs").alias("j", "q"))
                  .select("feature", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("j") + 1).alias("p"), "q"))
-    vt = value_table(df, cols).where(F.col("value").isNotNull())
+    # the value table feeds the bucket splits, the totals and the running counts:
+    # materialise it once (reliable checkpoint) instead of re-aggregating three times
+    vt = cut_lineage(value_table(df, cols).where(F.col("value").isNotNull()))
     rt = running_totals(vt, ["value"], ["cnt"], group_cols=["feature"])
     totals = vt.groupBy("feature").agg(F.sum("cnt").alias("n"))
     rt = rt.join(totals, "feature")

@@ -32,6 +32,7 @@ def get_spark(master: str | None = None, app: str = "flowaudit",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("FLOWAUDIT_DRIVER_MEMORY", "16g"))
     )
     for k, v in (extra_conf or {}).items():
