@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import spread
+from ..session import cut_lineage, spread
 from .ordered import hash_unit, prefix_sums
 
 
@@ -177,6 +177,8 @@ def _curve(st: DataFrame, by) -> DataFrame:
     """Descending cumulative tp/fp per distinct score plus class totals."""
     user_by = list(by)
     st, by = _with_group(st, user_by)
+    # distinct scores feed the bucket splits, the totals and the running sums
+    st = cut_lineage(st)
     c = prefix_sums(st, "score", ["pos", "neg"], group_cols=by, descending=True)
     tot = st.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     out = c.join(tot, by)

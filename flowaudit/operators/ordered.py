@@ -32,6 +32,16 @@ def bucket_rows(spark) -> int:
     return int(spark.conf.get("spark.flowaudit.bucketRows", "1000000"))
 
 
+def n_buckets(spark, n: int, target: int | None = None) -> int:
+    """Buckets for ``n`` rows: at most ``target`` rows each, and enough buckets
+    to keep every core busy (2 x default parallelism) once buckets would still
+    hold at least ``spark.flowaudit.minBucketRows`` rows."""
+    target = target or bucket_rows(spark)
+    min_rows = int(spark.conf.get("spark.flowaudit.minBucketRows", "10000"))
+    par = 2 * spark.sparkContext.defaultParallelism
+    return max(1, math.ceil(n / target), min(par, n // max(1, min_rows)))
+
+
 def _group_counts(df: DataFrame, group_cols) -> dict:
     if not group_cols:
         return {(): df.count()}
@@ -48,21 +58,13 @@ def with_value_bucket(df: DataFrame, order_col: str, descending: bool = False,
     search on the JVM).  NULLs go first, NaN last; negated when descending."""
     target = target or bucket_rows(df.sparkSession)
     x = F.col(order_col).cast("double")
-    # one pass: the row count and a fixed grid of split candidates
-    grid = 1024
-    row = df.select(F.count(F.lit(1)).alias("n"),
-                    F.percentile_approx(x, [i / grid for i in range(1, grid)], 20 * grid).alias("qs")).first()
-    n = row["n"]
-    nb = max(1, math.ceil(n / target))
+    n = df.count()
+    nb = n_buckets(df.sparkSession, n, target)
     if nb == 1:
         out = df.withColumn(_B, F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), F.lit(1)).otherwise(F.lit(0)))
     else:
-        if nb < grid:
-            step = grid / nb
-            qs = [row["qs"][min(grid - 2, int(round(i * step)) - 1)] for i in range(1, nb)]
-        else:
-            probs = [i / nb for i in range(1, nb)]
-            qs = df.select(F.percentile_approx(x, probs, 10 * nb + 10000)).first()[0]
+        probs = [i / nb for i in range(1, nb)]
+        qs = df.select(F.percentile_approx(x, probs, 10 * nb + 10000)).first()[0]
         splits = sorted({float(q) for q in qs if q is not None and not math.isnan(q)} - {float("inf"), float("-inf")})
         splits = [float("-inf")] + splits + [float("inf")]
         bz = Bucketizer(splits=splits, inputCol="_fa_x", outputCol="_fa_bz", handleInvalid="keep")
@@ -129,8 +131,9 @@ def hash_rank(df: DataFrame, group_cols, key: str, seed: int, out: str = "rank",
     so each bucket holds about ``bucket_rows`` rows of its group."""
     group_cols = list(group_cols)
     counts = counts if counts is not None else _group_counts(df, group_cols)
-    target = bucket_rows(df.sparkSession)
-    nb = {k: max(1, math.ceil(v / target)) for k, v in counts.items()}
+    total = max(1, sum(counts.values()))
+    nb_total = n_buckets(df.sparkSession, total)
+    nb = {k: max(1, math.ceil(nb_total * v / total)) for k, v in counts.items()}
     u = hash_unit(key, seed)
     if not group_cols:
         b = F.floor(u * F.lit(nb[()])).cast("int")
