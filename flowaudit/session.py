@@ -78,12 +78,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``defaultParallelism`` partitions
-    before a row-multiplying step (explode over iterations, permutations,
-    coalitions).  Large inputs already have many splits and pass through
-    unchanged; only narrow inputs pay one small shuffle."""
+    """Round-robin the rows over ``defaultParallelism`` partitions before a
+    row-multiplying step (explode over iterations, permutations, coalitions).
+
+    ``spark.flowaudit.spread``: ``always`` | ``never`` | ``auto`` (default).
+    ``auto`` spreads only in local mode, where small test files arrive as one
+    split; on a cluster the scanned inputs are already split into many
+    partitions and an extra shuffle would be waste.  (Asking a DataFrame for
+    its partition count would run its shuffle stages under AQE, so the
+    decision does not inspect the data.)"""
     sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    mode = df.sparkSession.conf.get("spark.flowaudit.spread", "auto")
+    if mode == "never" or (mode == "auto" and not sc.master.startswith("local")):
+        return df
+    return df.repartition(min_partitions or sc.defaultParallelism)
