@@ -402,3 +402,9 @@ def log_loss(scored: DataFrame, p_true: Column, correct: Column, by=(), eps: flo
 def relabel(table: DataFrame, key_col: str, key, new_name: str) -> DataFrame:
     """Pick one model's metric row and give it a new name."""
     return table.where(F.col(key_col) == F.lit(key)).withColumn(key_col, F.lit(new_name))
+
+
+def micro_roc_points(scored: DataFrame, y: str, probs: str, classes, by=()) -> DataFrame:
+    """E10 (micro average): ROC points over the flattened (row, class) pairs."""
+    long = one_vs_rest_long(scored, y, probs, classes, by)
+    return roc_points(long, "is_pos", "score", by)

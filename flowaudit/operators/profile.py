@@ -300,17 +300,31 @@ def top_value(df: DataFrame, col: str) -> DataFrame:
 # ---- A17, A18 ---------------------------------------------------------------
 
 def histogram_by_class(df: DataFrame, col: str, label: str, bins: int = 50,
-                       clip_p: float = 0.99, method: str = "exact") -> DataFrame:
-    """Share of each class's rows per bin; values clipped at the ``clip_p``
-    quantile, ``bins`` equal-width bins over [min, clip]."""
-    qm = quantile_map(quantiles(df, [col], [clip_p], method))
-    upper = qm[(col, round(clip_p, 12))]
-    lo = df.agg(F.min(nan_to_null(F.col(col).cast("double")))).first()[0]
-    x = F.least(nan_to_null(F.col(col).cast("double")), F.lit(upper))
-    width = (upper - lo) if upper > lo else 1.0
-    b = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * bins), F.lit(bins - 1)).cast("int")
-    g = (df.where(x.isNotNull()).groupBy(label, b.alias("bin"))
-           .agg(F.count(F.lit(1)).alias("cnt")))
+                       clip_p: float = 0.99, method: str = "exact", mode: str = "clip") -> DataFrame:
+    """Share of each class's rows per bin (the data behind the distribution plots).
+
+    ``clip``: finite values up to the ``clip_p`` quantile (larger ones are left
+    out), ``bins`` equal-width bins over [min, quantile].
+    ``symlog``: +-Inf -> missing -> median, and when the maximum exceeds 1000
+    the values are binned on ``sign(x) * log1p(|x|)``."""
+    x = nan_to_null(F.col(col).cast("double"))
+    if mode == "clip":
+        finite = df.where(x.isNotNull() & (F.abs(x) != F.lit(INF)))
+        upper = quantile_map(quantiles(finite, [col], [clip_p], method))[(col, round(clip_p, 12))]
+        src = finite.where(x <= F.lit(upper)).select(label, x.alias("_x"))
+    elif mode == "symlog":
+        clean = F.when(F.abs(x) == F.lit(INF), F.lit(None)).otherwise(x)
+        base = df.select(label, clean.alias("_x"))
+        med = quantile_map(quantiles(base, ["_x"], [0.5], method)).get(("_x", 0.5))
+        src = base.withColumn("_x", F.coalesce(F.col("_x"), F.lit(med)))
+        if (src.agg(F.max("_x")).first()[0] or 0) > 1000:
+            src = src.withColumn("_x", F.signum("_x") * F.log1p(F.abs("_x")))
+    else:
+        raise ValueError(mode)
+    lo, hi = src.agg(F.min("_x"), F.max("_x")).first()
+    width = (hi - lo) if hi is not None and hi > lo else 1.0
+    b = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width) * bins), F.lit(bins - 1)).cast("int")
+    g = src.groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
     return g.withColumn("share", F.col("cnt") / F.sum("cnt").over(Window.partitionBy(label)))
 
 

@@ -183,3 +183,11 @@ def resample_with_replacement(df: DataFrame, key: str, n: int | None = None, see
     ranked = hash_rank(df, [], key, seed, out="_pos", counts={(): total})
     return (ranked.join(mult, "_pos").withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int"))))
                   .drop("_pos", "_mult"))
+
+
+def scaling_check(df: DataFrame, cols, by=()) -> DataFrame:
+    """T13 (second half): mean of the column means and mean of the column
+    (sample) stds - ~0 and ~1 after z-scoring on the same rows."""
+    from .profile import wide_stats
+    w = wide_stats(df, list(cols), {"mean": lambda c: F.avg(c), "std": lambda c: F.stddev_samp(c)})
+    return w.agg(F.avg("mean").alias("mean_of_means"), F.avg("std").alias("mean_of_stds"))

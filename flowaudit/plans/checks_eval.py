@@ -335,3 +335,20 @@ def q_log_loss(spark, sf):
     p_true = F.when(F.col("y") == 1, F.col("score")).otherwise(1 - F.col("score"))
     correct = (F.col("score") >= 0.5) == (F.col("y") == 1)
     return _r(E.log_loss(s, p_true, correct, by=["split"]), ["log_loss", "accuracy"])
+
+
+@query("micro_roc_points", _OVR_SQL.split("st AS (")[0] + """
+st AS (SELECT score, sum(is_pos) AS pos, count(*) - sum(is_pos) AS neg FROM long GROUP BY score),
+cv AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS cum_pos, sum(neg) OVER (ORDER BY score DESC) AS cum_neg,
+       sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM st)
+SELECT round(score, 9) AS threshold, round(cum_neg / N, 6) AS fpr, round(cum_pos / P, 6) AS tpr FROM cv
+""")
+def q_micro_roc_points(spark, sf):
+    """E10 micro average: one curve over every (row, class) pair of the softmax scores."""
+    from ..functions.labels import class_list
+    e = table(spark, sf, "embeddings")
+    classes = class_list(e, "label")
+    sc = e.select("label", softmax(F.slice("embedding", 1, 10)).alias("probs"))
+    r = E.micro_roc_points(sc, "label", "probs", classes)
+    return r.select(F.round("threshold", 9).alias("threshold"), F.round("fpr", 6).alias("fpr"),
+                    F.round("tpr", 6).alias("tpr"))

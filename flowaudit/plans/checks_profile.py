@@ -395,8 +395,11 @@ def q_describe_categorical(spark, sf):
 
 
 @query("histogram_by_class", """
-WITH b AS (SELECT quantile_cont(value, 0.99) AS up, min(value) AS lo FROM events),
-x AS (SELECT event_type, least(value, up) AS v, up, lo FROM events, b WHERE value IS NOT NULL),
+WITH f AS (SELECT event_type, value FROM events WHERE value IS NOT NULL AND isfinite(value)),
+q AS (SELECT quantile_cont(value, 0.99) AS up FROM f),
+k AS (SELECT event_type, value AS v FROM f, q WHERE value <= up),
+b AS (SELECT max(v) AS up, min(v) AS lo FROM k),
+x AS (SELECT event_type, v, up, lo FROM k, b),
 h AS (SELECT event_type, CAST(least(floor((v - lo) / (CASE WHEN up > lo THEN up - lo ELSE 1.0 END) * 50), 49) AS INTEGER) AS bin,
              count(*) AS cnt FROM x GROUP BY ALL)
 SELECT event_type, bin, cnt, round(cnt / sum(cnt) OVER (PARTITION BY event_type), 6) AS share FROM h
@@ -743,3 +746,20 @@ def q_table_roundtrip(spark, sf):
     write_table(t, p2, "json")
     back = read_table(spark, p1, "csv").join(read_table(spark, p2, "json").withColumnRenamed("cnt", "cnt2"), "label")
     return back.where(F.col("cnt") == F.col("cnt2")).select("label", F.col("cnt").cast("bigint").alias("cnt"))
+
+
+@query("histogram_symlog", with_views("""
+WITH c AS (SELECT CASE WHEN label = 'BENIGN' THEN 'Benign' ELSE 'Attack' END AS kind,
+                  CASE WHEN isnan(flow_bytes_s) OR isinf(flow_bytes_s) THEN NULL ELSE flow_bytes_s END AS v FROM flows_dirty),
+m AS (SELECT quantile_cont(v, 0.5) AS med FROM c),
+f AS (SELECT kind, coalesce(v, med) AS v FROM c, m),
+t AS (SELECT kind, CASE WHEN (SELECT max(v) FROM f) > 1000 THEN sign(v) * ln(1 + abs(v)) ELSE v END AS v FROM f),
+b AS (SELECT min(v) AS lo, max(v) AS hi FROM t),
+h AS (SELECT kind, CAST(least(floor((v - lo) / (CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END) * 50), 49) AS INTEGER) AS bin,
+             count(*) AS cnt FROM t, b GROUP BY ALL)
+SELECT kind, bin, cnt, round(cnt / sum(cnt) OVER (PARTITION BY kind), 6) AS share FROM h
+""", "flows_dirty"))
+def q_histogram_symlog(spark, sf):
+    """A17, symmetric-log variant, benign vs attack (P6) on the dirty flow rate column."""
+    d = flows_dirty(spark, sf).withColumn("kind", L.binary_name("label"))
+    return A.histogram_by_class(d, "flow_bytes_s", "kind", mode="symlog").withColumn("share", F.round("share", 6))

@@ -339,3 +339,24 @@ SELECT event_id, CAST(c AS INTEGER) AS copy FROM rk JOIN mult ON rk.rk = mult.po
 def q_resample_with_replacement(spark, sf):
     r = S.resample_with_replacement(table(spark, sf, "events"), "event_id", seed=7)
     return r.select("event_id", F.col("copy").cast("int"))
+
+
+@query("scaling_check", with_views("""
+WITH tr AS (SELECT * FROM flows),
+st AS (SELECT """ + ", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}" for c in
+                             ["destination_port", "flow_duration", "total_fwd_packets", "total_backward_packets"]) + """ FROM tr),
+z AS (SELECT """ + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in
+                            ["destination_port", "flow_duration", "total_fwd_packets", "total_backward_packets"]) + """ FROM tr, st)
+SELECT round(avg(m), 6) + 0.0 AS mean_of_means, round(avg(s), 6) AS mean_of_stds FROM (
+""" + "\nUNION ALL\n".join(f"SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM z" for c in
+                             ["destination_port", "flow_duration", "total_fwd_packets", "total_backward_packets"]) + ") t",
+    "flows"))
+def q_scaling_check(spark, sf):
+    """After C14 z-scoring (fit on the same rows) the means average ~0, the stds ~1."""
+    from ..operators.fitted import StandardScaler
+    cols = ["destination_port", "flow_duration", "total_fwd_packets", "total_backward_packets"]
+    f = flows(spark, sf)
+    z = StandardScaler(inputCols=cols).fit(f).transform(f)
+    r = S.scaling_check(z, cols)
+    return r.select((F.round("mean_of_means", 6) + 0.0).alias("mean_of_means"),
+                    F.round("mean_of_stds", 6).alias("mean_of_stds"))
