@@ -650,7 +650,7 @@ def q_csv_roundtrip(spark, sf):
     for day in ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]:
         cols = order if day != "Monday" else list(reversed(order))
         part = d.where(F.col("day") == day).select(*[F.col(c).alias(_RAW_NAMES[c]) for c in cols])
-        part.write.mode("overwrite").option("header", True).csv(f"{base}/{day}-WorkingHours.pcap_ISCX.csv")
+        part.write.mode("overwrite").option("header", True).csv(f"{base}/{day}-WorkingHours.csv")
     back = read_flows(spark, base, names="snake", label="Label")
     return back.select("row_id", "label", "day", *DIRTY_FEATURES)
 

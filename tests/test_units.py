@@ -101,10 +101,10 @@ def test_tiny_csv(spark, tmp_path):
     from flowaudit.sources.flows import read_flows
     d = tmp_path / "flows"
     d.mkdir()
-    (d / "Monday-WorkingHours.pcap_ISCX.csv").write_text(
+    (d / "Monday-WorkingHours.csv").write_text(
         " Flow Duration, Fwd Header Length, Fwd Header Length, Flow Bytes/s, Label\n"
         "10,1,1,Infinity,BENIGN\n20,2,2,NaN,BENIGN\n30,3,3,,BENIGN\n40,4,4,junk,BENIGN\n")
-    (d / "Tuesday-WorkingHours.pcap_ISCX.csv").write_text(
+    (d / "Tuesday-WorkingHours.csv").write_text(
         " Label, Flow Bytes/s, Flow Duration, Fwd Header Length, Fwd Header Length\n"
         "FTP-Patator,1.5,50,5,5\n")
     df = read_flows(spark, str(d), names="snake", label="Label")
@@ -136,7 +136,7 @@ def test_streaming_ingest_and_score(spark, tmp_path):
     src.mkdir()
     header = "Flow Duration,Total Fwd Packets,Label"
     lines = [f"{i},{i % 7},{'BENIGN' if i % 3 else 'Bot'}" for i in range(60)]
-    (src / "Friday-WorkingHours.pcap_ISCX.csv").write_text(header + "\n" + "\n".join(lines) + "\n")
+    (src / "Friday-WorkingHours.csv").write_text(header + "\n" + "\n".join(lines) + "\n")
     st = read_flows_stream(spark, str(src), header, names="snake")
     batch = spark.createDataFrame([(float(i), float(i % 7), "BENIGN" if i % 3 else "Bot") for i in range(60)],
                                   "flow_duration double, total_fwd_packets double, label string")
@@ -178,7 +178,7 @@ def test_paper_pipeline_end_to_end(spark, tmp_path):
         F.col("flow_duration").alias(" Flow Duration"), F.col("total_fwd_packets").alias("Total Fwd Packets"),
         F.col("total_backward_packets").alias("Total Backward Packets"),
         F.col("fwd_packet_length_max").alias("Fwd Packet Length Max"), F.col("label").alias("Label"))
-    f.write.option("header", True).csv(str(tmp_path / "raw" / "Monday-WorkingHours.pcap_ISCX.csv"))
+    f.write.option("header", True).csv(str(tmp_path / "raw" / "Monday-WorkingHours.csv"))
     out, scaler, enc = run_paper_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "processed"))
     tr = read_split(spark, str(tmp_path / "processed"), "train")
     te = read_split(spark, str(tmp_path / "processed"), "test")
