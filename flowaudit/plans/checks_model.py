@@ -326,24 +326,24 @@ def q_threshold_analysis_test(spark, sf):
 
 @query("cv_results")
 def q_cv_results(spark, sf):
-    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=5)[0]
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=5, parallelism=4)[0]
 
 
 @query("cv_bootstrap_ci")
 def q_cv_bootstrap_ci(spark, sf):
-    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=2)[1]
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=2, parallelism=2)[1]
 
 
 @query("ablation")
 def q_ablation(spark, sf):
     return XP.ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
-                       numTrees=20, maxDepth=10)
+                       parallelism=3, numTrees=20, maxDepth=10)
 
 
 @query("imbalance_ablation")
 def q_imbalance_ablation(spark, sf):
     return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
-                                 numTrees=20, maxDepth=10)
+                                 parallelism=3, numTrees=20, maxDepth=10)
 
 
 @query("paper_imbalance_grid")
@@ -351,7 +351,7 @@ def q_paper_imbalance_grid(spark, sf):
     """The neural network under none / class weight (as weighted sampling) / undersample / SMOTE."""
     return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="mlp",
                                  strategies=["none", "class_weight", "undersample", "smote"],
-                                 hidden=[64, 64], maxIter=50)
+                                 parallelism=2, hidden=[64, 64], maxIter=50)
 
 
 @query("clipping_experiment")

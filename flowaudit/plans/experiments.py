@@ -27,6 +27,18 @@ from ..operators.fitted import (ClipUpper, DropColumns, ImportanceSelector, Log1
 from ..operators.smote import smote
 
 
+def _pmap(fn, items, parallelism: int = 1) -> list:
+    """Run independent configurations; ``parallelism > 1`` submits their Spark
+    jobs from threads so small jobs overlap (fit times are then wall times
+    under contention)."""
+    items = list(items)
+    if parallelism <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(fn, items))
+
+
 def prepare(train: DataFrame, other: list[DataFrame], features, scale: bool = True, fill_zero: bool = False):
     """C17 chain fitted on train: C1 -> C8 (variance 0) -> C5 median (or C6 zero) -> C14.
     Returns transformed (train, *other) and the kept features."""
@@ -75,7 +87,8 @@ def _multiclass_scores(sc: DataFrame, classes) -> dict:
 
 
 def cross_validate(df: DataFrame, features, label: str, key: str, models: dict, k: int = 5,
-                   test_size: float = 0.3, seed: int = 42, bootstrap_iterations: int = 100):
+                   test_size: float = 0.3, seed: int = 42, bootstrap_iterations: int = 100,
+                   parallelism: int = 1):
     """E14 + E18: stratified k-fold CV on the training part (chain fitted per
     fold), mean and population std of six scores, mean fit time; then the
     first fold's model is bootstrapped on the held-out test part."""
@@ -85,17 +98,17 @@ def cross_validate(df: DataFrame, features, label: str, key: str, models: dict,
     test = sp.where("split = 'test'")
     rows, boot_rows = [], []
     for name, (kind, params) in models.items():
-        scores, times, first = [], [], None
-        for f in range(k):
+        def run_fold(f, kind=kind, params=params):
             (tr, va), feats = prepare(train.where(F.col("fold") != f), [train.where(F.col("fold") == f)], features)
             t0 = time.time()
             m = M.fit(tr, feats, label, kind, seed=seed, **params)
-            times.append(time.time() - t0)
+            secs = time.time() - t0
             sc = m.score(va, keep=[key]).persist(StorageLevel.MEMORY_AND_DISK)
-            scores.append(_multiclass_scores(sc, m.classes))
+            res = _multiclass_scores(sc, m.classes)
             sc.unpersist()
-            if first is None:
-                first = (m, feats, tr)
+            return res, secs, (m, feats, tr)
+        folds = _pmap(run_fold, range(k), parallelism)
+        scores, times, first = [x[0] for x in folds], [x[1] for x in folds], folds[0][2]
         import numpy as np
         row = {"model": name}
         for metric in scores[0]:
@@ -117,7 +130,7 @@ ABLATION_RECIPES = ["original", "cleaned", "engineered", "log1p", "decorrelated"
 
 
 def ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "gbt_ovr",
-             test_size: float = 0.3, seed: int = 42, **model_params) -> DataFrame:
+             test_size: float = 0.3, seed: int = 42, parallelism: int = 1, **model_params) -> DataFrame:
     """Six cumulative feature recipes, one result row each
     (recipe, n_features, F1/F2 macro, MCC, PR-AUC macro, fit seconds)."""
     spark = df.sparkSession
@@ -129,8 +142,7 @@ def ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "g
     sp = S.stratified_split(d_eng, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     tr0, te0 = sp.where("split = 'train'"), sp.where("split = 'test'")
     feats0 = list(features)
-    out = []
-    for recipe in ABLATION_RECIPES:
+    def run(recipe):
         feats = feats0 + (list(eng) if recipe not in ("original", "cleaned") else [])
         if recipe == "original":
             (tr, te), feats = prepare(tr0, [te0], feats, scale=False, fill_zero=True)
@@ -152,7 +164,8 @@ def ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "g
         sc = m.score(te, keep=[key]).persist(StorageLevel.MEMORY_AND_DISK)
         s = _multiclass_scores(sc, m.classes)
         sc.unpersist()
-        out.append((recipe, len(feats), s["f1_macro"], s["f2_macro"], s["mcc"], s["pr_auc"], fit_s))
+        return (recipe, len(feats), s["f1_macro"], s["f2_macro"], s["mcc"], s["pr_auc"], fit_s)
+    out = _pmap(run, ABLATION_RECIPES, parallelism)
     sp.unpersist()
     return spark.createDataFrame(out, "recipe string, n_features int, f1_macro double, f2_macro double, "
                                       "mcc double, pr_auc double, fit_seconds double")
@@ -163,7 +176,7 @@ IMBALANCE_STRATEGIES = ["none", "class_weight", "undersample", "oversample", "sm
 
 def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "gbt_ovr",
                        strategies=IMBALANCE_STRATEGIES, test_size: float = 0.3, seed: int = 42,
-                       benign: str = "BENIGN", **model_params) -> DataFrame:
+                       benign: str = "BENIGN", parallelism: int = 1, **model_params) -> DataFrame:
     """B12 (and B13 with an MLP and the paper's strategy list): resampling on
     the training part only; F1/F2 macro, MCC, PR-AUC, minority recall, benign FPR."""
     spark = df.sparkSession
@@ -173,8 +186,7 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
     sp = S.stratified_split(d, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
     mc = B.minority_class(tr, label).first()[label]
-    out = []
-    for s in strategies:
+    def run(s):
         weight = None
         if s == "class_weight":
             if model_kind == "mlp":       # no weightCol: sampling replaces weights
@@ -197,7 +209,8 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
         mr = E.minority_recall(sc, "y_true", "y_pred", mc).first()[0]
         bf = E.benign_fpr(sc, "y_true", "y_pred", benign).first()[0]
         sc.unpersist()
-        out.append((s, r["f1_macro"], r["f2_macro"], r["mcc"], r["pr_auc"], mr, bf, fit_s))
+        return (s, r["f1_macro"], r["f2_macro"], r["mcc"], r["pr_auc"], mr, bf, fit_s)
+    out = _pmap(run, strategies, parallelism)
     sp.unpersist()
     return spark.createDataFrame(out, "strategy string, f1_macro double, f2_macro double, mcc double, "
                                       "pr_auc double, minority_recall double, benign_fpr double, fit_seconds double")
