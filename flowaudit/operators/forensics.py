@@ -82,7 +82,9 @@ def fn_analysis(scored: DataFrame, train: DataFrame, features, label: str, day:
     """missed attacks with type, day, probability, distance to the benign
     centroid (of the training rows), rare-in-training flag and raw features."""
     ben = centroid_map(train.where(F.col(label) == benign), features, label)[benign]
-    counts = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
+    counts = {r[0]: r[1] for r in train.groupBy(label).count().limit(10_001).collect()}
+    if len(counts) > 10_000:
+        raise ValueError("too many classes for the rare-class flag")
     rare = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v < rare_below))])
     fn = scored.where((F.col("y") == 1) & (F.col("pred") == 0))
     return fn.select(
