@@ -366,7 +366,8 @@ def q_redundancy_experiment(spark, sf):
 
 @query("split_strategy_experiment")
 def q_split_strategy_experiment(spark, sf):
-    return XP.split_strategy_experiment(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "row_id", _RF)
+    return XP.split_strategy_experiment(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "row_id", _RF,
+                                        parallelism=4)
 
 
 def _binary_model(spark, sf):

@@ -263,22 +263,27 @@ def redundancy_experiment(df: DataFrame, features, label: str, key: str, seed: i
 
 def split_strategy_experiment(df: DataFrame, features, label: str, key: str, models: dict,
                               strategies=("random_original", "random_deduplicated", "grouped", "chronological"),
-                              day: str = "day", seed: int = 42) -> DataFrame:
+                              day: str = "day", seed: int = 42, parallelism: int = 1) -> DataFrame:
     """M14 (+T9): for each split strategy, leakage percent and the metrics of every model."""
     from ..operators.leakage import leakage
     spark = df.sparkSession
-    out = []
-    for s in strategies:
+
+    def run(s):
         sp = S.split(df, s, label, key, features, day, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-        lk = leakage(sp.where("split = 'train'"), sp.where("split = 'test'"), features).first()["leakage_pct"]
-        (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features)
-        if te.isEmpty() or tr.isEmpty():
+        try:
+            lk = leakage(sp.where("split = 'train'"), sp.where("split = 'test'"), features).first()["leakage_pct"]
+            (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features)
+            if te.isEmpty() or tr.isEmpty():
+                return []
+            rows = []
+            for name, (kind, params) in models.items():
+                m = M.fit(tr, feats, label, kind, seed=seed, **params)
+                s_ = E.summary_metrics(m.score(te, keep=[key]), "y_true", "y_pred").first()
+                rows.append((s, name, float(lk), s_["accuracy"], s_["macro_f1"], s_["weighted_f1"], s_["mcc"]))
+            return rows
+        finally:
             sp.unpersist()
-            continue
-        for name, (kind, params) in models.items():
-            m = M.fit(tr, feats, label, kind, seed=seed, **params)
-            s_ = E.summary_metrics(m.score(te, keep=[key]), "y_true", "y_pred").first()
-            out.append((s, name, float(lk), s_["accuracy"], s_["macro_f1"], s_["weighted_f1"], s_["mcc"]))
-        sp.unpersist()
+
+    out = [r for rows in _pmap(run, strategies, parallelism) for r in rows]
     return spark.createDataFrame(out, "strategy string, model string, leakage_pct double, accuracy double, "
                                       "macro_f1 double, weighted_f1 double, mcc double")
