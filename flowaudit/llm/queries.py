@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 
@@ -25,3 +25,11 @@ def query(name: str, sql: str | None = None):
 def op1(spark, sf_dir):
     from .minhash_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark, sf_dir):
+    from .suffix_dedup import drop_repeats
+    out = drop_repeats(table(spark, sf_dir, "documents"), carry=False)
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
