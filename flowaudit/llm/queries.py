@@ -47,3 +47,16 @@ def op9(spark, sf_dir):
     from .harmonic_packing import pack
     return pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def remainder(doc_id, n: int):
+    return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+@query("op6_toxicity")
+def op6(spark, sf_dir):
+    from .toxicity import fit, score
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"), usable=lambda i: remainder(i, 4) != 2)
+    return score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
