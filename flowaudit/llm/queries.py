@@ -60,3 +60,19 @@ def op6(spark, sf_dir):
     model = fit(docs, table(spark, sf_dir, "labels"), usable=lambda i: remainder(i, 4) != 2)
     return score(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op3_quality_rules")
+def op3(spark, sf_dir):
+    from .quality import fit, judge
+    docs = table(spark, sf_dir, "documents")
+    return judge(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    from .language import fit, predict
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, usable=lambda i: remainder(i, 5) != 0)
+    return predict(docs, model).select(
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
