@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
+from .licenses import scan, scan_sql
 from .mixing import mix, mix_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,8 @@ def op5(spark, sf_dir):
     model = fit(docs, usable=lambda i: remainder(i, 5) != 0)
     return predict(docs, model).select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_license_scan", sql=scan_sql())
+def op7(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))
