@@ -82,3 +82,11 @@ def op5(spark, sf_dir):
 @query("op7_license_scan", sql=scan_sql())
 def op7(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op2_best_fit_packing")
+def op2(spark, sf_dir):
+    from .best_fit_packing import pack_matrix
+    return pack_matrix(table(spark, sf_dir, "documents")).select(
+        "sequence_id", "n_tokens", F.size("doc_ids").alias("n_segments"), F.crc32("ids").alias("ids_crc32"),
+        F.crc32("positions").alias("positions_crc32"), "cu_seqlens", "doc_ids", "doc_starts")
