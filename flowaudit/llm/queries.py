@@ -90,3 +90,9 @@ def op2(spark, sf_dir):
     return pack_matrix(table(spark, sf_dir, "documents")).select(
         "sequence_id", "n_tokens", F.size("doc_ids").alias("n_segments"), F.crc32("ids").alias("ids_crc32"),
         F.crc32("positions").alias("positions_crc32"), "cu_seqlens", "doc_ids", "doc_starts")
+
+
+@query("op10_hnsw_neighbours")
+def op10(spark, sf_dir):
+    from .hnsw import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
