@@ -66,7 +66,7 @@ def size_class(size):
 
 
 def mix(docs: DataFrame, weights: list[float] = (1.0, 2.0, 3.0), cap: int = 3, total: int | None = None,
-        seed: int = 17, bucket_rows: int = 100_000) -> DataFrame:
+        seed: int = 17, bucket_rows: int = 100_000, carry: bool = False) -> DataFrame:
     """How often each document of ``docs`` (doc_id, text, source) enters the mix.
 
     Returns doc_id, source, size (words of the text; 0 for null or empty
@@ -75,10 +75,12 @@ def mix(docs: DataFrame, weights: list[float] = (1.0, 2.0, 3.0), cap: int = 3, t
     a source of its own, ordered last; a source without words has target 0.
     Repeated rows are rows of their own; rows with equal doc_id and size class
     are interchangeable.  A null doc_id is ordered as an empty id.  An empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result; other columns are ignored, unless
+    ``carry`` asks for them: then a struct ``row`` holds all input columns.
     """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("int")
     sized = stage(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"),
-                              count_words(F.col("text")).alias("size")), "sizes")
+                              count_words(F.col("text")).alias("size"), row.alias("row")), "sizes")
     rows = sized.count()
     digits = max(1, math.ceil(math.log(max(1, rows / bucket_rows), 16)))
     keyed = sized.withColumn("class", size_class(F.col("size"))) \
@@ -96,12 +98,13 @@ def mix(docs: DataFrame, weights: list[float] = (1.0, 2.0, 3.0), cap: int = 3, t
         .withColumn("ahead", F.sum("n").over(Window.partitionBy("source").orderBy("class", "lead")) - F.col("n")) \
         .select(name, "class", "lead", "ahead") \
         .join(shares.select(name, "source_size", "target", "each", "offset"), "name")
-    ranked = keyed.select("doc_id", "source", name, "size", "class", "lead", "place") \
+    ranked = keyed.select("doc_id", "source", name, "size", "class", "lead", "place", "row") \
         .withColumn("r", F.row_number().over(Window.partitionBy("name", "class", "lead").orderBy("place", "doc_id", "size")))
     at = lambda rank: F.floor((F.col("offset") + F.col("each") * rank) / F.lit(ONE).cast("decimal(18,0)"))
     rank = F.col("ahead") + F.col("r")
     return ranked.join(buckets, ["name", "class", "lead"]).select(
-        "doc_id", "source", "size", "source_size", "target", (at(rank) - at(rank - 1)).cast("int").alias("copies"))
+        "doc_id", "source", "size", "source_size", "target", (at(rank) - at(rank - 1)).cast("int").alias("copies"),
+        *(["row"] if carry else []))
 
 
 def mix_sql(table: str = "documents", seed: int = 17) -> str:

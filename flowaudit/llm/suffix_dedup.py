@@ -287,7 +287,7 @@ def _answer_segments(width, anchor):
     return run
 
 
-def _visit_cuts(buckets, width, anchor):
+def _visit_cuts(buckets, width, anchor, whole_characters):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["_doc", "_rest", "_bytes", "_starts", "_ends", "_kept"]
         kinds = answers.column("kind").to_pylist()
@@ -312,6 +312,9 @@ def _visit_cuts(buckets, width, anchor):
             covered[s] += 1
             covered[s + width] -= 1
         keep = np.cumsum(covered[:-1]) == 0
+        if whole_characters and len(keep):
+            lead = np.flatnonzero((c.buf & 0xC0) != 0x80)
+            keep = np.repeat(np.logical_and.reduceat(keep, lead), np.diff(np.append(lead, len(keep))))
         # maximal runs, never across documents
         off = c.off
         edge = np.zeros(len(keep) + 1, bool)
@@ -333,12 +336,14 @@ def _visit_cuts(buckets, width, anchor):
 
 
 def drop_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, chunk_bytes: int = CHUNK_BYTES,
-                 hot: int = HOT, carry: bool = True) -> DataFrame:
+                 hot: int = HOT, carry: bool = True, whole_characters: bool = False) -> DataFrame:
     """Cuts from ``docs`` (doc_id, text, ...) the bytes that earlier documents hold.
 
     Returns doc_id, ``rest`` (the other input columns as a struct, null if
     ``carry`` is false), n_bytes, ``starts`` and ``ends`` (the maximal removed
-    byte spans, ends exclusive) and ``kept`` (the remaining bytes).
+    byte spans, ends exclusive) and ``kept`` (the remaining bytes).  With
+    ``whole_characters`` a character that loses a byte is removed as a whole,
+    so that ``kept`` is UTF-8 again.
 
     Texts are taken as UTF-8 bytes, a null text as empty; texts shorter than
     ``width`` keep everything.  Matches never cross documents.  Rows with the
@@ -363,7 +368,7 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, chun
         .groupBy("bucket").applyInArrow(_answer_segments(width, anchor), _DDL)
     kind = base.schema["_rest"].dataType.simpleString()
     done = by.cogroup(cuts.groupBy("chunk")).applyInArrow(
-        _visit_cuts(chunks, width, anchor),
+        _visit_cuts(chunks, width, anchor, whole_characters),
         f"_doc long, _rest {kind}, _bytes long, _starts array<long>, _ends array<long>, _kept binary")
     return done.select(F.col("_doc").alias("doc_id"), F.col("_rest").alias("rest"), F.col("_bytes").alias("n_bytes"),
                        F.col("_starts").alias("starts"), F.col("_ends").alias("ends"), F.col("_kept").alias("kept"))
