@@ -28,11 +28,10 @@ def engineered_features(cols: set) -> dict[str, Column]:
             out["eng_bytes_per_packet"] = (F.col(lf) + F.col(lb)) / (F.col(fw) + F.col(bw) + EPS)
     flags = ["fin_flag_count", "syn_flag_count", "rst_flag_count",
              "psh_flag_count", "ack_flag_count", "urg_flag_count"]
-    if "fin_flag_count" in cols and "syn_flag_count" in cols:
-        total = None
-        for f in flags:
-            term = F.col(f) if f in cols else F.lit(None).cast("double")
-            total = term if total is None else total + term
+    if set(flags) <= set(cols):
+        total = F.col(flags[0])
+        for f in flags[1:]:
+            total = total + F.col(f)
         out["eng_combined_flags"] = total
     return out
 

@@ -26,10 +26,11 @@ def _means(df: DataFrame, cols) -> np.ndarray:
 
 
 def gram_sums(df: DataFrame, cols) -> dict[str, np.ndarray]:
-    """Pairwise-complete moment matrices N, SX, SXX, P (see module doc).
+    """Pairwise-complete moment matrices N, SX, SXX, P, LO, HI (see module doc).
 
     Entry [i, j] of SX is the sum of (x_i - m_i) over rows where x_i and x_j
-    are both present; P[i, j] is the sum of the centred cross product."""
+    are both present; P[i, j] is the sum of the centred cross product; LO and
+    HI are the extremes of x_i on those rows."""
     cols = list(cols)
     p = len(cols)
     shift = _means(df, cols)
@@ -37,33 +38,54 @@ def gram_sums(df: DataFrame, cols) -> dict[str, np.ndarray]:
 
     def fold(batches):
         n = np.zeros((p, p)); sx = np.zeros((p, p)); sxx = np.zeros((p, p)); pr = np.zeros((p, p))
+        lo = np.full((p, p), np.inf); hi = np.full((p, p), -np.inf)
         for pdf in batches:
-            x = pdf.to_numpy(dtype="float64", na_value=np.nan) - shift
-            m = ~np.isnan(x)
-            x0 = np.where(m, x, 0.0)
+            raw = pdf.to_numpy(dtype="float64", na_value=np.nan)
+            m = ~np.isnan(raw)
+            x0 = np.where(m, raw - shift, 0.0)
             mf = m.astype("float64")
             n += mf.T @ mf
             sx += x0.T @ mf
             sxx += (x0 * x0).T @ mf
             pr += x0.T @ x0
-        yield pd.DataFrame({"v": [np.concatenate([n.ravel(), sx.ravel(), sxx.ravel(), pr.ravel()]).tolist()]})
-
-    parts = sel.mapInPandas(fold, "v array<double>")
-    total = parts.select(array_to_vector("v").alias("v")).agg(
-        Summarizer.metrics("sum").summary(F.col("v")).alias("s")).first()["s"]["sum"].toArray()
+            # columns with the same missing rows share their extremes
+            masks, owner = np.unique(m, axis=1, return_inverse=True)
+            for k in range(masks.shape[1]):
+                rows = raw[masks[:, k]]
+                js = np.flatnonzero(owner.ravel() == k)
+                if len(rows):
+                    lo[:, js] = np.fmin(lo[:, js], np.fmin.reduce(rows, axis=0)[:, None])
+                    hi[:, js] = np.fmax(hi[:, js], np.fmax.reduce(rows, axis=0)[:, None])
+        yield pd.DataFrame({"v": [np.concatenate([n.ravel(), sx.ravel(), sxx.ravel(), pr.ravel()]).tolist()],
+                            "lo": [lo.ravel().tolist()], "hi": [hi.ravel().tolist()]})
+
+    parts = sel.mapInPandas(fold, "v array<double>, lo array<double>, hi array<double>")
+    one = parts.select(*[array_to_vector(c).alias(c) for c in ("v", "lo", "hi")]).agg(
+        Summarizer.metrics("sum").summary(F.col("v")).alias("v"),
+        Summarizer.metrics("min").summary(F.col("lo")).alias("lo"),
+        Summarizer.metrics("max").summary(F.col("hi")).alias("hi")).first()
+    total = one["v"]["sum"].toArray()
     n, sx, sxx, pr = (total[k * p * p:(k + 1) * p * p].reshape(p, p) for k in range(4))
-    return {"N": n, "SX": sx, "SXX": sxx, "P": pr, "shift": shift}
+    return {"N": n, "SX": sx, "SXX": sxx, "P": pr, "LO": one["lo"]["min"].toArray().reshape(p, p),
+            "HI": one["hi"]["max"].toArray().reshape(p, p), "shift": shift}
+
+
+#: A variance below this share of the squared magnitude is rounding noise of the centred sums.
+NO_VARIANCE = 1e-24
 
 
 def pearson_from_sums(g: dict) -> np.ndarray:
+    """r per pair; NaN with fewer than two common rows, and where a column is constant on them."""
     n, sx, sxx, pr = g["N"], g["SX"], g["SXX"], g["P"]
     sy, syy = sx.T, sxx.T
     with np.errstate(divide="ignore", invalid="ignore"):
         cov = pr - sx * sy / n
         vx = sxx - sx * sx / n
         vy = syy - sy * sy / n
-        r = cov / np.sqrt(vx * vy)
-    r[(n < 2)] = np.nan
+        size = np.fmax(np.abs(g["LO"]), np.abs(g["HI"]))
+        flat = (g["LO"] == g["HI"]) | (vx <= NO_VARIANCE * n * size * size)
+        r = np.clip(cov / np.sqrt(vx * vy), -1.0, 1.0)
+    r[(n < 2) | flat | flat.T] = np.nan
     return r
 
 
@@ -157,33 +179,42 @@ def duplicate_column_pairs(df: DataFrame, cols=None) -> DataFrame:
 
 def vif(df: DataFrame, cols) -> DataFrame:
     """Uncentred VIF (regression without intercept) from the Gram matrix
-    X'X: VIF_i = G_ii * (G^-1)_ii; a singular matrix gives +inf.
-    Rows with a missing value in ``cols`` are left out."""
+    X'X: VIF_i = G_ii * (G^-1)_ii.  VIF does not depend on units, so G is first
+    scaled to a unit diagonal; columns that take part in an exact linear
+    dependence (and all-zero columns) get +inf, the others the VIF over the
+    independent directions.  Rows with a missing value in ``cols`` are left out."""
     cols = list(cols)
-    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]).na.drop()
+    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]).na.drop()
     p = len(cols)
-    sel = clean
+    # powers of two near each column's magnitude keep the sums in range and cost no precision
+    top = clean.agg(*[F.max(F.abs(f"c{i}")).alias(f"m{i}") for i in range(p)]).first()
+    unit = np.array([2.0 ** -np.frexp(v)[1] if v else 1.0 for v in top])
 
     def fold(batches):
         g = np.zeros((p, p))
         for pdf in batches:
-            x = pdf.to_numpy(dtype="float64")
+            x = pdf.to_numpy(dtype="float64") * unit
             g += x.T @ x
         yield pd.DataFrame({"v": [g.ravel().tolist()]})
 
-    tot = sel.mapInPandas(fold, "v array<double>").select(array_to_vector("v").alias("v")).agg(
+    tot = clean.mapInPandas(fold, "v array<double>").select(array_to_vector("v").alias("v")).agg(
         Summarizer.metrics("sum").summary(F.col("v")).alias("s")).first()["s"]["sum"].toArray()
-    g = tot.reshape(p, p)
-    try:
-        if np.linalg.matrix_rank(g) < p:
-            raise np.linalg.LinAlgError("singular")
-        inv = np.linalg.inv(g)
-        vals = [float(g[i, i] * inv[i, i]) for i in range(p)]
-    except np.linalg.LinAlgError:
-        vals = [float("inf")] * p
+    vals = vif_from_gram(tot.reshape(p, p))
     return df.sparkSession.createDataFrame(list(zip(cols, vals)), "feature string, vif double")
 
 
+def vif_from_gram(g: np.ndarray, tol: float = 1e-12) -> list[float]:
+    d = np.sqrt(np.diag(g))
+    live = np.flatnonzero(d > 0)
+    out = np.full(len(g), np.inf)
+    if len(live):
+        vals, vecs = np.linalg.eigh(g[np.ix_(live, live)] / np.outer(d[live], d[live]))
+        null = vals <= tol * len(live)
+        tied = (vecs[:, null] ** 2).sum(axis=1) > 1e-8
+        out[live] = np.where(tied, np.inf, (vecs[:, ~null] ** 2 / vals[~null]).sum(axis=1))
+    return [float(v) for v in out]
+
+
 def pca_explained_variance(df: DataFrame, vec_col: str, k: int, target: float = 0.99) -> DataFrame:
     """Explained-variance ratio per component (over all components),
     its cumulative sum and whether the component is needed for ``target``."""

@@ -383,10 +383,10 @@ def benign_fpr(scored: DataFrame, y: str, pred: str, benign: str = "BENIGN", by=
 
 
 def operational_projection(counts: DataFrame, flows_per_day: float = 10_000_000, cost_per_alert: float = 15.0) -> DataFrame:
-    """Per-day false alerts (fp rate x volume), missed attacks (fn rate x
-    volume) and alert cost, from tn/fp/fn/tp."""
+    """Per-day false alerts (false alarm rate fp / (fp + tn) x volume),
+    missed attacks (share of all flows x volume) and alert cost, from tn/fp/fn/tp."""
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
-    fa = _div(F.col("fp") * flows_per_day, n)
+    fa = _div(F.col("fp") * flows_per_day, F.col("fp") + F.col("tn"))
     return counts.select("*", fa.alias("false_alerts_per_day"),
                          _div(F.col("fn") * flows_per_day, n).alias("missed_attacks_per_day"),
                          (fa * cost_per_alert).alias("alert_cost_per_day"))

@@ -1,9 +1,10 @@
 """Classifiers on Spark ML.
 
-Each model is a ``PipelineModel``: VectorAssembler -> StringIndexer
-(alphabetical class codes, P7) -> classifier.  Scoring (M9) returns the
-evaluation contract used by :mod:`metrics`: ``y_true``, ``y_pred`` (class
-names), ``probs`` (array over the fitted class list) and ``score`` (the
+Each model is a ``PipelineModel``: VectorAssembler -> classifier.  Labels are
+indexed outside of it, over a fixed alphabetical class list (P7), so scoring
+needs the features only.  Scoring (M9) returns the evaluation contract used by
+:mod:`metrics`: ``y_true`` (null for rows without a label column), ``y_pred``
+(class names), ``probs`` (array over the fitted class list) and ``score`` (the
 probability of the second class, i.e. class 1 for 0/1 labels).
 Multiclass boosting (M5) is one binary GBT per class with probabilities
 renormalised - Spark's GBT is binary only and ``OneVsRest`` yields no
@@ -20,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -73,9 +74,14 @@ class FlowModel:
         if self.kind == "gbt_ovr":
             return self._score_ovr(df, keep)
         out = self.pipelines[0].transform(df)
-        probs = vector_to_array("probability")
+        # a single class is fitted with an empty second slot
+        probs = F.slice(vector_to_array("probability"), 1, len(self.classes))
+        return self._contract(out, keep, probs)
+
+    def _contract(self, out: DataFrame, keep, probs) -> DataFrame:
         classes = F.array(*[F.lit(c) for c in self.classes])
-        res = out.select(*keep, F.col(self.label).cast("string").alias("y_true"), probs.alias("probs"))
+        truth = F.col(self.label).cast("string") if self.label in out.columns else F.lit(None).cast("string")
+        res = out.select(*keep, truth.alias("y_true"), probs.alias("probs"))
         return res.select("*", F.element_at(classes, argmax("probs") + 1).alias("y_pred"),
                           F.element_at("probs", 2 if len(self.classes) > 1 else 1).alias("score"))
 
@@ -85,14 +91,11 @@ class FlowModel:
         for i, pm in enumerate(self.pipelines):
             c = f"_p{i}"
             cur = pm.transform(cur).withColumn(c, vector_to_array("probability")[1]).drop(
-                FEATURES_COL, "probability", "rawPrediction", "prediction", INDEX_COL)
+                FEATURES_COL, "probability", "rawPrediction", "prediction")
             pcols.append(c)
         tot = sum((F.col(c) for c in pcols[1:]), F.col(pcols[0]))
         probs = F.array(*[F.col(c) / F.nullif(tot, F.lit(0.0)) for c in pcols])
-        classes = F.array(*[F.lit(c) for c in self.classes])
-        res = cur.select(*keep, F.col(self.label).cast("string").alias("y_true"), probs.alias("probs"))
-        return res.select("*", F.element_at(classes, argmax("probs") + 1).alias("y_pred"),
-                          F.element_at("probs", 2 if len(self.classes) > 1 else 1).alias("score"))
+        return self._contract(cur, keep, probs)
 
     # -- M10 -----------------------------------------------------------------
     def importances(self, top: int = 20) -> list[tuple[str, float]]:
@@ -120,12 +123,14 @@ class FlowModel:
         return FlowModel(kind, features, label, classes, pms, 0.0)
 
 
-def _stages(features, label, labels_order, est):
-    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep")
-    si = StringIndexer(inputCol=label, outputCol=INDEX_COL, stringOrderType="alphabetAsc",
-                       handleInvalid="keep")
-    si.setStringOrderType("alphabetAsc")
-    return [va, si, est]
+def _stages(features, est):
+    return [VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep"), est]
+
+
+def class_index(classes, label):
+    """Position of a label in the class list (a column expression, null for others)."""
+    known = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
+    return F.element_at(known, F.col(label).cast("string"))
 
 
 def fit(train: DataFrame, features, label: str, kind: str, weight_col: str | None = None,
@@ -142,19 +147,16 @@ def fit(train: DataFrame, features, label: str, kind: str, weight_col: str | Non
             parallelism = params.pop("parallelism", min(len(classes), 8))
 
             def fit_one(c):
-                d = train.withColumn("_ovr", (F.col(label) == F.lit(c)).cast("string"))
+                d = train.withColumn(INDEX_COL, (F.col(label) == F.lit(c)).cast("double"))
                 est = classifier("gbt", seed=seed, weight_col=weight_col, **params)
-                return Pipeline(stages=[
-                    VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep"),
-                    StringIndexer(inputCol="_ovr", outputCol=INDEX_COL, stringOrderType="alphabetAsc"),
-                    est]).fit(d)
+                return Pipeline(stages=_stages(features, est)).fit(d)
             # the per-class fits are independent Spark jobs: submit them concurrently
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
                 pms = list(pool.map(fit_one, classes))
             return FlowModel(kind, features, label, classes, pms, time.time() - t0)
         est = classifier(kind, num_features=len(features), num_classes=len(classes), weight_col=weight_col,
                          seed=seed, **params)
-        pm = Pipeline(stages=_stages(features, label, classes, est)).fit(train)
+        pm = Pipeline(stages=_stages(features, est)).fit(train.withColumn(INDEX_COL, class_index(classes, label)))
         return FlowModel(kind, features, label, classes, [pm], time.time() - t0)
     finally:
         train.unpersist()

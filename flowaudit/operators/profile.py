@@ -136,6 +136,8 @@ def near_constant_columns(df: DataFrame, cols=None, share: float = 0.99) -> Data
     approximate median with rank error below ``1 - share`` lands on it.  So
     pass 1 takes that candidate per column and pass 2 counts it exactly: two
     wide aggregates instead of a value-frequency shuffle."""
+    if not share > 0.5:
+        raise ValueError("share must exceed 0.5: below it the most frequent value need not be the median")
     cols = list(cols or numeric_columns(df))
     acc = max(10_000, int(10 / max(1e-12, 1 - share)))
     vals = {c: nan_to_null(F.col(c).cast("double")) for c in cols}

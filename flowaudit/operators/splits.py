@@ -120,10 +120,12 @@ def grouped_split(df: DataFrame, features, key: str, test_size: float = 0.2,
 
 
 def chronological_split(df: DataFrame, day: str | None, out: str = "split") -> DataFrame:
-    """Mon-Wed train, Thu val, Fri test; no day column means 'Monday'."""
+    """Mon-Wed train, Thu val, Fri test; no day column means 'Monday'.
+    A row of any other day (or none) fails the job: it belongs to no part."""
     d = F.col(day) if day and day in df.columns else F.lit("Monday")
     return df.withColumn(out, F.when(d.isin("Monday", "Tuesday", "Wednesday"), "train")
-                         .when(d == "Thursday", "val").when(d == "Friday", "test"))
+                         .when(d == "Thursday", "val").when(d == "Friday", "test")
+                         .otherwise(F.raise_error(F.concat(F.lit("no split for day "), F.coalesce(d, F.lit("NULL"))))))
 
 
 def split(df: DataFrame, strategy: str, label: str, key: str, features=None, day: str | None = "day",

@@ -64,16 +64,18 @@ def duplicate_audit(df: DataFrame, schema: FlowSchema) -> dict:
             "duplicates_per_class": per_cls}
 
 
-def load_flows(spark, path: str, sample_frac: float = 0.10, seed: int = 42, min_class_rows: int = 6):
+def load_flows(spark, path: str, sample_frac: float = 1.0, seed: int = 42, min_class_rows: int = 6):
     """S1 + S2 + S4 + S6 + P1/P2 + P9 + T1: every CSV under ``path`` (names
-    trimmed, day from the file name, labels normalised), classes with at most
-    five rows removed, then a stratified ``sample_frac`` sample (1.0 keeps all).
-    Rows get a ``row_id`` (stable within one read of the same files)."""
+    trimmed, day from the file name, labels normalised).  With ``sample_frac``
+    below 1, classes of at most five rows are removed and a stratified sample
+    of the rest is taken; 1.0 keeps every row.  ``row_id`` follows from the
+    rows' contents (:func:`..sources.flows.content_ids`), so it does not
+    depend on how files are split over tasks."""
     from ..operators.splits import stratified_sample
-    from ..sources.flows import read_flows
+    from ..sources.flows import content_ids, read_flows
     df = read_flows(spark, path, names="strip", label="Label")
-    df = df.withColumn("row_id", F.monotonically_increasing_id())
-    df = C.filter_rare_classes(df, "Label", min_class_rows)
+    df = content_ids(df, "row_id")
     if sample_frac < 1.0:
+        df = C.filter_rare_classes(df, "Label", min_class_rows)
         df = stratified_sample(df, "Label", "row_id", sample_frac, seed)
     return df

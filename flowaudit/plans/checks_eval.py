@@ -115,9 +115,9 @@ def q_binary_metrics(spark, sf):
 
 
 @query("operational_projection", with_views(f"""WITH {_BIN_COUNTS}
-SELECT split, tn, fp, fn, tp, round(fp * 10000000.0 / (tn + fp + fn + tp), 6) AS false_alerts_per_day,
+SELECT split, tn, fp, fn, tp, round(coalesce(fp * 10000000.0 / nullif(fp + tn, 0), 0), 6) AS false_alerts_per_day,
   round(fn * 10000000.0 / (tn + fp + fn + tp), 6) AS missed_attacks_per_day,
-  round(fp * 10000000.0 / (tn + fp + fn + tp) * 15.0, 6) AS alert_cost_per_day FROM bc
+  round(coalesce(fp * 10000000.0 / nullif(fp + tn, 0), 0) * 15.0, 6) AS alert_cost_per_day FROM bc
 """, "scores"))
 def q_operational_projection(spark, sf):
     c = E.binary_counts(_scores_bin(spark, sf), "y", "pred", by=["split"])
@@ -174,7 +174,8 @@ def q_ranking_metrics_by_day(spark, sf):
 
 
 _OVR_SQL = """
-WITH e AS (SELECT vec_id, label, CAST(embedding[1:10] AS DOUBLE[]) AS x FROM embeddings),
+WITH e AS (SELECT vec_id, label, list_transform(range(1, 11), lambda c: list_sum(list_transform(
+  range(c, len(embedding) + 1, 10), lambda j: CAST(embedding[j] AS DOUBLE)))) AS x FROM embeddings),
 m AS (SELECT vec_id, label, x, list_max(x) AS mx FROM e),
 s AS (SELECT vec_id, label, x, mx, list_sum(list_transform(x, lambda v: exp(v - mx))) AS tot FROM m),
 cls AS (SELECT DISTINCT label AS c FROM embeddings),
@@ -191,12 +192,19 @@ SELECT round(avg(auc), 6) AS roc_auc_ovr, round(avg(ap), 6) AS pr_auc_macro FROM
 """
 
 
+def _class_sums(vec: str, k: int):
+    """k class scores out of a whole vector: class c sums the elements c, c + k, c + 2k, ..."""
+    x = F.col(vec).cast("array<double>")
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: F.aggregate(
+        F.filter(x, lambda _, j: j % k == c), F.lit(0.0), lambda a, v: a + v))
+
+
 @query("ovr_auc", _OVR_SQL)
 def q_ovr_auc(spark, sf):
     from ..functions.labels import class_list
     e = table(spark, sf, "embeddings")
     classes = class_list(e, "label")
-    sc = e.select("label", softmax(F.slice("embedding", 1, 10)).alias("probs"))
+    sc = e.select("label", softmax(_class_sums("embedding", 10)).alias("probs"))
     return _r(E.ovr_auc(sc, "label", "probs", classes), ["roc_auc_ovr", "pr_auc_macro"])
 
 
@@ -348,7 +356,7 @@ def q_micro_roc_points(spark, sf):
     from ..functions.labels import class_list
     e = table(spark, sf, "embeddings")
     classes = class_list(e, "label")
-    sc = e.select("label", softmax(F.slice("embedding", 1, 10)).alias("probs"))
+    sc = e.select("label", softmax(_class_sums("embedding", 10)).alias("probs"))
     r = E.micro_roc_points(sc, "label", "probs", classes)
     return r.select(F.round("threshold", 9).alias("threshold"), F.round("fpr", 6).alias("fpr"),
                     F.round("tpr", 6).alias("tpr"))

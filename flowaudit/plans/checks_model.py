@@ -258,7 +258,8 @@ def q_centred_pca(spark, sf):
 @query("importance_selection")
 def q_importance_selection(spark, sf):
     tr, _, _ = model_data(spark, sf, False)
-    si = tr.withColumn("label_idx", F.dense_rank().over(Window.orderBy("label")) - 1)
+    from ..functions.labels import class_list
+    si = tr.withColumn("label_idx", M.class_index(class_list(tr, "label"), "label"))
     m = FT.ImportanceSelector(inputCols=FLOW_FEATURES, labelCol="label_idx").fit(si)
     return spark.createDataFrame([(c,) for c in m.kept()], "feature string")
 
@@ -348,10 +349,9 @@ def q_imbalance_ablation(spark, sf):
 
 @query("paper_imbalance_grid")
 def q_paper_imbalance_grid(spark, sf):
-    """The neural network under none / class weight (as weighted sampling) / undersample / SMOTE."""
+    """The neural network under the five strategies of the grid."""
     return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="mlp",
-                                 strategies=["none", "class_weight", "undersample", "smote"],
-                                 parallelism=2, hidden=[64, 64], maxIter=50)
+                                 strategies=XP.PAPER_STRATEGIES, parallelism=2, hidden=[64, 64], maxIter=50)
 
 
 @query("clipping_experiment")
@@ -384,12 +384,10 @@ def q_permutation_importance(spark, sf):
 
 
 def _attribution(spark, sf):
-    from ..operators.splits import sample_without_replacement
     m, tr, te, feats = _binary_model(spark, sf)
     base = {r["feature"]: r["m"] for r in A_wide(
         tr, feats, {"m": lambda c: F.avg(c)}).collect()}
-    rows = sample_without_replacement(te, "flow_id", 1000)
-    return XA.sampled_shapley(m, rows, feats, base, key="flow_id", n_perm=10), m, feats, te
+    return XA.sampled_shapley(m, te, feats, base, key="flow_id", n_perm=10), m, feats, te
 
 
 @query("global_attribution")

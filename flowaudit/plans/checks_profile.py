@@ -564,7 +564,7 @@ def q_spearman_pairs(spark, sf):
 
 @query("vif")
 def q_vif(spark, sf):
-    cols = [c for c in FLOW_FEATURES if c not in C.constant_column_list(flows(spark, sf), FLOW_FEATURES)][:20]
+    cols = [c for c in FLOW_FEATURES if c not in C.constant_column_list(flows(spark, sf), FLOW_FEATURES)]
     return K.vif(flows(spark, sf), cols)
 
 

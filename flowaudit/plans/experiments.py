@@ -13,8 +13,9 @@ from __future__ import annotations
 import time
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from ..functions.labels import class_list
 from ..functions.missing import replace_infs
 from ..functions.rowwise import engineered_features
 from ..operators import balance as B
@@ -79,139 +80,189 @@ def threshold_analysis(df: DataFrame, features, label: str, key: str, benign: st
     return sweep, chosen
 
 
-def _multiclass_scores(sc: DataFrame, classes) -> dict:
+#: Classes with fewer rows leave cross-validation, ablation and imbalance runs.
+MIN_CLASS_ROWS = 5
+
+
+def _multiclass_scores(sc: DataFrame, model_classes, classes=None) -> dict:
+    """Six scores; with ``classes`` the probabilities are put onto that list
+    first, so classes the model never saw count with probability 0 (P8)."""
+    if classes is not None:
+        sc = M.pad_probs(sc, model_classes, classes)
     s = E.summary_metrics(sc, "y_true", "y_pred").first()
-    r = E.ovr_auc(sc, "y_true", "probs", classes, missing=0.0).first()
+    r = E.ovr_auc(sc, "y_true", "probs", classes or model_classes, missing=0.0).first()
     return {"f1_macro": s["macro_f1"], "f1_weighted": s["weighted_f1"], "f2_macro": s["macro_f2"],
             "mcc": s["mcc"], "roc_auc": r["roc_auc_ovr"], "pr_auc": r["pr_auc_macro"]}
 
 
+def _scored(model, test: DataFrame, key: str, work):
+    """``work`` on the scored test rows, which are kept while it runs."""
+    sc = model.score(test, keep=[key]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return work(sc)
+    finally:
+        sc.unpersist()
+
+
 def cross_validate(df: DataFrame, features, label: str, key: str, models: dict, k: int = 5,
                    test_size: float = 0.3, seed: int = 42, bootstrap_iterations: int = 100,
                    parallelism: int = 1):
     """E14 + E18: stratified k-fold CV on the training part (chain fitted per
-    fold), mean and population std of six scores, mean fit time; then the
-    first fold's model is bootstrapped on the held-out test part."""
+    fold), mean and population std of six scores over the global class list,
+    mean fit time; the first fold's model is bootstrapped on the test part.
+    Classes below ``MIN_CLASS_ROWS`` rows are left out."""
+    import numpy as np
     spark = df.sparkSession
-    sp = S.stratified_split(df, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    sp = S.stratified_split(C.filter_rare_classes(df, label, MIN_CLASS_ROWS), label, key, test_size, seed) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     train = S.kfold(sp.where("split = 'train'"), label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
     test = sp.where("split = 'test'")
     rows, boot_rows = [], []
-    for name, (kind, params) in models.items():
-        def run_fold(f, kind=kind, params=params):
-            (tr, va), feats = prepare(train.where(F.col("fold") != f), [train.where(F.col("fold") == f)], features)
-            t0 = time.time()
-            m = M.fit(tr, feats, label, kind, seed=seed, **params)
-            secs = time.time() - t0
-            sc = m.score(va, keep=[key]).persist(StorageLevel.MEMORY_AND_DISK)
-            res = _multiclass_scores(sc, m.classes)
-            sc.unpersist()
-            return res, secs, (m, feats, tr)
-        folds = _pmap(run_fold, range(k), parallelism)
-        scores, times, first = [x[0] for x in folds], [x[1] for x in folds], folds[0][2]
-        import numpy as np
-        row = {"model": name}
-        for metric in scores[0]:
-            vals = np.array([s[metric] for s in scores], dtype=float)
-            row[f"{metric}_mean"], row[f"{metric}_std"] = float(vals.mean()), float(vals.std())
-        row["fit_seconds"] = float(np.mean(times))
-        rows.append(row)
-        m, feats, tr0 = first
-        (_, te), _ = prepare(train.where(F.col("fold") != 0), [test], features)
-        sc = m.score(te, keep=[key])
-        ci = E.bootstrap_ci(E.bootstrap_metrics(sc, "y_true", "y_pred", key, bootstrap_iterations, seed)).first()
-        boot_rows.append({"model": name, **ci.asDict()})
-    train.unpersist()
-    sp.unpersist()
+    try:
+        classes = class_list(sp, label)
+        for name, (kind, params) in models.items():
+            def run_fold(f, kind=kind, params=params):
+                # the test part goes through the first fold's chain as well
+                (tr, va, te), feats = prepare(train.where(F.col("fold") != f), [train.where(F.col("fold") == f), test],
+                                              features)
+                t0 = time.time()
+                m = M.fit(tr, feats, label, kind, seed=seed, **params)
+                secs = time.time() - t0
+                return _scored(m, va, key, lambda sc: _multiclass_scores(sc, m.classes, classes)), secs, (m, te)
+            folds = _pmap(run_fold, range(k), parallelism)
+            scores, times, (m, te) = [x[0] for x in folds], [x[1] for x in folds], folds[0][2]
+            row = {"model": name}
+            for metric in scores[0]:
+                vals = np.array([s[metric] for s in scores], dtype=float)
+                row[f"{metric}_mean"], row[f"{metric}_std"] = float(vals.mean()), float(vals.std())
+            row["fit_seconds"] = float(np.mean(times))
+            rows.append(row)
+            ci = _scored(m, te, key, lambda sc: E.bootstrap_ci(
+                E.bootstrap_metrics(sc, "y_true", "y_pred", key, bootstrap_iterations, seed)).first())
+            boot_rows.append({"model": name, **ci.asDict()})
+    finally:
+        train.unpersist()
+        sp.unpersist()
     return spark.createDataFrame(rows), spark.createDataFrame(boot_rows)
 
 
-ABLATION_RECIPES = ["original", "cleaned", "engineered", "log1p", "decorrelated", "selected"]
+ABLATION_RECIPES = ["original", "cleaned", "reduced", "log", "engineered", "selected"]
 
 
 def ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "gbt_ovr",
              test_size: float = 0.3, seed: int = 42, parallelism: int = 1, **model_params) -> DataFrame:
-    """Six cumulative feature recipes, one result row each
-    (recipe, n_features, F1/F2 macro, MCC, PR-AUC macro, fit seconds)."""
+    """Six feature recipes, one result row each (recipe, n_features,
+    F1/F2 macro, MCC, PR-AUC macro, fit and inference seconds).
+
+    original: missing as 0; cleaned: constants dropped, medians; reduced: also
+    without correlated columns; log: then log1p; engineered: the same on the
+    features with the engineered ones; selected: then the 25 most important."""
     spark = df.sparkSession
     params = {"maxIter": 50, "maxDepth": 6} if model_kind == "gbt_ovr" else {}
     params.update(model_params)
-    d = C.filter_rare_classes(df, label, 2)
+    d = C.filter_rare_classes(df, label, MIN_CLASS_ROWS)
     eng = engineered_features(set(d.columns))
-    d_eng = d.withColumns(eng)
-    sp = S.stratified_split(d_eng, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    sp = S.stratified_split(d.withColumns(eng), label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     tr0, te0 = sp.where("split = 'train'"), sp.where("split = 'test'")
     feats0 = list(features)
+
     def run(recipe):
-        feats = feats0 + (list(eng) if recipe not in ("original", "cleaned") else [])
-        if recipe == "original":
-            (tr, te), feats = prepare(tr0, [te0], feats, scale=False, fill_zero=True)
-        else:
-            (tr, te), feats = prepare(tr0, [te0], feats, scale=False)
-        if recipe in ("log1p", "decorrelated", "selected"):
-            lg = Log1pHeavy(inputCols=feats).fit(tr)
-            tr, te = lg.transform(tr), lg.transform(te)
-        if recipe in ("decorrelated", "selected"):
+        feats = feats0 + (list(eng) if recipe in ("engineered", "selected") else [])
+        (tr, te), feats = prepare(tr0, [te0], feats, scale=False, fill_zero=recipe == "original")
+        if recipe not in ("original", "cleaned"):
             dc = DropColumns(inputCols=feats, rule="correlated", threshold=0.95).fit(tr)
             tr, te, feats = dc.transform(tr), dc.transform(te), dc.kept()
+        if recipe in ("log", "engineered", "selected"):
+            lg = Log1pHeavy(inputCols=feats).fit(tr)
+            tr, te = lg.transform(tr), lg.transform(te)
         if recipe == "selected":
-            idx = tr.withColumn("_li", F.dense_rank().over(Window.orderBy(label)) - 1)
-            sel = ImportanceSelector(inputCols=feats, labelCol="_li").fit(idx)
-            feats = sel.kept()
+            idx = tr.withColumn("_li", M.class_index(classes, label))
+            feats = ImportanceSelector(inputCols=feats, labelCol="_li").fit(idx).kept()
         t0 = time.time()
         m = M.fit(tr, feats, label, model_kind, seed=seed, **params)
         fit_s = time.time() - t0
-        sc = m.score(te, keep=[key]).persist(StorageLevel.MEMORY_AND_DISK)
-        s = _multiclass_scores(sc, m.classes)
-        sc.unpersist()
-        return (recipe, len(feats), s["f1_macro"], s["f2_macro"], s["mcc"], s["pr_auc"], fit_s)
-    out = _pmap(run, ABLATION_RECIPES, parallelism)
-    sp.unpersist()
+
+        def work(sc):
+            t1 = time.time()
+            sc.count()                       # the scoring pass itself
+            return time.time() - t1, _multiclass_scores(sc, m.classes, classes)
+        infer_s, s = _scored(m, te, key, work)
+        return (recipe, len(feats), s["f1_macro"], s["f2_macro"], s["mcc"], s["pr_auc"], fit_s, infer_s)
+    try:
+        classes = class_list(sp, label)
+        out = _pmap(run, ABLATION_RECIPES, parallelism)
+    finally:
+        sp.unpersist()
     return spark.createDataFrame(out, "recipe string, n_features int, f1_macro double, f2_macro double, "
-                                      "mcc double, pr_auc double, fit_seconds double")
+                                      "mcc double, pr_auc double, fit_seconds double, inference_seconds double")
 
 
 IMBALANCE_STRATEGIES = ["none", "class_weight", "undersample", "oversample", "smote"]
+PAPER_STRATEGIES = ["none", "class_weight", "weighted_sampler", "undersample_smote", "undersample_smote_class_weight"]
 
 
 def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind: str = "gbt_ovr",
                        strategies=IMBALANCE_STRATEGIES, test_size: float = 0.3, seed: int = 42,
                        benign: str = "BENIGN", parallelism: int = 1, **model_params) -> DataFrame:
-    """B12 (and B13 with an MLP and the paper's strategy list): resampling on
-    the training part only; F1/F2 macro, MCC, PR-AUC, minority recall, benign FPR."""
+    """B12 (and B13 with an MLP and ``PAPER_STRATEGIES``): resampling on the
+    training part only; F1/F2 macro, MCC, PR-AUC, minority recall, benign FPR.
+
+    ``undersample_smote`` cuts every class to the median class size, then grows
+    the smaller ones to it.  A model without a weight column gets class weights
+    as expected copies of its rows (``weights_as_copies``)."""
     spark = df.sparkSession
     params = {"maxIter": 50, "maxDepth": 6} if model_kind == "gbt_ovr" else {}
     params.update(model_params)
-    d = C.filter_rare_classes(df, label, 2)
+    d = C.filter_rare_classes(df, label, MIN_CLASS_ROWS)
     sp = S.stratified_split(d, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
-    mc = B.minority_class(tr, label).first()[label]
+
+    def weighted(t, id_col):
+        t = B.balanced_weights(t, label)
+        return (B.weights_as_copies(t, "weight", id_col, seed), None) if model_kind == "mlp" else (t, "weight")
+
+    def middle(t):
+        sizes = sorted(C.class_counts(t, label).values())
+        goal = sizes[len(sizes) // 2]
+        under = {c: min(n, goal) for c, n in C.class_counts(t, label).items()}
+        out = smote(B.undersample(t, label, key, under, seed), label, key, feats, {c: goal for c in under}, seed=seed)
+        return out.withColumn("_id", F.xxhash64("base_key", "synthetic", *feats))
+
     def run(s):
         weight = None
         if s == "class_weight":
-            if model_kind == "mlp":       # no weightCol: sampling replaces weights
-                t, weight = B.weighted_sample(tr, label, key, seed=seed), None
-            else:
-                t, weight = B.balanced_weights(tr, label), "weight"
+            t, weight = weighted(tr, key)
+        elif s == "weighted_sampler":
+            t = B.weighted_sample(tr, label, key, seed=seed)
         elif s == "undersample":
             t = B.undersample(tr, label, key, seed=seed)
         elif s == "oversample":
             t = B.oversample(tr, label, key, seed=seed)
         elif s == "smote":
             t = smote(tr, label, key, feats, seed=seed)
-        else:
+        elif s == "undersample_smote":
+            t = middle(tr)
+        elif s == "undersample_smote_class_weight":
+            t, weight = weighted(middle(tr), "_id")
+        elif s == "none":
             t = tr
+        else:
+            raise ValueError(f"unknown strategy {s}")
         t0 = time.time()
         m = M.fit(t, feats, label, model_kind, weight_col=weight, seed=seed, **params)
         fit_s = time.time() - t0
-        sc = m.score(te, keep=[key]).persist(StorageLevel.MEMORY_AND_DISK)
-        r = _multiclass_scores(sc, m.classes)
-        mr = E.minority_recall(sc, "y_true", "y_pred", mc).first()[0]
-        bf = E.benign_fpr(sc, "y_true", "y_pred", benign).first()[0]
-        sc.unpersist()
+        r, mr, bf = _scored(m, te, key, lambda sc: (
+            _multiclass_scores(sc, m.classes, classes), E.minority_recall(sc, "y_true", "y_pred", mc).first()[0],
+            E.benign_fpr(sc, "y_true", "y_pred", benign).first()[0]))
         return (s, r["f1_macro"], r["f2_macro"], r["mcc"], r["pr_auc"], mr, bf, fit_s)
-    out = _pmap(run, strategies, parallelism)
-    sp.unpersist()
+    try:
+        classes = class_list(sp, label)
+        (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
+        tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+        mc = B.minority_class(tr, label).first()[label]
+        out = _pmap(run, strategies, parallelism)
+        tr.unpersist()
+    finally:
+        sp.unpersist()
     return spark.createDataFrame(out, "strategy string, f1_macro double, f2_macro double, mcc double, "
                                       "pr_auc double, minority_recall double, benign_fpr double, fit_seconds double")
 
@@ -272,14 +323,15 @@ def split_strategy_experiment(df: DataFrame, features, label: str, key: str, mod
         sp = S.split(df, s, label, key, features, day, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             lk = leakage(sp.where("split = 'train'"), sp.where("split = 'test'"), features).first()["leakage_pct"]
+            if sp.where("split = 'train'").isEmpty() or sp.where("split = 'test'").isEmpty():
+                # an empty part has no metrics, but the strategy is still reported
+                return [(s, name, lk, None, None, None, None) for name in models]
             (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features)
-            if te.isEmpty() or tr.isEmpty():
-                return []
             rows = []
             for name, (kind, params) in models.items():
                 m = M.fit(tr, feats, label, kind, seed=seed, **params)
                 s_ = E.summary_metrics(m.score(te, keep=[key]), "y_true", "y_pred").first()
-                rows.append((s, name, float(lk), s_["accuracy"], s_["macro_f1"], s_["weighted_f1"], s_["mcc"]))
+                rows.append((s, name, lk, s_["accuracy"], s_["macro_f1"], s_["weighted_f1"], s_["mcc"]))
             return rows
         finally:
             sp.unpersist()

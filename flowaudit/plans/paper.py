@@ -46,11 +46,9 @@ def prepare_paper_split(df: DataFrame, features, key: str, path: str | None = No
 def run_paper_pipeline(spark, data_path: str, out_path: str, seed: int = 42):
     """Paper pipeline end to end: read (snake-case names, repeated header
     dropped) -> C19 -> T4 split -> C15 scaling fitted on train -> S10 write."""
-    from pyspark.sql import functions as F
-
-    from ..sources.flows import read_flows
+    from ..sources.flows import content_ids, read_flows
     df = read_flows(spark, data_path, names="snake", label="Label", add_day=False)
-    df = df.withColumn("row_id", F.monotonically_increasing_id())
+    df = content_ids(df, "row_id")
     feats = [c for c in df.columns if c not in ("label", "row_id")]
     cleaned, keep = clean_paper(df, feats, "label")
     return prepare_paper_split(cleaned, keep, "row_id", out_path, seed=seed)

@@ -14,17 +14,22 @@ def get_spark(master: str | None = None, app: str = "flowaudit",
 
     AQE re-plans joins and coalesces shuffle partitions at run time; skew-join
     splitting guards the joins on feature vectors, where one vector may hold
-    a large share of the rows.  On a cluster the master and sizes come from
-    ``spark-submit``; ``master`` is only used for local runs and tests.
+    a large share of the rows.  Master and sizes come from ``spark-submit`` or
+    the defaults file unless given here: settings made in code would override
+    them.  ``master`` is for local runs and tests; a local master given here
+    gets one shuffle partition per core.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    if master is not None or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(os.environ.get("FLOWAUDIT_SHUFFLE_PARTITIONS", cpus))
+    if master is not None:
+        builder = builder.master(master)
+        if shuffle_partitions is None and master.startswith("local["):
+            cores = master[len("local["):].split("]")[0].split(",")[0]
+            shuffle_partitions = os.cpu_count() if cores == "*" else int(cores)
+        builder = builder.config("spark.driver.memory", os.environ.get("FLOWAUDIT_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -33,7 +38,6 @@ def get_spark(master: str | None = None, app: str = "flowaudit",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("FLOWAUDIT_DRIVER_MEMORY", "16g"))
     )
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
@@ -81,14 +85,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over ``defaultParallelism`` partitions before a
     row-multiplying step (explode over iterations, permutations, coalitions).
 
-    ``spark.flowaudit.spread``: ``always`` | ``never`` | ``auto`` (default).
-    ``auto`` spreads only in local mode, where small test files arrive as one
-    split; on a cluster the scanned inputs are already split into many
-    partitions and an extra shuffle would be waste.  (Asking a DataFrame for
-    its partition count would run its shuffle stages under AQE, so the
-    decision does not inspect the data.)"""
-    sc = df.sparkSession.sparkContext
-    mode = df.sparkSession.conf.get("spark.flowaudit.spread", "auto")
-    if mode == "never" or (mode == "auto" and not sc.master.startswith("local")):
+    The shuffle moves the narrow rows, before they are multiplied; the plan is
+    the same whatever the deployment.  ``spark.flowaudit.spread`` set to
+    ``never`` leaves the partitioning alone, for inputs that are known to be
+    split well."""
+    if df.sparkSession.conf.get("spark.flowaudit.spread", "always") == "never":
         return df
-    return df.repartition(min_partitions or sc.defaultParallelism)
+    width = max(df.sparkSession.sparkContext.defaultParallelism,
+                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(min_partitions or width)

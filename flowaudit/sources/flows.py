@@ -1,7 +1,7 @@
 """Flow CSV ingest (S1-S9) and the capture-file provenance table.
 
-Files are grouped by their header line (read once per file on the driver,
-like CSV schema inference does), each group is read in ONE distributed
+Files are grouped by their header line (read by a pool of driver threads, or
+declared with ``header`` where the files are too many to open), each group is read in ONE distributed
 ``spark.read.csv`` with an explicit all-string schema, and the groups are
 combined with ``unionByName(allowMissingColumns=True)`` - so files whose
 columns come in a different order cannot be misaligned.  Numbers are parsed
@@ -11,6 +11,8 @@ becomes NULL at ingest; +-Inf stays until cleaning (C1).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.labels import normalise_label
@@ -87,20 +89,27 @@ def day_from_file(path_col: Column | None = None) -> Column:
 
 def read_flows(spark: SparkSession, path: str, names: str = "strip", label: str = "Label",
                drop_columns=("fwd_header_length.1", "Fwd Header Length.1"), add_day: bool = True,
-               fix_labels: bool = True, numeric: bool = True) -> DataFrame:
-    """All flow CSVs under ``path`` (a folder or glob) as one DataFrame."""
+               fix_labels: bool = True, numeric: bool = True, header: str | None = None) -> DataFrame:
+    """All flow CSVs under ``path`` (a folder or glob) as one DataFrame.
+
+    ``header``: the header line that all files share, if known; no file is
+    then opened before the job itself reads it."""
     pattern = path if any(ch in path for ch in "*?[") else path.rstrip("/") + "/*"
     files = list_files(spark, pattern)
     if not files:
         raise FileNotFoundError(f"No CSV files found in {path}")
     groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(read_header(spark, f), []).append(f)
+    if header is not None:
+        groups[header] = files
+    else:
+        with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
+            for f, line in zip(files, pool.map(lambda f: read_header(spark, f), files)):
+                groups.setdefault(line, []).append(f)
     clean = clean_names_snake if names == "snake" else clean_names_strip
     label_name = clean([label])[0]
     parts = []
-    for header, paths in groups.items():
-        raw = [h for h in header.split(",")]
+    for line, paths in groups.items():
+        raw = line.split(",")
         cols = dedupe_names(clean(raw))
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
         d = (spark.read.schema(schema).option("header", True).option("ignoreLeadingWhiteSpace", True)
@@ -121,6 +130,17 @@ def read_flows(spark: SparkSession, path: str, names: str = "strip", label: str
     return df
 
 
+def content_ids(df: DataFrame, out: str = "row_id") -> DataFrame:
+    """Adds an id that depends on the rows' contents alone: the hash of the row
+    and of its number among equal rows.  Equal rows are counted and multiplied
+    again, so a row repeated very often costs one group, and neither file
+    splits nor core counts change an id."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))) \
+        .withColumn(out, F.xxhash64(*cols, "_copy")).drop("_copies", "_copy")
+
+
 def capture_files(spark: SparkSession) -> DataFrame:
     """File -> day and attack content."""
     return spark.createDataFrame(CAPTURE_FILES, "file string, day string, content string")
