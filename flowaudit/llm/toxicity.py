@@ -4,7 +4,8 @@ Features are the presence of hashed character n-grams, each scaled by its
 log-count ratio r = log(P(gram | toxic) / P(gram | clean)) (Wang and Manning,
 2012); a logistic regression is fitted on the scaled features.  Grams are
 ranked by how far apart their document rates are in the two classes, and the
-``features`` best are used.
+``features`` best are used (at most two per labelled row, so that a small
+sample does not get more features than it can tell apart).
 
 The fit reads a bounded sample of labelled rows (``max_rows``, chosen by a
 hash of the id); scoring covers every text as a whole.
@@ -108,7 +109,7 @@ def _regression(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.nd
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", usable=lambda doc_id: F.lit(True),
-        features: int = FEATURES, max_rows: int = MAX_ROWS, alpha: float = 1.0, l2: float = 1e-5,
+        features: int = FEATURES, max_rows: int = MAX_ROWS, alpha: float = 1.0, l2: float = 1e-4,
         steps: int = 300) -> Model:
     """Learns from the rows of ``labels`` (doc_id, ``column``) whose id ``usable`` accepts.
 
@@ -127,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", usable=lambda
         else:
             p = (pos + neg) / (n1 + n0)
             apart = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-            used = np.sort(np.argsort(-apart, kind="stable")[:features])
+            used = np.sort(np.argsort(-apart, kind="stable")[:min(features, 2 * (n1 + n0))])
         slot = np.full(1 << BITS, len(used), np.int32)
         slot[used] = np.arange(len(used))
         model = Model(slot, ratio[used], np.zeros(len(used)), math.log((n1 + 1) / (n0 + 1)))
