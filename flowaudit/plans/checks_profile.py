@@ -568,6 +568,39 @@ def q_vif(spark, sf):
     return K.vif(flows(spark, sf), cols)
 
 
+_MIXED = ["tenth", "price", "gap", "noise"]
+_MIXED_SQL = """WITH mixed AS (SELECT CAST(0.1 AS DOUBLE) AS tenth, CAST(o_totalprice AS DOUBLE) * 1e4 AS price,
+  CASE WHEN o_orderkey % 2 = 0 THEN CAST(7.3 AS DOUBLE) WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS gap,
+  CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey % 97 AS DOUBLE) END AS noise FROM orders)"""
+
+
+def mixed_orders(spark, sf):
+    """A non-zero constant, very different scales, and a column that is constant where another is present."""
+    o = table(spark, sf, "orders")
+    even = F.col("o_orderkey") % 2 == 0
+    cust = F.col("o_custkey")
+    return o.select(
+        F.lit(0.1).alias("tenth"), (F.col("o_totalprice").cast("double") * 1e4).alias("price"),
+        F.when(even, F.lit(7.3)).when(cust % 3 == 0, None).otherwise(cust.cast("double")).alias("gap"),
+        F.when(even, (cust % 97).cast("double")).alias("noise"))
+
+
+@query("pearson_constants", _MIXED_SQL + ", pr AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, CASE WHEN count(*) < 2 OR min({a}) = max({a}) OR min({b}) = max({b}) "
+    f"THEN CAST('NaN' AS DOUBLE) ELSE corr({a}, {b}) END AS r FROM mixed WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+    for i, a in enumerate(_MIXED) for b in _MIXED[i + 1:]) + ") SELECT feature_a, feature_b, round(r, 6) AS r FROM pr")
+def q_pearson_constants(spark, sf):
+    return K.pearson_pairs(mixed_orders(spark, sf), _MIXED).withColumn("r", F.round("r", 6))
+
+
+@query("vif_pair", _MIXED_SQL + """, g AS (SELECT sum(price * price) AS a, sum(noise * noise) AS b, sum(price * noise) AS c
+  FROM mixed WHERE noise IS NOT NULL)
+SELECT unnest(['price', 'noise']) AS feature, round(a * b / (a * b - c * c), 6) AS vif FROM g""")
+def q_vif_pair(spark, sf):
+    """Closed form for two columns, a factor of 1e7 apart in scale."""
+    return K.vif(mixed_orders(spark, sf), ["price", "noise"]).withColumn("vif", F.round("vif", 6))
+
+
 @query("pca_explained_variance")
 def q_pca_explained_variance(spark, sf):
     from pyspark.ml.functions import array_to_vector
@@ -643,6 +676,20 @@ def q_csv_roundtrip(spark, sf):
     """The dirty flows written as one CSV folder per capture day
     (Monday with another column order), read back with :func:`read_flows`."""
     from ..sources.flows import read_flows
+    back = read_flows(spark, _write_days(spark, sf), names="snake", label="Label")
+    return back.select("row_id", "label", "day", *DIRTY_FEATURES)
+
+
+@query("load_flows", with_views("""SELECT day, label, count(*) AS cnt, count(*) AS ids FROM flows_dirty GROUP BY day, label""",
+                                "flows_dirty"))
+def q_load_flows(spark, sf):
+    """S1/S2/S4/S6 through the one entry point: every row is loaded, each with an id of its own."""
+    df = _audit.load_flows(spark, _write_days(spark, sf))
+    return df.groupBy(F.col("Day").alias("day"), F.col("Label").alias("label")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.count_distinct("row_id").alias("ids"))
+
+
+def _write_days(spark, sf) -> str:
     from ..sources.store import scratch_path
     d = flows_dirty(spark, sf)
     base = scratch_path(spark, "csv")
@@ -651,8 +698,7 @@ def q_csv_roundtrip(spark, sf):
         cols = order if day != "Monday" else list(reversed(order))
         part = d.where(F.col("day") == day).select(*[F.col(c).alias(_RAW_NAMES[c]) for c in cols])
         part.write.mode("overwrite").option("header", True).csv(f"{base}/{day}-WorkingHours.csv")
-    back = read_flows(spark, base, names="snake", label="Label")
-    return back.select("row_id", "label", "day", *DIRTY_FEATURES)
+    return base
 
 
 # ---- C18 / C19 compositions (long form: the kept columns depend on the data) ---
