@@ -1,8 +1,8 @@
 """Duplicate audit (U1-U6) and duplicate-driven row removal.
 
-All counts come from one aggregation on the exact row key
-(features + label + day) followed by a re-aggregation of its *distinct*
-rows on the feature key.  Partial aggregation collapses a hot vector
+All counts come from one aggregation on the exact row key (the features'
+128-bit digest + label + day) followed by a re-aggregation of its *distinct*
+rows on the digest; the vectors themselves are not shuffled.  Partial aggregation collapses a hot vector
 map-side, so a vector holding a third of the table costs one row per
 map task, not one giant reducer.  Grouping treats NULL=NULL, NaN=NaN and
 -0.0=0.0 as equal, like pandas ``duplicated``.
@@ -12,18 +12,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.missing import row_digest
 from ..schema import FlowSchema
 
 
 def exact_groups(df: DataFrame, schema: FlowSchema) -> DataFrame:
-    """(features, label, day, cnt): one row per distinct full row."""
-    keys = list(schema.features) + [schema.label] + ([schema.day] if schema.day else [])
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    """(digest of the features, label, day, cnt): one row per distinct full row."""
+    keys = [schema.label] + ([schema.day] if schema.day else [])
+    return df.select(*row_digest(schema.features), *keys).groupBy("_d1", "_d2", *keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def vector_groups(exact: DataFrame, schema: FlowSchema) -> DataFrame:
-    """(features, n, n_rowkeys, conflicting) from the exact groups."""
-    return exact.groupBy(*schema.features).agg(
+    """(digest, n, n_rowkeys, conflicting) from the exact groups."""
+    return exact.groupBy("_d1", "_d2").agg(
         F.sum("cnt").alias("n"),
         F.count(F.lit(1)).alias("n_rowkeys"),
         (F.min(schema.label) != F.max(schema.label)).alias("conflicting"),
@@ -49,7 +50,7 @@ def exact_duplicate_count(df: DataFrame, schema: FlowSchema) -> DataFrame:
 
 def feature_duplicate_count(df: DataFrame, schema: FlowSchema) -> DataFrame:
     """Rows repeating an earlier feature vector (label and day ignored)."""
-    return (df.groupBy(*schema.features).agg(F.count(F.lit(1)).alias("cnt"))
+    return (df.select(*row_digest(schema.features)).groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("cnt"))
               .agg(F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).cast("bigint").alias("feature_duplicates")))
 
 

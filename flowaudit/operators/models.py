@@ -13,6 +13,7 @@ probabilities.
 
 from __future__ import annotations
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,7 +24,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rowwise import argmax
 
@@ -113,14 +114,20 @@ class FlowModel:
         return pairs[:top]
 
     def save(self, path: str) -> None:
-        """Persist each pipeline (Spark ML writer) under ``path``."""
+        """Persist each pipeline (Spark ML writer) under ``path``, with what
+        the model needs besides: kind, features, label, classes."""
         for i, pm in enumerate(self.pipelines):
             pm.write().overwrite().save(f"{path}/pipeline_{i}")
+        about = {"kind": self.kind, "features": self.features, "label": self.label, "classes": self.classes,
+                 "pipelines": len(self.pipelines), "fit_seconds": self.fit_seconds}
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
     @staticmethod
-    def load(path: str, kind, features, label, classes, n: int = 1) -> "FlowModel":
-        pms = [PipelineModel.load(f"{path}/pipeline_{i}") for i in range(n)]
-        return FlowModel(kind, features, label, classes, pms, 0.0)
+    def load(path: str) -> "FlowModel":
+        about = json.loads(SparkSession.active().read.text(f"{path}/about").first()[0])
+        pms = [PipelineModel.load(f"{path}/pipeline_{i}") for i in range(about["pipelines"])]
+        return FlowModel(about["kind"], about["features"], about["label"], about["classes"], pms, about["fit_seconds"])
 
 
 def _stages(features, est):
@@ -162,11 +169,6 @@ def fit(train: DataFrame, features, label: str, kind: str, weight_col: str | Non
         train.unpersist()
 
 
-def drop_unseen_classes(val: DataFrame, train_classes, label: str) -> DataFrame:
-    """Validation rows whose class was not seen in training are dropped."""
-    return val.where(F.col(label).cast("string").isin([str(c) for c in train_classes]))
-
-
 def pad_probs(scored: DataFrame, model_classes, all_classes, out: str = "probs") -> DataFrame:
     """Re-index model probabilities onto a global class list (0 for
     classes the model never saw)."""
@@ -200,7 +202,7 @@ def train_all(train: DataFrame, features, label: str, models: dict | None = None
 def evaluate_all(models: dict, test: DataFrame, task: str = "multiclass", keep=("row_id",)) -> DataFrame:
     """One metric row per model (binary: 11 metrics; multiclass: 8), rounded to 6."""
     from . import metrics as E
-    rows = None
+    rows = []
     for name, m in models.items():
         sc = m.score(test, keep).cache()
         if task == "binary":
@@ -214,9 +216,9 @@ def evaluate_all(models: dict, test: DataFrame, task: str = "multiclass", keep=(
             o = E.ovr_auc(sc, "y_true", "probs", m.classes)
             row = _one_row_join(s, o.select("roc_auc_ovr"))
         row = row.select(F.lit(name).alias("model"), *[F.round(c, 6).alias(c) for c in row.columns])
-        rows = row if rows is None else rows.unionByName(row)
+        rows.append((row.schema, tuple(row.first())))        # one row, read while the scores are kept
         sc.unpersist()
-    return rows
+    return test.sparkSession.createDataFrame([r for _, r in rows], rows[0][0])
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:

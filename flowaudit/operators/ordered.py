@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.labels import MAX_CLASSES
 
 _B = "_fa_bucket"
+#: Quantile splits found by a sketch and sent with the plan, whatever the number of rows.
+MAX_SPLITS = 1024
 
 
 def bucket_rows(spark) -> int:
@@ -53,9 +55,10 @@ def _group_counts(df: DataFrame, group_cols) -> dict:
 
 def with_value_bucket(df: DataFrame, order_col: str, descending: bool = False,
                       target: int | None = None) -> DataFrame:
-    """Add the bucket column: approximate-quantile splits of ``order_col``
-    (B = rows / target, at least one), applied with ``Bucketizer`` (a binary
-    search on the JVM).  NULLs go first, NaN last; negated when descending."""
+    """Add the bucket column (B = rows / target, at least one): at most
+    ``MAX_SPLITS`` approximate-quantile splits of ``order_col``, found by a
+    sketch of fixed size and applied with ``Bucketizer`` (a binary search on
+    the JVM); beyond that each bucket is cut into equal steps of its range.  NULLs go first, NaN last; negated when descending."""
     target = target or bucket_rows(df.sparkSession)
     x = F.col(order_col).cast("double")
     n = df.count()
@@ -63,14 +66,26 @@ def with_value_bucket(df: DataFrame, order_col: str, descending: bool = False,
     if nb == 1:
         out = df.withColumn(_B, F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), F.lit(1)).otherwise(F.lit(0)))
     else:
-        probs = [i / nb for i in range(1, nb)]
-        qs = df.select(F.percentile_approx(x, probs, 10 * nb + 10000)).first()[0]
-        splits = sorted({float(q) for q in qs if q is not None and not math.isnan(q)} - {float("inf"), float("-inf")})
-        splits = [float("-inf")] + splits + [float("inf")]
-        bz = Bucketizer(splits=splits, inputCol="_fa_x", outputCol="_fa_bz", handleInvalid="keep")
-        out = (bz.transform(df.withColumn("_fa_x", F.coalesce(x, F.lit(float("nan")))))
-                 .withColumn(_B, F.when(x.isNull(), F.lit(-1)).otherwise(F.col("_fa_bz").cast("int")))
-                 .drop("_fa_x", "_fa_bz"))
+        coarse = min(nb, MAX_SPLITS)
+        probs = [i / coarse for i in range(1, coarse)]
+        fin = F.when(F.abs(x) < float("inf"), x)
+        qs, lo, hi = df.select(F.percentile_approx(x, probs, 10 * MAX_SPLITS + 10000), F.min(fin), F.max(fin)).first()
+        splits = sorted({float(q) for q in qs or () if q is not None and not math.isnan(q)} - {float("inf"), float("-inf")})
+        bz = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_fa_x", outputCol="_fa_bz",
+                        handleInvalid="keep")
+        out = bz.transform(df.withColumn("_fa_x", F.coalesce(x, F.lit(float("nan")))))
+        fine = math.ceil(nb / coarse)
+        place = F.col("_fa_bz").cast("int")
+        if fine > 1 and lo is not None:
+            # equal steps between the edges of a coarse bucket: monotone, so the order is kept
+            edges = F.array(*[F.lit(v) for v in [float(lo), *splits, float(hi)]])
+            a, b = F.element_at(edges, place + 1), F.element_at(edges, place + 2)
+            step = F.floor((F.col("_fa_x") - a) / F.nullif(b - a, F.lit(0.0)) * fine).cast("bigint")
+            inner = F.greatest(F.lit(0), F.least(F.coalesce(step, F.lit(0)), F.lit(fine - 1))).cast("int")
+            inside = (place <= len(splits)) & (F.abs("_fa_x") < float("inf"))
+            inner = F.when(inside, inner).when(F.col("_fa_x") > 0, fine - 1).otherwise(0)
+            place = place * fine + inner
+        out = out.withColumn(_B, F.when(x.isNull(), F.lit(-1)).otherwise(place)).drop("_fa_x", "_fa_bz")
     return out.withColumn(_B, -F.col(_B)) if descending else out
 
 
@@ -151,10 +166,3 @@ def hash_rank(df: DataFrame, group_cols, key: str, seed: int, out: str = "rank",
     tmp = df.withColumn("_fa_h", hash_key(key, seed)).withColumn("_fa_one", F.lit(1))
     ranked = prefix_sums(tmp, "_fa_h", ["_fa_one"], group_cols=group_cols, bucket=b, prefix="_fa_cum")
     return ranked.withColumnRenamed("_fa_cum_fa_one", out).drop("_fa_h", "_fa_one")
-
-
-def running_totals(df: DataFrame, order_cols, sum_cols, group_cols=(), descending=False,
-                   prefix: str = "cum_") -> DataFrame:
-    """Back-compatible wrapper over :func:`prefix_sums` with one order column."""
-    (order_col,) = list(order_cols)
-    return prefix_sums(df, order_col, sum_cols, group_cols, descending=descending, prefix=prefix)

@@ -15,7 +15,7 @@ from ..functions.missing import INF, is_missing, nan_to_null
 from ..functions.rowwise import port_bucket
 from ..schema import BENIGN
 from ..session import cut_lineage
-from .ordered import running_totals
+from .ordered import prefix_sums
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
@@ -227,7 +227,7 @@ def quantiles(df: DataFrame, cols, probs, method: str = "exact",
     # the value table feeds the bucket splits, the totals and the running counts:
     # materialise it once (reliable checkpoint) instead of re-aggregating three times
     vt = cut_lineage(value_table(df, cols).where(F.col("value").isNotNull()))
-    rt = running_totals(vt, ["value"], ["cnt"], group_cols=["feature"])
+    rt = prefix_sums(vt, "value", ["cnt"], group_cols=["feature"])
     totals = vt.groupBy("feature").agg(F.sum("cnt").alias("n"))
     rt = rt.join(totals, "feature")
     a = F.col("cum_cnt") - F.col("cnt")

@@ -14,6 +14,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.missing import row_digest
 from ..functions.labels import MAX_CLASSES
 from .ordered import hash_key, hash_rank
 
@@ -104,19 +105,17 @@ def grouped_split(df: DataFrame, features, key: str, test_size: float = 0.2,
                   val_size: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
     """Identical feature vectors stay together.  A group is identified by
     its smallest row id; ``ceil(test_size * groups)`` groups go to test, then
-    ``ceil(val/(1-test) * rest)`` of the rest to val.  The row-to-group join is
-    null-safe on the full vector (never on a bare hash)."""
-    features = list(features)
-    groups = df.groupBy(*features).agg(F.min(key).alias("_gid"))
+    ``ceil(val/(1-test) * rest)`` of the rest to val.  Rows meet their group on
+    the vector's 128-bit digest."""
+    digest = row_digest(features)
+    groups = df.select(*digest, key).groupBy("_d1", "_d2").agg(F.min(key).alias("_gid"))
     n_groups = groups.count()
     n_test = math.ceil(test_size * n_groups - 1e-9)
     n_val = math.ceil(val_size / (1.0 - test_size) * (n_groups - n_test) - 1e-9)
     ranked = hash_rank(groups, [], "_gid", seed, out="_grank", counts={(): n_groups})
     g = ranked.withColumn(out, F.when(F.col("_grank") <= n_test, "test")
                           .when(F.col("_grank") <= n_test + n_val, "val").otherwise("train"))
-    left, right = df.alias("_l"), g.select(*features, out).alias("_r")
-    cond = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in features]
-    return left.join(right, cond, "inner").select(*[F.col(f"_l.{c}") for c in df.columns], F.col(f"_r.{out}"))
+    return df.select("*", *digest).join(g.select("_d1", "_d2", out), ["_d1", "_d2"]).select(*df.columns, out)
 
 
 def chronological_split(df: DataFrame, day: str | None, out: str = "split") -> DataFrame:

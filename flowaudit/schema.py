@@ -41,15 +41,6 @@ RAW_FEATURES = [
     "Idle Mean", "Idle Std", "Idle Max", "Idle Min",
 ]
 
-# The fifteen raw class names.
-CLASSES = [
-    "BENIGN", "DoS Hulk", "PortScan", "DDoS",
-    "DoS GoldenEye", "FTP-Patator", "SSH-Patator",
-    "DoS slowloris", "DoS Slowhttptest", "Bot",
-    "Web Attack - Brute Force", "Web Attack - XSS",
-    "Infiltration", "Web Attack - Sql Injection", "Heartbleed",
-]
-
 # Raw class -> attack family (paper pipeline).
 LABEL_FAMILIES = {
     "BENIGN": "Benign",
@@ -81,7 +72,6 @@ CAPTURE_FILES = [
     ("Friday-WorkingHours-Afternoon-DDos.pcap_ISCX.csv", "Friday", "Benign, DDoS"),
 ]
 
-DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]
 BENIGN = "BENIGN"
 # Columns never treated as features (label encodings and capture day).
 NON_FEATURES = ("Label", "Binary_Label", "Multi_Label", "Day",
@@ -94,19 +84,6 @@ def snake_name(column: str) -> str:
     return column.strip(" ").replace("/", "_").replace(" ", "_").lower()
 
 
-def flow_csv_schema(features: list[str] | None = None, label: str = "Label") -> T.StructType:
-    """Explicit CSV schema: every feature a double, the label a string.
-
-    One schema for all files means no per-file type inference can differ.
-    Features are read as strings first only by :func:`sources.flows.read_flows`
-    when numeric coercion is requested.
-    """
-    names = list(features or RAW_FEATURES)
-    fields = [T.StructField(n, T.DoubleType(), True) for n in names]
-    fields.append(T.StructField(label, T.StringType(), True))
-    return T.StructType(fields)
-
-
 @dataclass(frozen=True)
 class FlowSchema:
     """Names of the roles columns play; passed explicitly to every operator."""
@@ -117,17 +94,6 @@ class FlowSchema:
     row_id: str | None = "row_id"
     extra: tuple[str, ...] = field(default_factory=tuple)
 
-    @staticmethod
-    def infer(df: DataFrame, label: str = "label", day: str | None = "day",
-              row_id: str | None = "row_id") -> "FlowSchema":
-        """Features = numeric columns other than label/day/id (dtype-driven, S9)."""
-        skip = {label, day, row_id, *NON_FEATURES}
-        feats = tuple(f.name for f in df.schema.fields
-                      if isinstance(f.dataType, T.NumericType) and f.name not in skip)
-        cols = set(df.columns)
-        return FlowSchema(feats, label, day if day in cols else None,
-                          row_id if row_id in cols else None)
-
     def with_features(self, features) -> "FlowSchema":
         return replace(self, features=tuple(features))
 
@@ -137,3 +103,7 @@ class FlowSchema:
         if self.day:
             cols.append(self.day)
         return cols
+
+
+#: Header line of the published files (features, then the label), for reads that declare it.
+RAW_HEADER = ",".join([*RAW_FEATURES, "Label"])

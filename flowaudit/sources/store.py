@@ -44,11 +44,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Columns computed elsewhere are attached by key, never by position."""
-    return left.join(right, key)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint directory (never a machine-local temp dir)."""
     from ..session import ensure_checkpoint_dir

@@ -154,7 +154,7 @@ def test_model_config_and_persistence(spark, tmp_path):
     df = spark.createDataFrame([(float(i), "a" if i % 2 else "b") for i in range(40)], "x double, label string")
     m = M.fit(df, ["x"], "label", "logreg")
     m.save(str(tmp_path / "m"))
-    back = M.FlowModel.load(str(tmp_path / "m"), "logreg", ["x"], "label", m.classes)
+    back = M.FlowModel.load(str(tmp_path / "m"))
     a = [r["y_pred"] for r in m.score(df).collect()]
     b = [r["y_pred"] for r in back.score(df).collect()]
     assert a == b
