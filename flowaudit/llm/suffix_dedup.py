@@ -36,7 +36,7 @@ from .deep_shallow import suffix_groups
 from .textops import RangeHash, U64, column_bytes, mix64, runs_of, slices, sub_batches
 
 WIDTH, ANCHOR = 50, 24
-CHUNK_BYTES = 8 << 20     # text per chunk
+CHUNK_BYTES = 4 << 20     # text per chunk
 STEP = 1 << 20            # text hashed at once
 HOT = 256                 # distinct surroundings (summed over chunks) from which windows are dealt singly
 LAST = np.iinfo(np.int64).max
