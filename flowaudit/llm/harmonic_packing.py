@@ -144,7 +144,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     made = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                  .mapInArrow(_fill(path, capacity, slack, end_id), _DDL), "pieces")
     rest = made.where("sequence_id IS NULL").drop("sequence_id", "offset") \
-        .withColumn("worker", F.pmod(F.xxhash64("doc_id", "start", "length"), F.lit(1 << 16)).cast("int"))
+        .withColumn("worker", F.pmod(F.xxhash64("doc_id", "start", "length"), F.lit(1 << 10)).cast("int"))
     # rank of each unplaced piece within its class: by worker, then within the worker
     ahead = rest.groupBy("class", "worker").agg(F.count("*").alias("n"))
     every = Window.partitionBy("class")
