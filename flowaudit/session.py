@@ -91,6 +91,4 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     split well."""
     if df.sparkSession.conf.get("spark.flowaudit.spread", "always") == "never":
         return df
-    width = max(df.sparkSession.sparkContext.defaultParallelism,
-                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(min_partitions or width)
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
