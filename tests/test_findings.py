@@ -115,3 +115,35 @@ def test_load_flows_keeps_every_row_with_stable_ids(spark, tmp_path):
 def test_content_ids_number_equal_rows(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "a int, b string")
     assert content_ids(df).select("row_id").distinct().count() == 3
+
+
+def _small(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(240):
+        y = ["BENIGN", "Bot", "DDoS"][0 if i % 8 < 5 else 1 if i % 8 < 7 else 2]
+        rows.append((i, y, float(rng.normal("BBD".index(y[0]) * 2, 1)), float(i % 13), float(rng.exponential(2000)), 0.1))
+    rows += [(900, "Rare", 1.0, 1.0, 1.0, 0.1)]
+    return spark.createDataFrame(rows, "id long, label string, u double, v double, w double, k double").coalesce(2).cache()
+
+
+def test_ablation_recipes_and_grid(spark):
+    from flowaudit.plans import experiments as XP
+    df = _small(spark)
+    out = XP.ablation(df, ["u", "v", "w", "k"], "label", "id", model_kind="tree", maxDepth=3, parallelism=3).collect()
+    assert [r.recipe for r in out] == XP.ABLATION_RECIPES
+    n = {r.recipe: r.n_features for r in out}
+    assert n["original"] == 4 and n["cleaned"] == n["reduced"] == 3
+    assert all(0 <= r.f1_macro <= 1 and r.inference_seconds >= 0 for r in out)
+    out = XP.imbalance_ablation(df, ["u", "v", "w"], "label", "id", model_kind="mlp", strategies=XP.PAPER_STRATEGIES,
+                                parallelism=3, hidden=[4], maxIter=3).collect()
+    assert [r.strategy for r in out] == XP.PAPER_STRATEGIES
+
+
+def test_empty_split_parts_are_reported(spark):
+    from flowaudit.plans import experiments as XP
+    df = _small(spark).withColumn("day", F.lit("Monday"))
+    out = XP.split_strategy_experiment(df, ["u", "v"], "label", "id", {"T": ("tree", {"maxDepth": 2})},
+                                       strategies=["random_original", "chronological"]).collect()
+    assert [r.strategy for r in out] == ["random_original", "chronological"]
+    assert out[1].accuracy is None and out[0].accuracy > 0
