@@ -30,19 +30,43 @@ def clean_paper(df: DataFrame, features, label: str, day: str | None = None,
 
 
 def prepare_paper_split(df: DataFrame, features, key: str, path: str | None = None,
-                        n_quantiles: int = 1000, seed: int = 42):
+                        n_quantiles: int = 1000, seed: int = 42, balance: tuple[dict, dict] | None = None):
     """T4 split, C15 quantile scaling fitted on train only, P7 family codes; written
-    with S10 when ``path`` is given."""
+    with S10 when ``path`` is given.  ``balance``: (rows kept, rows grown to) per
+    family; adds the part ``train_balanced`` (B9 on the scaled training rows)."""
     sp = paper_split(df, "label_category", key, seed=seed)
     scaler = QuantileUniform(inputCols=list(features), nQuantiles=n_quantiles).fit(sp.where("split = 'train'"))
     enc = LabelEncoder().fit(sp.where("split = 'train'"), "label_category")
     out = scaler.transform(sp).withColumn("label", enc.encode("label_category"))
     out = out.select(key, *features, "label", "split")
+    if balance:
+        code = {c: i for i, c in enumerate(enc.classes)}
+        under, over = ({code[c]: n for c, n in part.items()} for part in balance)
+        out = out.unionByName(balanced_part(out.where("split = 'train'"), features, key, under, over, seed))
     if path:
         write_split(out, path)
     return out, scaler, enc
 
 
+def balanced_part(train: DataFrame, features, key: str, under: dict, over: dict, seed: int = 42) -> DataFrame:
+    """The training rows under- and over-sampled (B9), as the part ``train_balanced``;
+    synthetic rows carry the key of the row they grew from."""
+    from ..operators.smote import under_then_smote
+    grown = under_then_smote(train, "label", key, list(features), under, over, seed=seed)
+    return grown.select(F.col("base_key").alias(key), *features, "label", F.lit("train_balanced").alias("split"))
+
+
+def write_projected_split(split: DataFrame, features, key: str, path: str, target: float = 0.99):
+    """Every part projected on the components that explain ``target`` of the
+    training variance, written like the split itself; returns the fitted projection."""
+    from ..operators.fitted import CentredPCA
+    pca = CentredPCA(inputCols=list(features), k=0, target=target).fit(split.where("split = 'train'"))
+    projected = pca.transform(split)
+    names = [c for c in projected.columns if c not in split.columns]
+    write_split(projected.select(key, *names, "label", "split"), path)
+    return pca
+
+
 def run_paper_pipeline(spark, data_path: str, out_path: str, seed: int = 42):
     """Paper pipeline end to end: read (snake-case names, repeated header
     dropped) -> C19 -> T4 split -> C15 scaling fitted on train -> S10 write."""

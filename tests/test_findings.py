@@ -147,3 +147,20 @@ def test_empty_split_parts_are_reported(spark):
                                        strategies=["random_original", "chronological"]).collect()
     assert [r.strategy for r in out] == ["random_original", "chronological"]
     assert out[1].accuracy is None and out[0].accuracy > 0
+
+
+def test_balanced_and_projected_parts(spark, tmp_path):
+    from flowaudit.plans import paper
+    from flowaudit.sources.store import read_split
+    rng = np.random.default_rng(3)
+    rows = [(i, ["Benign", "Bot"][i % 10 == 0], *map(float, rng.normal(i % 10 == 0, 1, 3))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, label_category string, a double, b double, c double")
+    out, _, enc = paper.prepare_paper_split(df, ["a", "b", "c"], "id", str(tmp_path / "s"), n_quantiles=20,
+                                            balance=({"Benign": 100}, {"Bot": 100}))
+    balanced = read_split(spark, str(tmp_path / "s"), "train", balanced=True)
+    assert {r["label"]: r["count"] for r in balanced.groupBy("label").count().collect()} == {0: 100, 1: 100}
+    plain = read_split(spark, str(tmp_path / "s"), "train")
+    assert plain.count() == out.where("split = 'train'").count() < 400
+    paper.write_projected_split(out, ["a", "b", "c"], "id", str(tmp_path / "p"))
+    back = read_split(spark, str(tmp_path / "p"), "test")
+    assert back.count() == out.where("split = 'test'").count() and any(c.startswith("pc") for c in back.columns)
