@@ -18,14 +18,27 @@ class CharGrams:
         self.sums = rh.sums[np.append(self.start, len(buf))]
         self.inverse = rh.inverse[self.start]
 
+    def _hashes(self, n: int, bits: int) -> np.ndarray:
+        h = (self.sums[n:] - self.sums[:-n]) * self.inverse[:len(self.start) - n + 1]
+        return (mix64(h + U64(n * BASE % (1 << 64))) >> U64(64 - bits)).astype(np.int64)
+
     def buckets(self, n: int, bits: int):
         """(bucket, place of the first character) of every n-gram."""
         count = len(self.start) - n + 1
         if count <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        h = (self.sums[n:] - self.sums[:-n]) * self.inverse[:count]
-        h = (mix64(h + U64(n * BASE % (1 << 64))) >> U64(64 - bits)).astype(np.int64)
+        h = self._hashes(n, bits)
         if n > 1:
             at = np.flatnonzero(self.doc[:count] == self.doc[n - 1:])
             return h[at], at
         return h, np.arange(count)
+
+    def places(self, n: int, bits: int, shift: int, none: int) -> np.ndarray:
+        """``shift`` + bucket of the n-gram from every character on; ``none`` where a document ends first."""
+        count = len(self.start) - n + 1
+        if count <= 0:
+            return np.zeros(0, np.int64)
+        h = self._hashes(n, bits) + shift
+        if n > 1:
+            h[self.doc[:count] != self.doc[n - 1:]] = none
+        return h

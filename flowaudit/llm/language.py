@@ -5,8 +5,10 @@ learned from a bounded number of labelled documents per language.  A word's
 likelihood under a language is the product of its grams'.  For each document,
 EM estimates the proportions of a mixture of languages that generates its
 words.  The set of languages is chosen by penalised likelihood: starting from
-all, the language of least proportion is dropped as long as the loss of log
-likelihood is smaller than the penalty of log(words) / 2 per language.
+all, the best language alone is taken if what it loses of the log likelihood is
+less than the penalty, log(words) / 2 per language, of all others; else the
+language of least proportion is dropped as long as that loses less than its
+penalty.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ UNKNOWN = "und"
 @dataclass
 class Model:
     languages: list[str]
-    logp: np.ndarray           # (order, bucket) x language, natural log of smoothed probabilities
+    logp: np.ndarray           # (order, bucket) x language, natural log of smoothed probabilities; a last row of 0
 
     def words(self, buf: np.ndarray, off: np.ndarray):
         """(document, log likelihood per language) of every word."""
@@ -37,8 +39,8 @@ class Model:
         grams = CharGrams(buf, off)
         total = np.zeros((len(grams.start) + 1, len(self.languages)), np.float32)
         for k, n in enumerate(ORDERS):
-            h, at = grams.buckets(n, BITS)
-            total[at] += self.logp[(k << BITS) + h]
+            h = grams.places(n, BITS, k << BITS, len(self.logp) - 1)      # last row: no gram, 0
+            total[:len(h)] += self.logp[h]
         # grams belong to the word in which they start
         a, b = np.searchsorted(grams.start, s), np.searchsorted(grams.start, e)
         edge = np.stack((a, b), axis=1).ravel()
@@ -56,19 +58,23 @@ class Model:
         own = np.repeat(np.arange(len(has)), np.diff(np.append(first, len(d))))
         n = np.diff(np.append(first, len(d))).astype(np.float64)
         top = logs.max(axis=1, keepdims=True)
-        like = np.exp(logs - top)
+        like = np.exp(logs - top)                  # float32; sums below are double
 
         def em(mix, like, first, own, n):
             for _ in range(ROUNDS):
-                r = mix[own] * like
-                total = r.sum(axis=1, keepdims=True)
-                r /= np.maximum(total, 1e-300)
-                mix = np.add.reduceat(r, first, axis=0) / n[:, None]
-            total = (mix[own] * like).sum(axis=1)
-            return mix, np.add.reduceat(np.log(np.maximum(total, 1e-300)), first)
+                r = mix.astype(np.float32)[own] * like
+                r /= np.maximum(r.sum(axis=1, keepdims=True), np.float32(1e-30))
+                mix = np.add.reduceat(r, first, axis=0, dtype=np.float64) / n[:, None]
+            total = (mix.astype(np.float32)[own] * like).sum(axis=1)
+            return mix, np.add.reduceat(np.log(np.maximum(total, np.float32(1e-30))), first, dtype=np.float64)
 
         mix, loss = em(np.full((len(has), width), 1 / width), like, first, own, n)
-        active = np.arange(len(has))
+        # one language alone, where that costs less than all others save together
+        single = np.add.reduceat(np.maximum(logs - top, np.float32(-69.0)), first, axis=0, dtype=np.float64)
+        best = single.argmax(axis=1)
+        alone = loss - single.max(axis=1) < 0.5 * np.log(n + 1) * (width - 1)
+        mix[alone] = np.eye(width)[best[alone]]
+        active = np.flatnonzero(~alone)
         while len(active):                         # drop the least language where that costs less than it saves
             used = (mix[active] > 0).sum(axis=1)
             active = active[used > 1]
@@ -105,7 +111,7 @@ def fit(docs: DataFrame, usable=lambda doc_id: F.lit(True), per_language: int =
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = [r["lang"] for r in counts]
     if not languages:
-        return Model([], np.zeros((len(ORDERS) << BITS, 0), np.float32))
+        return Model([], np.zeros(((len(ORDERS) << BITS) + 1, 0), np.float32))
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
     code = F.create_map(*[x for k, lang in enumerate(languages) for x in (F.lit(lang), F.lit(k))])
     picked = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)) \
@@ -130,7 +136,8 @@ def fit(docs: DataFrame, usable=lambda doc_id: F.lit(True), per_language: int =
     table[got["key"].to_numpy(np.int64)] = got["n"].to_numpy(float)
     table = table.reshape(len(languages), len(ORDERS), 1 << BITS) + 0.5
     table = np.log(table / table.sum(axis=2, keepdims=True))
-    return Model(languages, np.ascontiguousarray(table.reshape(len(languages), -1).T).astype(np.float32))
+    table = np.pad(table.reshape(len(languages), -1).T, ((0, 1), (0, 0)))
+    return Model(languages, np.ascontiguousarray(table).astype(np.float32))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -37,7 +37,7 @@ def test_brute_force_em():
 
     from flowaudit.llm.language import BITS, ORDERS, ROUNDS, Model
     rng = np.random.default_rng(1)
-    model = Model(["a", "b", "c"], rng.normal(-6, 2, (len(ORDERS) << BITS, 3)).astype(np.float32))
+    model = Model(["a", "b", "c"], np.pad(rng.normal(-6, 2, (len(ORDERS) << BITS, 3)), ((0, 1), (0, 0))).astype(np.float32))
     texts = ["one two", "", "drei vier fünf sechs sieben", None, "x", "a b c d e f g h i j k l m"] * 2
     buf, off = column_bytes(pa.array(texts))
     d, logs = model.words(buf, off)
@@ -54,6 +54,10 @@ def test_brute_force_em():
                 mix = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
             return mix, np.log((mix * like).sum(axis=1)).sum()
         mix, value = em(np.full(3, 1 / 3))
+        single = np.log(like).sum(axis=0)
+        if value - single.max() < 0.5 * np.log(len(like) + 1) * 2:
+            assert got[doc].tolist() == np.eye(3)[single.argmax()].tolist()
+            continue
         while (mix > 0).sum() > 1:
             trial = mix.copy()
             trial[np.where(trial > 0, trial, np.inf).argmin()] = 0
@@ -61,7 +65,7 @@ def test_brute_force_em():
             if value - now >= 0.5 * np.log(len(like) + 1):
                 break
             mix, value = trial, now
-        assert np.allclose(got[doc], mix, atol=1e-6)
+        assert np.allclose(got[doc], mix, atol=1e-4)
 
 
 def test_no_languages(spark):
