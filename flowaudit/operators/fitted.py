@@ -282,15 +282,14 @@ class CentredPCAModel(_StatsModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         s = self.getStats()
         cols = self.getInputCols()
-        pc = np.asarray(s["pc"])
-        comps = []
-        for j in range(pc.shape[1]):
-            expr = None
-            for i, c in enumerate(cols):
-                term = (F.col(c) - F.lit(s["means"][i])) * F.lit(float(pc[i, j]))
-                expr = term if expr is None else expr + term
-            comps.append(expr.alias(f"pc{j + 1}"))
-        return df.select("*", *comps)
+        pc = np.asarray(s["pc"], dtype=float)
+        # one small matrix literal, walked per row: p x k separate terms would be p x k expressions to compile
+        x = F.array(*[F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(cols, s["means"])])
+        axes = F.array(*[F.array(*[F.lit(float(v)) for v in pc[:, j]]) for j in range(pc.shape[1])])
+        dot = lambda w: F.aggregate(F.zip_with(F.col("_x"), w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        comps = [F.col("_pc")[j].alias(f"pc{j + 1}") for j in range(pc.shape[1])]
+        df = df.withColumn("_x", x).withColumn("_pc", F.transform(axes, dot)).drop("_x")
+        return df.select("*", *comps).drop("_pc")
 
 
 # ---- C21 importance-based selection -----------------------------------------

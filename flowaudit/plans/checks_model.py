@@ -188,7 +188,7 @@ for _name, _kind, _bin, _params in [
         ("model_forest", "forest", False, {"numTrees": 50, "maxDepth": 15}),
         ("model_gbt_binary", "gbt", True, {"maxIter": 100, "maxDepth": 6}),
         ("model_gbt_multiclass", "gbt_ovr", False, {"maxIter": 50, "maxDepth": 6}),
-        ("model_mlp", "mlp", False, {"hidden": [64, 32], "maxIter": 100})]:
+        ("model_mlp", "mlp", False, {"hidden": [128, 64, 32], "maxIter": 100})]:
     def _mk(kind=_kind, binary=_bin, params=_params):
         return lambda spark, sf: _scored(spark, sf, kind, binary, **params)
     query(_name)(_mk())
@@ -252,7 +252,8 @@ def q_centred_pca(spark, sf):
     cols = [f"e{i}" for i in range(64)]
     wide = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(cols[i]) for i in range(64)])
     m = FT.CentredPCA(inputCols=cols, k=0, target=0.99).fit(wide)
-    return m.transform(wide).select("vec_id", "pc1", "pc2")
+    out = m.transform(wide)
+    return out.select("vec_id", *[c for c in out.columns if c.startswith("pc")])
 
 
 @query("importance_selection")
@@ -308,20 +309,18 @@ from ..operators.profile import wide_stats as A_wide  # noqa: E402
 from ..operators import explain as XA  # noqa: E402
 from ..sources.fixtures import DIRTY_FEATURES, flows_dirty  # noqa: E402
 
-_RF = {"Random Forest": ("forest", {"numTrees": 20, "maxDepth": 10})}
+_RF = {"Random Forest": ("forest", {"numTrees": 50, "maxDepth": 15})}
 
 
 @query("threshold_analysis_val")
 def q_threshold_analysis_val(spark, sf):
-    sweep, _ = XP.threshold_analysis(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
-                                     numTrees=50, maxDepth=10)
+    sweep, _ = XP.threshold_analysis(flows(spark, sf), FLOW_FEATURES, "label", "flow_id")
     return sweep
 
 
 @query("threshold_analysis_test")
 def q_threshold_analysis_test(spark, sf):
-    _, chosen = XP.threshold_analysis(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
-                                      numTrees=50, maxDepth=10)
+    _, chosen = XP.threshold_analysis(flows(spark, sf), FLOW_FEATURES, "label", "flow_id")
     return chosen
 
 
@@ -332,7 +331,7 @@ def q_cv_results(spark, sf):
 
 @query("cv_bootstrap_ci")
 def q_cv_bootstrap_ci(spark, sf):
-    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=2, parallelism=2)[1]
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=5, parallelism=4)[1]
 
 
 @query("ablation")
@@ -420,6 +419,6 @@ def q_global_importance_table(spark, sf):
 def q_train_all_times(spark, sf):
     """M8: fit several models on one training set; one (model, fit_seconds) row each."""
     tr, _, _ = model_data(spark, sf, False)
-    models = {"Logistic Regression": ("logreg", {"maxIter": 100}), "Decision Tree": ("tree", {}),
-              "Random Forest": ("forest", {"numTrees": 20, "maxDepth": 10})}
-    return M.train_all(tr, FLOW_FEATURES, "label", models)[1].select("model", F.lit(True).alias("fitted"))
+    models = {"Logistic Regression": ("logreg", {}), "Decision Tree": ("tree", {}),
+              "Random Forest": ("forest", {"numTrees": 100, "maxDepth": 15})}
+    return M.train_all(tr, FLOW_FEATURES, "label", models)[1]
