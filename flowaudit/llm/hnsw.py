@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import stage
 from .textops import U64, mix64
 
-DEGREE, EF_BUILD, EF_SEARCH = 16, 64, 128
+DEGREE, EF_BUILD, EF_SEARCH = 16, 64, 192
 SHARD_ROWS, QUERY_BLOCK = 8192, 2048
 BATCH, STEP = 256, 4
 
