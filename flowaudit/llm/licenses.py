@@ -9,6 +9,9 @@ since many documents carry a licence notice as a line of its own.
 
 from __future__ import annotations
 
+import pkgutil
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Equivalent spellings, as in the matching guidelines for licence texts (canonical form last).
@@ -59,7 +62,90 @@ CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
 CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
 SOFTWARE."""),
 ]
-COPYRIGHT_LINE = r"^ (copyright )+(c )?((19|20)[0-9][0-9] |by )|^ c (19|20)[0-9][0-9] |^ all rights reserved $"
+
+#: Titles that licences without a title of their own stand under in LICENSE files.
+TITLES = {
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "BSD License", "The BSD License",
+                     'BSD 2-Clause "Simplified" License', "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "BSD License", "The BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "New BSD License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "MIT": ["MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "MIT"],
+    "Unlicense": ["The Unlicense", "Unlicense", "UNLICENSE"],
+}
+#: Files of license_texts/: id, where the text begins without its title (and preface), where an appendix may be left off.
+FILES = [
+    ("Apache-2.0", ["TERMS AND CONDITIONS FOR USE"], "END OF TERMS AND CONDITIONS"),
+    ("BSL-1.0", ["Permission is hereby granted"], None),
+    ("CC0-1.0", ["CC0 1.0 Universal", "Statement of Purpose"], None),
+    ("GPL-2.0", ["Everyone is permitted", "Preamble"], "END OF TERMS AND CONDITIONS"),
+    ("GPL-3.0", ["Everyone is permitted", "Preamble"], "END OF TERMS AND CONDITIONS"),
+    ("LGPL-2.1", ["Everyone is permitted", "Preamble"], "END OF TERMS AND CONDITIONS"),
+    ("LGPL-3.0", ["Everyone is permitted", "This version of the GNU"], None),
+    ("MPL-2.0", ["1. Definitions"], None),
+    ("Unlicense", [], None),
+]
+#: Addresses of the Free Software Foundation in older and newer copies of one text.
+ADDRESS = r"51 Franklin Street, Fifth Floor, Boston, MA\s+02110-1301\s+USA"
+ADDRESSES = ["59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA"]
+
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+{0}Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+{1}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+{2}THIS SOFTWARE IS PROVIDED BY {3} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL {4} BE LIABLE FOR ANY
+DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_NAMES = """{0}Neither the name of {1} nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+
+"""
+_OWNERS = ["the copyright holder", "the copyright owner", "the University", "the author"]
+_DISCLAIMERS = [("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDER OR CONTRIBUTORS"),
+                ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT OWNER OR CONTRIBUTORS"),
+                ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS OR CONTRIBUTORS"),
+                ("THE REGENTS AND CONTRIBUTORS", "THE REGENTS OR CONTRIBUTORS"),
+                ("THE AUTHOR AND CONTRIBUTORS", "THE AUTHOR OR CONTRIBUTORS")]
+
+
+def _bsd():
+    for who, liable in _DISCLAIMERS:
+        for one, two, three in (("1. ", "2. ", "3. "), ("", "", "")):
+            yield "BSD-2-Clause", _BSD.format(one, two, "", who, liable)
+            for owner in _OWNERS:
+                yield "BSD-3-Clause", _BSD.format(one, two, _NAMES.format(three, owner), who, liable)
+
+
+def _files():
+    for name, starts, end in FILES:
+        text = pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()
+        whole_ = [text, *(re.sub(ADDRESS, a, text) for a in ADDRESSES)]
+        whole_ += [t.replace("https://", "http://") for t in whole_] + [t.replace("http://", "https://") for t in whole_]
+        for t in dict.fromkeys(whole_):
+            cut = [t, *(t[t.index(x):] for x in starts)]
+            yield from ((name, x) for x in cut)
+            if end:
+                yield from ((name, x[:x.index(end) + len(end)]) for x in cut)
+                yield from ((name, x[:x.index(end)]) for x in cut)
+
+
+def _full_texts():
+    """(license, text) of whole licences: as published, without title, without appendix, under the usual titles."""
+    plain = [*NOTICES[-2:], ("ISC", NOTICES[-1][1].replace("and/or distribute", "and distribute")), *_bsd(), *_files()]
+    titled = [(name, f"{title}\n\n{text}") for name, text in plain for title in TITLES.get(name, [])]
+    return [x for x in dict.fromkeys(plain + titled) if x not in NOTICES]
+
+
+NOTICES += _full_texts()
+#: Lines left out; blank lines that held spaces or a carriage return (CRLF files) among them.
+COPYRIGHT_LINE = r"^ +$|^ (copyright )+(c )?((19|20)[0-9][0-9] |by )|^ c (19|20)[0-9][0-9] |^ all rights reserved $"
 
 
 def canonical_lines(text):

@@ -23,3 +23,40 @@ def test_matches_sql(spark):
             (8, "text", "CC-BY-NC-4.0"), (13, "line", "MIT")} <= found
     assert not {d for d, *_ in found} & {0, 1, 2, 9, 10, 11}
     assert scan(df.where("false")).collect() == []
+
+
+def _license_files():
+    """Usual LICENSE files: (id, text); the bodies are wrapped otherwise than in the table."""
+    from pathlib import Path
+    from textwrap import fill
+
+    import flowaudit.llm.licenses as L
+    texts = Path(L.__file__).parent / "license_texts"
+    head = "Copyright (c) 2020 X\n\n"
+    wrap = lambda t, w: "\n\n".join(fill(p, w) for p in t.split("\n\n"))            # noqa: E731
+    isc = NOTICES[11][1]
+    bsd = {n: t for n, t in reversed(NOTICES[12:]) if n.startswith("BSD-")}
+    out = [("MIT", "MIT License\n\n" + head + wrap(MIT, 76)), ("MIT", "The MIT License (MIT)\n\n" + head + MIT),
+           ("ISC", "ISC License\n\n" + head + wrap(isc, 70))]
+    for n, t in bsd.items():
+        title = f"BSD {n[4]}-Clause License"
+        body = t[t.index("Redistribution and use"):]
+        out += [(n, f"{title}\n\n{head}All rights reserved.\n\n{wrap(body, 60 + n_)}") for n_ in (0, 7, 15)]
+    for p in sorted(texts.glob("*.txt")):
+        out.append((p.stem, p.read_text()))
+        out.append((p.stem, p.read_text().rstrip("\n").replace("\n", "\r\n")))
+    apache = (texts / "Apache-2.0.txt").read_text()
+    gpl3 = (texts / "GPL-3.0.txt").read_text()
+    return out + [("Apache-2.0", apache[:apache.index("APPENDIX")]), ("GPL-3.0", gpl3[gpl3.index("Preamble"):])]
+
+
+def test_license_files(spark):
+    files = _license_files()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "MIT", "MPL-2.0"} \
+        <= {n for n, _ in files}
+    rows = [(i, t) for i, (_, t) in enumerate(files)]
+    got = sorted(map(tuple, scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])                       # noqa: F841
+    assert got == sorted(duckdb.sql(scan_sql()).fetchall())
+    found = {d: n for d, unit, _, n, _ in got if unit == "text"}
+    assert [(i, n) for i, (n, _) in enumerate(files) if found.get(i) != n] == []
