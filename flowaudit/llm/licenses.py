@@ -25,7 +25,7 @@ SPELLINGS = [
     ("non commercial", "noncommercial"), ("offence", "offense"), ("optimise", "optimize"),
     ("organisation", "organization"), ("organise", "organize"), ("per cent", "percent"), ("practise", "practice"),
     ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"),
-    ("sub license", "sublicense"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "wilfull"),
+    ("sub license", "sublicense"), ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"),
 ]
 
 # Notices and short licences in common use.
@@ -144,8 +144,33 @@ def _full_texts():
 
 
 NOTICES += _full_texts()
-#: Lines left out; blank lines that held spaces or a carriage return (CRLF files) among them.
-COPYRIGHT_LINE = r"^ +$|^ (copyright )+(c )?((19|20)[0-9][0-9] |by )|^ c (19|20)[0-9][0-9] |^ all rights reserved $"
+#: Words that follow "copyright" in running text, where a line may be broken; a copyright line goes on with another one.
+PROSE = ("also and are as assertions at because but by can claim claims disclaimer disclaimers doctrines exception exceptions "
+         "for from has have held holder holders if in infringement interest interests is it its law laws legislation license "
+         "licensed licenses like line lines may must notice notices of office on or ownership owned owner owners page patent "
+         "permission permissions policy protected protection restrictions right rights shall should statement statements "
+         "status term terms that this those to treaties treaty under was were which will with").split()
+
+
+def _word_but(words) -> str:
+    """Pattern for a word that is none of ``words`` (DuckDB's patterns have no lookahead)."""
+    def rest(tails, start):
+        heads = sorted({t[0] for t in tails if t})
+        any_ = f"[^ {''.join(heads)}][^ ]*"
+        return "(?:" + "|".join([any_] + [h + rest({t[1:] for t in tails if t[:1] == h}, False) for h in heads]
+                              + ([] if start or "" in tails else [""])) + ")"
+    return rest(set(words), True)
+
+
+#: Lines left out: copyright lines (any length before a year or "by", else at most 16 words), and blank lines that held
+#: spaces or a carriage return (CRLF files).
+_HEAD = "(?:portions )?(?:c )?(?:copyright )+"
+COPYRIGHT_LINE = "^ (?:" + "|".join([
+    " *$", "all rights reserved $", "(?:portions )?c (?:19|20)[0-9][0-9] ",
+    _HEAD + "(?:(?:c )*(?:(?:19|20)[0-9][0-9] |by )|(?:c )+$|(?:c )*(?:" + _word_but(PROSE + ["c", "the"]) + "|the "
+    + _word_but(["library", "program", "software", "work"]) + ")(?: [^ ]+){0,15} $)"]) + ")"
+#: A short pattern that every left-out line meets: Spark decodes a pattern anew for each string it is tried on.
+MAYBE_LEFT_OUT = "^ ( *$|all r|portions c|c |copyright )"
 
 
 def canonical_lines(text):
@@ -158,8 +183,12 @@ def canonical_lines(text):
     return F.split(s, "\n")
 
 
+def _keep(line):
+    return (F.length(line) > 1) & ~(line.rlike(MAYBE_LEFT_OUT) & line.rlike(COPYRIGHT_LINE))
+
+
 def _kept(lines):
-    return F.filter(lines, lambda x: (F.length(x) > 1) & ~x.rlike(COPYRIGHT_LINE))
+    return F.filter(lines, _keep)
 
 
 def digest(line):
@@ -196,7 +225,7 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = NOTICES) ->
     numbered = F.transform("lines", lambda x, i: F.struct(F.lit("line").alias("unit"), (i + 1).alias("line"), x.alias("body")))
     units = F.concat(
         F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("line"), whole(_kept(F.col("lines"))).alias("body"))),
-        F.filter(numbered, lambda u: (F.length(u["body"]) > 1) & ~u["body"].rlike(COPYRIGHT_LINE)))
+        F.filter(numbered, lambda u: _keep(u["body"])))
     found = lines.select("doc_id", F.explode(units).alias("u")) \
         .where(F.length("u.body") > 1).select("doc_id", "u.unit", "u.line", digest(F.col("u.body")).alias("digest"))
     return found.join(known_digests(docs.sparkSession, known), "digest") \

@@ -60,3 +60,30 @@ def test_license_files(spark):
     assert got == sorted(duckdb.sql(scan_sql()).fetchall())
     found = {d: n for d, unit, _, n, _ in got if unit == "text"}
     assert [(i, n) for i, (n, _) in enumerate(files) if found.get(i) != n] == []
+
+
+HEADERS = ["Copyright (c) Microsoft Corporation.", "Copyright The Foo Authors", "(C) Copyright 2020 X", "Portions Copyright 2020 X",
+           "Copyright (c) Facebook, Inc. and its affiliates. All rights reserved.", "© Copyright X", "Portions © 2020 X",
+           "Copyright Ada Lovelace", "Copyright <YEAR> <COPYRIGHT HOLDER>", "(c) 2020 X", "Copyright by X", "Copyright (c)"]
+
+
+def test_copyright_headers(spark):
+    from textwrap import fill
+
+    from flowaudit.llm.licenses import _files
+    full = dict(reversed([x for x in _files()]))
+    texts = [(i, h + "\n\n" + MIT) for i, h in enumerate(HEADERS)]
+    apache = full["Apache-2.0"]
+    texts.append((50, MIT.replace("BE LIABLE", "WILFULLY BE LIABLE").replace("WILFULLY", "wilful")))
+    # lines of running text that begin with "copyright" stay: every wrapping of a licence is the same licence
+    bsd = next(t for n, t in NOTICES if n == "BSD-3-Clause" and "Redistribution and use" in t)
+    texts += [(100 + w, fill(MIT, w)) for w in range(20, 80)] + [(200 + w, fill(bsd, w)) for w in range(20, 80)]
+    texts += [(300, apache.replace("[yyyy] [name of copyright owner]", "2020 X")),
+              (301, apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright The Foo Authors"))]
+    known = NOTICES + [("odd", MIT.replace("BE LIABLE", "willful BE LIABLE"))]
+    got = sorted(map(tuple, scan(spark.createDataFrame(texts, "doc_id long, text string"), known).collect()))
+    documents = pd.DataFrame(texts, columns=["doc_id", "text"])                      # noqa: F841
+    assert got == sorted(duckdb.sql(scan_sql(known)).fetchall())
+    found = {d: n for d, unit, _, n, _ in got if unit == "text"}
+    want = {i: "odd" if i == 50 else "MIT" if i < 200 else "BSD-3-Clause" if i < 300 else "Apache-2.0" for i, _ in texts}
+    assert {i: n for i, n in want.items() if found.get(i) != n} == {}
