@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Window, functions as F
 
 from ..operators import fitted as FT
@@ -214,8 +215,11 @@ def q_feature_importances(spark, sf):
 @query("model_comparison")
 def q_model_comparison(spark, sf):
     tr, te, _ = model_data(spark, sf, True)
-    models = {n: M.fit(tr, FLOW_FEATURES, "y", k, **p) for n, (k, p) in {
-        "Logistic Regression": ("logreg", {}), "Random Forest": ("forest", {"numTrees": 20, "maxDepth": 10})}.items()}
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)          # shared by the fits of all models
+    try:
+        models, _ = M.train_all(tr, FLOW_FEATURES, "y")
+    finally:
+        tr.unpersist()
     return M.evaluate_all(models, te, task="binary", keep=("flow_id",))
 
 
@@ -309,7 +313,9 @@ from ..operators.profile import wide_stats as A_wide  # noqa: E402
 from ..operators import explain as XA  # noqa: E402
 from ..sources.fixtures import DIRTY_FEATURES, flows_dirty  # noqa: E402
 
-_RF = {"Random Forest": ("forest", {"numTrees": 50, "maxDepth": 15})}
+#: Models of the reference's cross-validation (its forest has no depth limit; Spark's is 30).
+_CV_MODELS = {"Random Forest": ("forest", {"numTrees": 50, "maxDepth": 30}),
+              "Multilayer Perceptron": ("mlp", {"hidden": [64, 32], "maxIter": 20})}
 
 
 @query("threshold_analysis_val")
@@ -326,24 +332,22 @@ def q_threshold_analysis_test(spark, sf):
 
 @query("cv_results")
 def q_cv_results(spark, sf):
-    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=5, parallelism=4)[0]
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _CV_MODELS, k=5, parallelism=4)[0]
 
 
 @query("cv_bootstrap_ci")
 def q_cv_bootstrap_ci(spark, sf):
-    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _RF, k=5, parallelism=4)[1]
+    return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _CV_MODELS, k=5, parallelism=4)[1]
 
 
 @query("ablation")
 def q_ablation(spark, sf):
-    return XP.ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
-                       parallelism=3, numTrees=20, maxDepth=10)
+    return XP.ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", parallelism=3)
 
 
 @query("imbalance_ablation")
 def q_imbalance_ablation(spark, sf):
-    return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", model_kind="forest",
-                                 parallelism=3, numTrees=20, maxDepth=10)
+    return XP.imbalance_ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", parallelism=3)
 
 
 @query("paper_imbalance_grid")
@@ -365,14 +369,14 @@ def q_redundancy_experiment(spark, sf):
 
 @query("split_strategy_experiment")
 def q_split_strategy_experiment(spark, sf):
-    return XP.split_strategy_experiment(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "row_id", _RF,
+    return XP.split_strategy_experiment(flows_dirty(spark, sf), DIRTY_FEATURES, "label", "row_id", M.DEFAULT_MODELS,
                                         parallelism=4)
 
 
 def _binary_model(spark, sf):
     tr, te, _ = model_data(spark, sf, True)
     (tr, te), feats = XP.prepare(tr, [te], FLOW_FEATURES, scale=False)
-    m = M.fit(tr, feats, "y", "forest", numTrees=20, maxDepth=10)
+    m = M.fit(tr, feats, "y", "gbt", maxIter=100, maxDepth=10)
     return m, tr, te, feats
 
 
@@ -419,6 +423,8 @@ def q_global_importance_table(spark, sf):
 def q_train_all_times(spark, sf):
     """M8: fit several models on one training set; one (model, fit_seconds) row each."""
     tr, _, _ = model_data(spark, sf, False)
-    models = {"Logistic Regression": ("logreg", {}), "Decision Tree": ("tree", {}),
-              "Random Forest": ("forest", {"numTrees": 100, "maxDepth": 15})}
-    return M.train_all(tr, FLOW_FEATURES, "label", models)[1]
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return M.train_all(tr, FLOW_FEATURES, "label")[1]
+    finally:
+        tr.unpersist()

@@ -328,10 +328,13 @@ def split_strategy_experiment(df: DataFrame, features, label: str, key: str, mod
                 return [(s, name, lk, None, None, None, None) for name in models]
             (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features)
             rows = []
+            tr, te = tr.persist(StorageLevel.MEMORY_AND_DISK), te.persist(StorageLevel.MEMORY_AND_DISK)
             for name, (kind, params) in models.items():
                 m = M.fit(tr, feats, label, kind, seed=seed, **params)
                 s_ = E.summary_metrics(m.score(te, keep=[key]), "y_true", "y_pred").first()
                 rows.append((s, name, lk, s_["accuracy"], s_["macro_f1"], s_["weighted_f1"], s_["mcc"]))
+            tr.unpersist()
+            te.unpersist()
             return rows
         finally:
             sp.unpersist()
