@@ -110,14 +110,57 @@ def pearson_pairs(df: DataFrame, cols) -> DataFrame:
     return matrix_to_pairs(df.sparkSession, cols, pearson_matrix(df, cols))
 
 
-def spearman_matrix(df: DataFrame, cols) -> np.ndarray:
-    """Spearman (average ranks for ties) on rows complete in ``cols``,
-    with Spark ML's distributed rank correlation."""
+def _row_sets(df: DataFrame, cols) -> tuple[list[list[tuple[int, int]]], np.ndarray]:
+    """Column pairs (i < j) grouped by the rows on which both are present, and the p x p counts of those rows."""
+    p = len(cols)
+    here = [F.col(c).isNotNull() for c in cols]
+    one = df.agg(*[F.count(F.when(here[i] & here[j], 1)).alias(f"n{i}_{j}") for i in range(p) for j in range(i, p)]).first()
+    n = np.zeros((p, p), np.int64)
+    for i in range(p):
+        for j in range(i, p):
+            n[i, j] = n[j, i] = one[f"n{i}_{j}"]
+    # columns missing in the same rows count as one; where i is present only with j, the pair's rows are those of i
+    same = [min(k for k in range(p) if n[k, i] == n[k, k] == n[i, i]) for i in range(p)]
+    sets: dict = {}
+    for i in range(p):
+        for j in range(i + 1, p):
+            key = [same[k] for k, o in ((i, j), (j, i)) if n[i, j] == n[k, k]][:1] or sorted((same[i], same[j]))
+            sets.setdefault(tuple(key), []).append((i, j))
+    return list(sets.values()), n
+
+
+def spearman_matrix(df: DataFrame, cols, parallelism: int = 4) -> np.ndarray:
+    """P x p pairwise-complete Spearman (average ranks for ties): each pair is ranked on the rows
+    where both values are present.  NaN with fewer than two of them and where a column is constant.
+
+    Pairs with the same rows share one run of Spark ML's distributed rank correlation: one run in all
+    without missing values, at most one per pair."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import StorageLevel
     from pyspark.ml.feature import VectorAssembler
     cols = list(cols)
-    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]).na.drop()
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(clean).select("_v")
-    return Correlation.corr(vec, "_v", "spearman").first()[0].toArray()
+    p = len(cols)
+    clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    out = np.full((p, p), np.nan)
+    try:
+        sets, n = _row_sets(clean, clean.columns)
+        out[np.diag_indices(p)] = np.where(np.diag(n) > 0, 1.0, np.nan)
+
+        def run(pairs):
+            used = sorted({k for pair in pairs for k in pair})
+            names = [f"c{k}" for k in used]
+            rows = clean.select(*names).na.drop()
+            vec = VectorAssembler(inputCols=names, outputCol="_v").transform(rows).select("_v")
+            r = Correlation.corr(vec, "_v", "spearman").first()[0].toArray()
+            for i, j in pairs:
+                out[i, j] = out[j, i] = r[used.index(i), used.index(j)]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(run, [s for s in sets if n[s[0]] > 1]))
+    finally:
+        clean.unpersist()
+    return out
 
 
 def high_corr_pairs(spark, cols, r: np.ndarray, threshold: float = 0.95) -> DataFrame:

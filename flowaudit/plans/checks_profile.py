@@ -562,6 +562,23 @@ def q_spearman_pairs(spark, sf):
     return K.matrix_to_pairs(spark, FLOW_FEATURES, r).withColumn("r", F.round("r", 6))
 
 
+def _spearman_pairwise_sql(cols) -> str:
+    """Each pair ranked on its own rows; a column that is constant on them gives NaN."""
+    def rank(c):
+        return f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0"
+    return f"WITH c1 AS ({_DIRTY_C1}) " + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, CASE WHEN count(*) < 2 OR min(x) = max(x) OR min(y) = max(y) "
+        f"THEN CAST('NaN' AS DOUBLE) ELSE round(corr(x, y), 6) END AS r FROM (SELECT {rank(a)} AS x, {rank(b)} AS y "
+        f"FROM c1 WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+        for i, a in enumerate(cols) for b in cols[i + 1:])
+
+
+@query("spearman_pairs_dirty", with_views(_spearman_pairwise_sql(DIRTY_FEATURES), "flows_dirty"))
+def q_spearman_pairs_dirty(spark, sf):
+    r = K.spearman_matrix(dirty_c1(spark, sf), DIRTY_FEATURES)
+    return K.matrix_to_pairs(spark, DIRTY_FEATURES, r).withColumn("r", F.round("r", 6))
+
+
 @query("vif")
 def q_vif(spark, sf):
     cols = [c for c in FLOW_FEATURES if c not in C.constant_column_list(flows(spark, sf), FLOW_FEATURES)]
