@@ -3,7 +3,9 @@
 Equal vectors are one node of the graph.  Vectors get one more component,
 sqrt(R^2 - |x|^2) with R the shard's largest norm, so that all have the same
 length and the inner product with a query (whose extra component is 0) is
-unchanged; the graph is built on these.
+unchanged; the graph is built on these.  A shard holds vectors of one norm band
+(a factor of 16) only and is scaled to components up to 1: beside a much longer
+vector, R^2 would swallow all differences between the others in float32.
 
 Nodes are numbered by falling level: layer l of a shard is the nodes below
 ``sizes[l]``, and its links are one flat array of ``sizes[l]`` x degree node
@@ -25,6 +27,8 @@ from .textops import U64, mix64
 DEGREE, EF_BUILD, EF_SEARCH = 16, 64, 192
 SHARD_ROWS, QUERY_BLOCK = 8192, 2048
 BATCH, STEP = 256, 4
+#: Binary digits of a norm band; the bands are [1/4, 4), [4, 64) and so on.
+BAND = 4
 
 
 def beam(vectors, links, queries, entry, ef: int):
@@ -159,6 +163,18 @@ def search(v, layers, queries, ef: int):
     return beam(v, layers[0], queries, entry, min(ef, len(v)))[0]
 
 
+def scaled(x: np.ndarray, axis=None) -> np.ndarray:
+    """``x`` times the power of two that brings the largest component (of each row: axis 1) to [1/2, 1)."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=axis, keepdims=True))[1])
+
+
+def _same_length(x: np.ndarray) -> np.ndarray:
+    """The shard's vectors, scaled, with the component that makes their lengths equal."""
+    x = scaled(x)
+    norm = (x ** 2).sum(axis=1)
+    return np.concatenate((x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]), axis=1).astype(np.float32)
+
+
 _INDEX = ("shard int, dim int, sizes array<int>, degrees array<int>, links binary, vectors binary, members array<long>, "
           "first array<int>")
 
@@ -172,9 +188,7 @@ def _build_shard(degree, ef):
         _, rep, which = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(),
                                   return_index=True, return_inverse=True)
         distinct = x[rep]
-        norm = (distinct ** 2).sum(axis=1)
-        flat = np.concatenate((distinct, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]), axis=1)
-        number, layers = build(flat.astype(np.float32), degree, ef)
+        number, layers = build(_same_length(distinct), degree, ef)
         place = np.empty(len(number), np.int64)
         place[number] = np.arange(len(number))
         node = place[which]
@@ -199,8 +213,7 @@ def _search_shard(k, ef):
                              "score": pa.array([], pa.float64())})
         r = index.to_pylist()[0]
         x = np.frombuffer(r["vectors"], "<f8").reshape(-1, r["dim"])
-        norm = (x ** 2).sum(axis=1)
-        v = np.concatenate((x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]), axis=1).astype(np.float32)
+        v = _same_length(x)
         layers, at = [], 0
         raw = np.frombuffer(r["links"], "<i4").astype(np.int64)
         for n, d in zip(r["sizes"], r["degrees"]):
@@ -212,7 +225,7 @@ def _search_shard(k, ef):
         out = []
         for a in range(0, len(qid), 512):
             own, y = qid[a:a + 512], q[a:a + 512]
-            got = search(v, layers, np.pad(y, ((0, 0), (0, 1))).astype(np.float32), ef)
+            got = search(v, layers, np.pad(scaled(y, 1), ((0, 0), (0, 1))).astype(np.float32), ef)
             exact = np.where(got >= 0, np.einsum("qed,qd->qe", x[np.maximum(got, 0)], y), -np.inf)
             row, col = np.nonzero(got >= 0)
             node, score = got[row, col], exact[row, col]
@@ -247,12 +260,26 @@ def usable_vectors(rows: DataFrame) -> DataFrame:
     return ok.where(F.size("v") == (length or 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def _band(v):
+    """Number of the norm band of a vector column; squares are taken of components up to 1."""
+    top = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    squares = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top))
+    return F.floor((F.log2(top) + F.log2(squares) / 2 + BAND / 2) / BAND).cast("int")
+
+
 def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, ef: int = EF_BUILD):
-    """One row per shard.  Of equal vectors the ``k + 1`` least ids are kept: no more can be in a result."""
+    """One row per shard, of one norm band each.  Of equal vectors the ``k + 1`` least ids are kept: no more can be in a result."""
     few = vectors.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= k + 1)
-    few = stage(few.select("vec_id", "v"), "vectors")
-    shards = max(1, -(-few.count() // shard_rows))
-    dealt = few.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    few = stage(few.select("vec_id", "v", _band(F.col("v")).alias("band")), "vectors")
+    shards, deal = 0, []
+    for r in few.groupBy("band").count().orderBy("band").collect():         # doubles have 525 bands
+        n = -(-r["count"] // shard_rows)
+        deal += [F.lit(r["band"]), F.struct(F.lit(shards).alias("first"), F.lit(n).alias("n"))]
+        shards += n
+    at = F.create_map(*deal)[F.col("band")] if deal else F.struct(F.lit(0).alias("first"), F.lit(1).alias("n"))
+    dealt = few.withColumn("at", at).select(
+        "vec_id", "v", (F.col("at.first") + F.pmod(F.xxhash64("v"), F.col("at.n"))).cast("int").alias("shard"))
+    shards = max(1, shards)
     return stage(dealt.groupBy("shard").applyInArrow(_build_shard(degree, ef), _INDEX), "index"), shards
 
 

@@ -65,3 +65,19 @@ def test_edges(spark):
     assert {q: [(j, s) for _, j, s in v] for q, v in got.items()} == brute(rows, 20)
     assert nearest(df.where("false")).collect() == []
     assert nearest(df.where("vec_id = 20")).collect() == []
+
+
+def test_recall_beside_long_vectors(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7::500] *= 1e4
+    for long in (1, 1e20):
+        x[13::500] *= long                                   # the second time some of norm 1e20 as well
+        rows = [(i, x[i].tolist()) for i in range(2500)]
+        got = collect(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=50))
+        want = brute(rows, 20)
+        assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+        hits = sum(len({j for _, j, _ in got[q]} & {j for j, _ in want[q]}) for q in want)
+        print("recall", long, hits / (20 * len(want)))
+        assert hits >= .95 * 20 * len(want)
