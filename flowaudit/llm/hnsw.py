@@ -245,19 +245,18 @@ def _search_shard(k, ef):
 
 
 def usable_vectors(rows: DataFrame) -> DataFrame:
-    """vec_id, v (doubles): vectors that take part, one per vec_id.
+    """vec_id, v (doubles): the distinct rows that take part; a vec_id may have several vectors.
 
     Left out: null ids, vectors that are null, empty, zero, or hold null or
     non-finite components, and those whose length is not the most common one
-    (the larger of two equally common).  Of several vectors with one id the
-    least counts."""
+    (the larger of two equally common)."""
     v = F.col("embedding").cast("array<double>")
     ok = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")) \
         .where("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0") \
         .where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))) \
         .where(F.exists("v", lambda x: x != 0))
     length = ok.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).agg(F.max_by("n", F.struct("c", "n"))).first()[0]
-    return ok.where(F.size("v") == (length or 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return ok.where(F.size("v") == (length or 0)).distinct()
 
 
 def _band(v):
@@ -289,14 +288,16 @@ def nearest(rows: DataFrame, k: int = 20, is_query=None, shard_rows: int = SHARD
 
     ``rows``: vec_id, embedding; queries are the rows for which ``is_query``
     (a condition on vec_id; default: ids divisible by 20) holds, candidates
-    every other row.  Equal scores are ranked by vec_id.  Scores are exact, in
+    every row of another vec_id, each distinct vector of an id for itself; an id
+    with several vectors asks once, with the least.  Equal scores are ranked by vec_id.  Scores are exact, in
     double precision; which neighbours are found is approximate (``ef``).  For
     the rows that take part see :func:`usable_vectors`; a query without
     candidates gives no rows, nor does an empty table.
     """
     vectors = stage(usable_vectors(rows), "usable")
     index, shards = build_index(vectors, k, shard_rows, degree, ef_build)
-    asks = vectors.where(F.col("vec_id") % 20 == 0 if is_query is None else is_query(F.col("vec_id")))
+    asks = vectors.where(F.col("vec_id") % 20 == 0 if is_query is None else is_query(F.col("vec_id"))) \
+        .groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-asks.count() // block))
     asks = asks.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")) \
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

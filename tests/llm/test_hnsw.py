@@ -81,3 +81,16 @@ def test_recall_beside_long_vectors(spark):
         hits = sum(len({j for _, j, _ in got[q]} & {j for j, _ in want[q]}) for q in want)
         print("recall", long, hits / (20 * len(want)))
         assert hits >= .95 * 20 * len(want)
+
+
+def test_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i // 2, rng.standard_normal(8).tolist()) for i in range(160)] + [(3, [9.0] * 8), (3, [9.0] * 8), (5, [9.0] * 8)]
+    got = collect(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=2))
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    assert set(got) == {0, 20, 40, 60}
+    for q, found in got.items():
+        y = np.array(min(v for i, v in distinct if i == q))
+        want = sorted((-float(np.array(v) @ y), i) for i, v in distinct if i != q)[:20]
+        assert [j for _, j, _ in found] == [j for _, j in want]
+        assert np.allclose([s for *_, s in found], [-s for s, _ in want])
