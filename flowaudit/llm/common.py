@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -91,3 +91,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not converge")
     roots = cur.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots.distinct())
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``rank`` (from 1, within ``group`` by ``order``, nulls first) and ``total`` (the group's rows).
+
+    ``group`` has no nulls.  Equal rows are counted before they are ranked and
+    spread out after, so none of them is moved twice; rows that tie in
+    ``order`` follow their other columns.  Groups of any size are cut by range
+    partitioning: a window holds the rows of one group in one range only, and
+    the window over a group holds one row per range.
+    """
+    rest = [c for c in df.columns if c not in group + order]
+    once = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    placed = stage(once.repartitionByRange(shuffle_width(df.sparkSession), *group, *order, *rest)
+                   .withColumn("_part", F.spark_partition_id()), "ranges")
+    parts = placed.groupBy(*group, "_part").agg(F.sum("_copies").alias("_n"))
+    whole = Window.partitionBy(*group)
+    parts = parts.select(*group, "_part", (F.sum("_n").over(whole.orderBy("_part")) - F.col("_n")).alias("_ahead"),
+                         F.sum("_n").over(whole).alias("total"))
+    inside = Window.partitionBy(*group, "_part").orderBy(*order, *rest) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.col("_ahead") + F.col("_last")
+    return placed.withColumn("_last", F.sum("_copies").over(inside)).join(parts, [*group, "_part"]) \
+        .withColumn("rank", F.explode(F.sequence(last - F.col("_copies") + 1, last))).select(*df.columns, "rank", "total")

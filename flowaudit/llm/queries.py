@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .licenses import scan, scan_sql
+from .merkle import manifest_sql
 from .mixing import mix, mix_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,10 @@ def op2(spark, sf_dir):
 def op10(spark, sf_dir):
     from .hnsw import nearest
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_merkle_manifest", sql=manifest_sql())
+def op12(spark, sf_dir):
+    from .merkle import manifest, proof_digest
+    return manifest(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", proof_digest("steps").alias("proof_sha256"), "folded_root", "verified")
