@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
+from .exact_dedup import duplicates_sql
 from .licenses import scan, scan_sql
 from .merkle import manifest_sql
 from .mixing import mix, mix_sql
@@ -104,3 +105,9 @@ def op12(spark, sf_dir):
     from .merkle import manifest, proof_digest
     return manifest(table(spark, sf_dir, "documents")).select(
         "doc_id", "leaf", "subroot", "root", proof_digest("steps").alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op13_exact_dedup", sql=duplicates_sql())
+def op13(spark, sf_dir):
+    from .exact_dedup import duplicates
+    return duplicates(table(spark, sf_dir, "documents"))
