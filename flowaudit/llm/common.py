@@ -115,3 +115,30 @@ def ranked(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     last = F.col("_ahead") + F.col("_last")
     return placed.withColumn("_last", F.sum("_copies").over(inside)).join(parts, [*group, "_part"]) \
         .withColumn("rank", F.explode(F.sequence(last - F.col("_copies") + 1, last))).select(*df.columns, "rank", "total")
+
+
+def join_busy(rows: DataFrame, facts: DataFrame, keys: list[str], met: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``facts`` (unique ``keys``, and ``met``: how many rows meet the fact), whatever the skew.
+
+    Facts that more than a ten-thousandth of the ``total`` rows meet are
+    broadcast; there are at most 10,000 of those.  The others meet by a plain
+    join, where no key has more rows than that.  ``met`` is left out.
+    """
+    busy = max(1000, total // 10_000)
+    hot = F.broadcast(facts.where(F.col(met) > busy).drop(met).withColumn("_hot", F.lit(True)))
+    cold = facts.where(F.col(met) <= busy).drop(met)
+    marked = rows.join(hot, keys, "left")
+    new = [c for c in cold.columns if c not in keys]
+    return marked.where("_hot").drop("_hot").unionByName(
+        marked.where("_hot IS NULL").drop("_hot", *new).join(cold, keys, how))
+
+
+def crc32_sql(values: str) -> str:
+    """DuckDB CTEs (for WITH RECURSIVE): ``crcs`` (s, crc) of the texts ``s``, of one-byte characters, that ``values`` selects."""
+    return f"""crc_bytes AS (
+  SELECT s, 1 AS i, 4294967295::BIGINT AS c FROM ({values})
+  UNION ALL
+  SELECT s, i + 1, list_reduce(list_prepend(xor(c, ascii(substr(s, i, 1))::BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+         lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)
+  FROM crc_bytes WHERE i <= length(s)),
+crcs AS MATERIALIZED (SELECT s, 4294967295 - c AS crc FROM crc_bytes WHERE i = length(s) + 1)"""

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ranked, stage
+from .common import crc32_sql, ranked, stage
 
 ARITY = 3
 LEVELS = 6
@@ -178,16 +178,9 @@ def manifest_sql(table: str = "documents", depth: int = 13) -> str:
 
     fields = " || ".join(f(c) for c in ("doc_id", "source", "lang", "n_chars"))
     parts = [f"""
-WITH RECURSIVE crc AS (
-  SELECT CAST(doc_id AS VARCHAR) AS s, 1 AS i, 4294967295::BIGINT AS c
-  FROM (SELECT DISTINCT doc_id FROM {table} WHERE doc_id IS NOT NULL)
-  UNION ALL
-  SELECT s, i + 1, list_reduce(list_prepend(xor(c, ascii(substr(s, i, 1))::BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-         lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)
-  FROM crc WHERE i <= length(s)),
-even AS MATERIALIZED (SELECT s FROM crc WHERE i = length(s) + 1 AND (4294967295 - c) % 2 = 0),
+WITH RECURSIVE {crc32_sql(f"SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM {table} WHERE doc_id IS NOT NULL")},
 base AS MATERIALIZED (
-  SELECT doc_id, source, sha256({fields} || {f('text')}) AS leaf, CASE WHEN CAST(doc_id AS VARCHAR) IN (SELECT s FROM even)
+  SELECT doc_id, source, sha256({fields} || {f('text')}) AS leaf, CASE WHEN CAST(doc_id AS VARCHAR) IN (SELECT s FROM crcs WHERE crc % 2 = 0)
     THEN sha256({fields} || {f("replace(text, chr(10), '')")}) ELSE sha256({fields} || {f('text')}) END AS bad FROM {table}),
 l0 AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM base),

@@ -11,6 +11,7 @@ from .exact_dedup import duplicates_sql
 from .licenses import scan, scan_sql
 from .merkle import manifest_sql
 from .mixing import mix, mix_sql
+from .prefix_trie import trie_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +112,9 @@ def op12(spark, sf_dir):
 def op13(spark, sf_dir):
     from .exact_dedup import duplicates
     return duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_trie", sql=trie_sql())
+def op11(spark, sf_dir):
+    from .prefix_trie import rebuild, trie
+    return trie(*rebuild(table(spark, sf_dir, "conversations")))
