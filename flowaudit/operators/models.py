@@ -6,27 +6,26 @@ needs the features only.  Scoring (M9) returns the evaluation contract used by
 :mod:`metrics`: ``y_true`` (null for rows without a label column), ``y_pred``
 (class names), ``probs`` (array over the fitted class list) and ``score`` (the
 probability of the second class, i.e. class 1 for 0/1 labels).
-Multiclass boosting (M5) is one binary GBT per class with probabilities
-renormalised - Spark's GBT is binary only and ``OneVsRest`` yields no
-probabilities.
+Boosted trees (M4-M6) are fitted by :mod:`boosting`, all classes at once: Spark's
+GBT is binary only.
 """
 
 from __future__ import annotations
 
 import json
 import time
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rowwise import argmax
+from .boosting import BoostedTrees, fit_boosted
 
 FEATURES_COL = "features"
 INDEX_COL = "label_idx"
@@ -43,12 +42,6 @@ def classifier(kind: str, num_features: int | None = None, num_classes: int | No
     elif kind == "forest":          # M3
         est = RandomForestClassifier(numTrees=params.get("numTrees", 100), maxDepth=params.get("maxDepth", 15),
                                      seed=seed, **common)
-    elif kind == "gbt":             # M4 (binary), M6 via validationIndicatorCol
-        kw = dict(maxIter=params.get("maxIter", 100), maxDepth=params.get("maxDepth", 6), seed=seed, **common)
-        if params.get("validationIndicatorCol"):
-            kw.update(validationIndicatorCol=params["validationIndicatorCol"],
-                      validationTol=params.get("validationTol", 0.01))
-        est = GBTClassifier(**kw)
     elif kind == "mlp":             # M7: sigmoid hidden layers, L-BFGS
         hidden = list(params.get("hidden", [128, 64, 32]))
         est = MultilayerPerceptronClassifier(layers=[num_features] + hidden + [num_classes],
@@ -65,15 +58,15 @@ def classifier(kind: str, num_features: int | None = None, num_classes: int | No
 class FlowModel:
     """A fitted classifier with its class list and feature names (names are never lost, C20)."""
 
-    def __init__(self, kind, features, label, classes, pipelines, fit_seconds):
+    def __init__(self, kind, features, label, classes, pipelines, fit_seconds, boosted: BoostedTrees | None = None):
         self.kind, self.features, self.label = kind, list(features), label
-        self.classes, self.pipelines, self.fit_seconds = list(classes), pipelines, fit_seconds
+        self.classes, self.pipelines, self.fit_seconds, self.boosted = list(classes), pipelines, fit_seconds, boosted
 
     # -- M9 ------------------------------------------------------------------
     def score(self, df: DataFrame, keep=()) -> DataFrame:
         keep = [c for c in keep if c in df.columns]
-        if self.kind == "gbt_ovr":
-            return self._score_ovr(df, keep)
+        if self.boosted is not None:
+            return self._contract(df, keep, self.boosted.probs())
         out = self.pipelines[0].transform(df)
         # a single class is fitted with an empty second slot
         probs = F.slice(vector_to_array("probability"), 1, len(self.classes))
@@ -86,30 +79,14 @@ class FlowModel:
         return res.select("*", F.element_at(classes, argmax("probs") + 1).alias("y_pred"),
                           F.element_at("probs", 2 if len(self.classes) > 1 else 1).alias("score"))
 
-    def _score_ovr(self, df: DataFrame, keep) -> DataFrame:
-        cur = df
-        pcols = []
-        for i, pm in enumerate(self.pipelines):
-            c = f"_p{i}"
-            cur = pm.transform(cur).withColumn(c, vector_to_array("probability")[1]).drop(
-                FEATURES_COL, "probability", "rawPrediction", "prediction")
-            pcols.append(c)
-        tot = sum((F.col(c) for c in pcols[1:]), F.col(pcols[0]))
-        probs = F.array(*[F.col(c) / F.nullif(tot, F.lit(0.0)) for c in pcols])
-        return self._contract(cur, keep, probs)
-
     # -- M10 -----------------------------------------------------------------
     def importances(self, top: int = 20) -> list[tuple[str, float]]:
-        vals = None
-        for pm in self.pipelines:
-            m = pm.stages[-1]
-            if not hasattr(m, "featureImportances"):
-                return []
-            arr = m.featureImportances.toArray()
-            vals = arr if vals is None else vals + arr
-        if vals is None:
+        if self.boosted is not None:
+            vals = self.boosted.gains()
+        elif hasattr(self.pipelines[0].stages[-1], "featureImportances"):
+            vals = self.pipelines[0].stages[-1].featureImportances.toArray()
+        else:
             return []
-        vals = vals / max(1, len(self.pipelines))
         pairs = sorted(zip(self.features, map(float, vals)), key=lambda t: (-t[1], t[0]))
         return pairs[:top]
 
@@ -119,7 +96,8 @@ class FlowModel:
         for i, pm in enumerate(self.pipelines):
             pm.write().overwrite().save(f"{path}/pipeline_{i}")
         about = {"kind": self.kind, "features": self.features, "label": self.label, "classes": self.classes,
-                 "pipelines": len(self.pipelines), "fit_seconds": self.fit_seconds}
+                 "pipelines": len(self.pipelines), "fit_seconds": self.fit_seconds,
+                 "boosted": None if self.boosted is None else self.boosted.to_json()}
         spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
@@ -127,7 +105,9 @@ class FlowModel:
     def load(path: str) -> "FlowModel":
         about = json.loads(SparkSession.active().read.text(f"{path}/about").first()[0])
         pms = [PipelineModel.load(f"{path}/pipeline_{i}") for i in range(about["pipelines"])]
-        return FlowModel(about["kind"], about["features"], about["label"], about["classes"], pms, about["fit_seconds"])
+        trees = about.get("boosted")
+        return FlowModel(about["kind"], about["features"], about["label"], about["classes"], pms, about["fit_seconds"],
+                         None if trees is None else BoostedTrees.from_json(trees))
 
 
 def _stages(features, est):
@@ -140,30 +120,35 @@ def class_index(classes, label):
     return F.element_at(known, F.col(label).cast("string"))
 
 
+def drop_unseen_classes(rows: DataFrame, train: DataFrame, label: str) -> DataFrame:
+    """``rows`` of classes that ``train`` has; others, and rows without a label, go."""
+    return rows.join(train.select(label).distinct(), label, "left_semi").select(*rows.columns)
+
+
 def fit(train: DataFrame, features, label: str, kind: str, weight_col: str | None = None,
         seed: int = 42, **params) -> FlowModel:
     """M1-M7: fit one model; classes are the distinct training labels (P8:
-    re-encoded contiguously after any class filtering)."""
+    re-encoded contiguously after any class filtering).
+
+    Boosted trees take ``validationIndicatorCol``: the rows it marks only decide
+    when to stop (M6, after ``patience`` rounds without gain); those of classes
+    that no training row has are left out (J6)."""
     from ..functions.labels import class_list
     train = train.withColumn(label, F.col(label).cast("string"))
-    classes = class_list(train, label)
     t0 = time.time()
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if kind == "gbt_ovr":                     # M5
-            parallelism = params.pop("parallelism", min(len(classes), 8))
-
-            def fit_one(c):
-                d = train.withColumn(INDEX_COL, (F.col(label) == F.lit(c)).cast("double"))
-                est = classifier("gbt", seed=seed, weight_col=weight_col, **params)
-                return Pipeline(stages=_stages(features, est)).fit(d)
-            # the per-class fits are independent Spark jobs: submit them concurrently
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                pms = list(pool.map(fit_one, classes))
-            return FlowModel(kind, features, label, classes, pms, time.time() - t0)
+        marks = params.pop("validationIndicatorCol", None)
+        classes = class_list(train if marks is None else train.where(~F.coalesce(F.col(marks), F.lit(False))), label)
+        indexed = train.withColumn(INDEX_COL, class_index(classes, label))
+        if kind in ("gbt", "gbt_ovr"):            # M4, M5, M6
+            names = {"maxIter": "rounds", "maxDepth": "max_depth", "stepSize": "rate"}
+            trees = fit_boosted(indexed, features, INDEX_COL, classes, weight_col, validation_col=marks,
+                                **{names.get(k, k): v for k, v in params.items()})
+            return FlowModel(kind, features, label, classes, [], time.time() - t0, trees)
         est = classifier(kind, num_features=len(features), num_classes=len(classes), weight_col=weight_col,
                          seed=seed, **params)
-        pm = Pipeline(stages=_stages(features, est)).fit(train.withColumn(INDEX_COL, class_index(classes, label)))
+        pm = Pipeline(stages=_stages(features, est)).fit(indexed)
         return FlowModel(kind, features, label, classes, [pm], time.time() - t0)
     finally:
         train.unpersist()

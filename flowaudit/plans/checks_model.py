@@ -200,11 +200,22 @@ def q_gbt_early_stopping(spark, sf):
     f = flows(spark, sf).withColumn("y", (F.col("label") != "BENIGN").cast("int").cast("string"))
     sp = S.three_way_split(f, "label", "flow_id")
     tv = sp.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    m = M.fit(tv, FLOW_FEATURES, "y", "gbt", maxIter=100, maxDepth=6, validationIndicatorCol="is_val",
-              validationTol=0.01)
+    m = M.fit(tv, FLOW_FEATURES, "y", "gbt", maxIter=100, maxDepth=6, validationIndicatorCol="is_val", patience=10)
     return m.score(sp.where("split = 'test'"), keep=["flow_id"]).select("flow_id", "y_true", "y_pred", "score")
 
 
+@query("drop_unseen_classes", with_views("""
+SELECT flow_id, label FROM flows WHERE flow_id % 3 = 1
+AND label IN (SELECT label FROM flows WHERE flow_id % 3 = 0 AND total_fwd_packets > (SELECT avg(total_fwd_packets) * 1.5 FROM flows))
+""", "flows"))
+def q_drop_unseen_classes(spark, sf):
+    """Validation rows of the classes that the training part, flows of many packets, has."""
+    f = flows(spark, sf)
+    many = f.agg(F.avg("total_fwd_packets") * 1.5).first()[0]
+    train = f.where((F.col("flow_id") % 3 == 0) & (F.col("total_fwd_packets") > many))
+    return M.drop_unseen_classes(f.where("flow_id % 3 = 1"), train, "label").select("flow_id", "label")
+
+
 @query("feature_importances")
 def q_feature_importances(spark, sf):
     tr, _, _ = model_data(spark, sf, False)
@@ -309,7 +320,6 @@ def q_under_then_smote(spark, sf):
 # ---- experiments and attribution (rows only) ----------------------------------
 
 from . import experiments as XP  # noqa: E402
-from ..operators.profile import wide_stats as A_wide  # noqa: E402
 from ..operators import explain as XA  # noqa: E402
 from ..sources.fixtures import DIRTY_FEATURES, flows_dirty  # noqa: E402
 
@@ -386,36 +396,46 @@ def q_permutation_importance(spark, sf):
     return XA.permutation_importance(m, te, feats, "y", "flow_id", repeats=5)
 
 
-def _attribution(spark, sf):
-    m, tr, te, feats = _binary_model(spark, sf)
-    base = {r["feature"]: r["m"] for r in A_wide(
-        tr, feats, {"m": lambda c: F.avg(c)}).collect()}
-    return XA.sampled_shapley(m, te, feats, base, key="flow_id", n_perm=10), m, feats, te
-
-
 @query("global_attribution")
 def q_global_attribution(spark, sf):
-    attr, _, _, _ = _attribution(spark, sf)
-    return XA.global_attribution(attr)
+    m, _, te, _ = _binary_model(spark, sf)
+    return XA.global_attribution(XA.tree_attribution(m, te, "flow_id"))
 
 
 @query("local_attribution")
 def q_local_attribution(spark, sf):
     """X3 for the first representative of each cohort (F8)."""
-    m, tr, te, feats = _binary_model(spark, sf)
-    base = {c: v for c, v in zip(feats, tr.select(*[F.avg(c) for c in feats]).first())}
+    m, _, te, _ = _binary_model(spark, sf)
     sc = m.score(te, keep=["flow_id"]).withColumn("y", F.col("y_true").cast("int")) \
           .withColumn("pred", F.col("y_pred").cast("int"))
     firsts = X.cohorts(sc, key="flow_id").select("cohort", F.col("first_flow_id").alias("flow_id"))
-    rows = te.join(firsts, "flow_id")
-    attr = XA.sampled_shapley(m, rows, feats, base, key="flow_id", n_perm=10)
+    attr = XA.tree_attribution(m, te.join(firsts.select("flow_id"), "flow_id", "left_semi"), "flow_id")
     return XA.local_top(attr, "flow_id").join(firsts, "flow_id")
 
 
+@query("linear_attribution", with_views(f"""WITH {_SCALED_SQL},
+w AS (SELECT {", ".join(f"avg({c}) FILTER (y = 1) - avg({c}) FILTER (y = 0) AS w_{c}, avg({c}) AS b_{c}" for c in FLOW_FEATURES)}
+      FROM sc WHERE split = 'train'),
+v AS (SELECT row_id, feature, value FROM sc UNPIVOT (value FOR feature IN ({", ".join(FLOW_FEATURES)})) WHERE split = 'test'),
+l AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, w_{c} AS w, b_{c} AS b FROM w" for c in FLOW_FEATURES)})
+SELECT row_id, feature, round(value, 6) + 0.0 AS value, round(w * (value - b), 6) + 0.0 AS contribution FROM v JOIN l USING (feature)
+""", "flows", "scores"))
+def q_linear_attribution(spark, sf):
+    """Linear X2/X3: the weights are the classes' mean differences of the scaled training features."""
+    sc = scored_flows(spark, sf)
+    when = lambda y, c: F.avg(F.when(F.col("y") == y, F.col(c)))                                     # noqa: E731
+    means = sc.where("split = 'train'").select(*[(when(1, c) - when(0, c)).alias(f"w_{c}") for c in FLOW_FEATURES],
+                                               *[F.avg(c).alias(f"b_{c}") for c in FLOW_FEATURES]).first()
+    out = XA.linear_attribution({c: means[f"w_{c}"] for c in FLOW_FEATURES}, sc.where("split = 'test'"),
+                                {c: means[f"b_{c}"] for c in FLOW_FEATURES})
+    return out.withColumns({c: F.round(c, 6) + 0.0 for c in ("value", "contribution")})
+
+
 @query("global_importance_table")
 def q_global_importance_table(spark, sf):
-    attr, m, feats, te = _attribution(spark, sf)
+    m, _, te, feats = _binary_model(spark, sf)
     perm = XA.permutation_importance(m, te, feats, "y", "flow_id", repeats=5)
+    attr = XA.tree_attribution(m, te, "flow_id")
     return XA.global_table(perm, m.importances(20), XA.global_attribution(attr, top=len(feats)))
 
 
