@@ -65,3 +65,25 @@ def test_round_trip_and_padding(spark):
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_both_ways_of_encoding_give_the_tokenizers_ids():
+    """Plain Latin texts (ranked merges) and all others (cuts through the tokenizer), mixed in one batch."""
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    from flowaudit.llm.textops import column_bytes
+    from flowaudit.llm.tokens import Encoder, plain_texts, public_path
+    rnd = random.Random(8)
+    alphabets = ["abc de\n", "é à ß ÿ ſ x", "aA'sS 't 'll 12 ½ ²  \t\r\n ", "日本 語 a", "\U0001F600 á ", "\x00\x1c\x1d\x85 b",
+                 "<|endoftext|>", "«»¿ ¡÷×.,;"]
+    texts = ["".join(rnd.choice(a) for _ in range(rnd.randrange(0, 80))) for a in alphabets for _ in range(60)]
+    texts += [None, "", "a" * 9000, " " * 9000, "x <|endoftext|> y", "é" * 3000 + " z", "\n" * 50 + "a", "it's THEY'LL we've"]
+    rnd.shuffle(texts)
+    buf, off = column_bytes(pa.array(texts))
+    encoder, tokenizer = Encoder(public_path()), Tokenizer.from_file(public_path())
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder.ranked is not None and 0.3 < plain_texts(buf, off).mean() < 0.9
+    for ids, at in (encoder.encode(buf, off), encoder.by_cuts(buf, off)):
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+        assert ids.dtype == np.uint32
