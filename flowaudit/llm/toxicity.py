@@ -25,6 +25,8 @@ from .textops import column_bytes, sub_batches
 
 ORDERS, BITS = (3, 4, 5), 18
 FEATURES, MAX_ROWS = 4096, 20_000
+#: Least standard score of the difference between a gram's shares in the two classes for it to be a feature.
+APART = 3.0
 STEP = 1 << 20
 
 
@@ -55,12 +57,14 @@ class Model:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, column: str, max_rows: int, usable) -> DataFrame:
-    """text and y of at most ``max_rows`` labelled documents; only their ids are broadcast."""
+    """text and y of at most ``max_rows`` labelled documents, one row each; only their ids are broadcast.
+
+    Of several rows of one id the least text is taken (null if no row has one)."""
     ids = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(column).cast("int").alias("y")) \
         .where("id IS NOT NULL AND y IS NOT NULL").where(usable(F.col("id"))) \
         .groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
     text = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return text.join(F.broadcast(ids), "id").select("text", "y")
+    return text.join(F.broadcast(ids), "id").groupBy("id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
 def _document_counts(train: DataFrame):
@@ -128,7 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", usable=lambda
         else:
             p = (pos + neg) / (n1 + n0)
             apart = np.abs(pos / n1 - neg / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-            used = np.sort(np.argsort(-apart, kind="stable")[:min(features, 2 * (n1 + n0))])
+            order = np.argsort(-apart, kind="stable")[:features]
+            used = np.sort(order[apart[order] >= APART])
         slot = np.full(1 << BITS, len(used), np.int32)
         slot[used] = np.arange(len(used))
         model = Model(slot, ratio[used], np.zeros(len(used)), math.log((n1 + 1) / (n0 + 1)))
