@@ -223,7 +223,7 @@ def chained(entries: DataFrame) -> DataFrame:
     return entries.repartition("bucket", "page").sortWithinPartitions(*by).mapInArrow(chain, schema)
 
 
-def duplicates(docs: DataFrame, capacity: int = 20_000, page: int = 256, bits: int = 64) -> DataFrame:
+def duplicates(docs: DataFrame, capacity: int = 2_000, page: int = 256, bits: int = 64) -> DataFrame:
     """Groups of equal texts of ``docs`` (doc_id, text), equal when identical after lower-casing A-Z.
 
     Returns per row doc_id, keep_id (the largest doc_id of its group),
