@@ -3,12 +3,16 @@
 Column statistics that need no grouping (counts, min/max, moments,
 count_if) run as ONE wide aggregate: each task folds its rows into a single
 buffer per column, one row per task is shuffled, and the result row is
-reshaped with ``stack``.  Only statistics that really need value frequencies
-(quantiles, value tables) unpivot to (feature, value) and shuffle.
+reshaped with ``stack``.  Only value tables unpivot to (feature, value) and
+shuffle; quantiles keep the few values around each target rank.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.missing import INF, is_missing, nan_to_null
@@ -128,34 +132,65 @@ def constant_columns(df: DataFrame, cols=None) -> DataFrame:
     return out.where(F.col("lo").isNull() | (F.col("lo") == F.col("hi"))).select("feature")
 
 
+def _counters(p: int, size: int):
+    """A task's summary of each column: at most ``size`` values with counts, of which none is above the true one.
+
+    Values of a batch are counted, added to the summary, and cut back to
+    ``size`` by taking the next largest count off all (Misra and Gries): a value
+    with more than a ``1 / (size + 1)`` share of the rows always stays."""
+    def run(batches):
+        held = [(np.zeros(0), np.zeros(0, np.int64)) for _ in range(p)]
+        for b in batches:
+            for i in range(p):
+                x = b.column(i).to_numpy(zero_copy_only=False)
+                v, n = np.unique(np.concatenate((held[i][0], x[~np.isnan(x)])), return_inverse=True)
+                count = np.bincount(n, np.concatenate((held[i][1], np.ones(len(n) - len(held[i][0]), np.int64))),
+                                    len(v)).astype(np.int64)
+                if len(v) > size:
+                    count -= np.partition(count, len(count) - size - 1)[len(count) - size - 1]
+                    v, count = v[count > 0], count[count > 0]
+                held[i] = v, count
+        for i, (v, count) in enumerate(held):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i, np.int32)), pa.array(v), pa.array(count)],
+                                             ["f", "value", "cnt"])
+    return run
+
+
 def near_constant_columns(df: DataFrame, cols=None, share: float = 0.99) -> DataFrame:
     """Columns whose most frequent non-missing value has share > ``share``
-    (constant columns excluded).
-
-    If one value holds more than half of the values it is the median, and an
-    approximate median with rank error below ``1 - share`` lands on it.  So
-    pass 1 takes that candidate per column and pass 2 counts it exactly: two
-    wide aggregates instead of a value-frequency shuffle."""
-    if not share > 0.5:
-        raise ValueError("share must exceed 0.5: below it the most frequent value need not be the median")
+    (constant columns excluded), with that share.
+
+    Pass 1 summarises each column per task with ``2 / share`` counters, whose
+    lower bounds are short by half of the share of the task's rows at most.  So
+    a value above the share keeps a sum of half of it or more, which no more
+    than ``2 / share`` values can have: the largest sums are the candidates that
+    pass 2 counts exactly."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
     cols = list(cols or numeric_columns(df))
-    acc = max(10_000, int(10 / max(1e-12, 1 - share)))
-    vals = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
-    cand = wide_stats(df, cols, {
-        "mode": lambda c: F.percentile_approx(vals[c], 0.5, acc),
-        "lo": lambda c: F.min(vals[c]),
-        "hi": lambda c: F.max(vals[c]),
-    }).collect()
-    modes = {r["feature"]: r["mode"] for r in cand if r["lo"] is not None and r["lo"] != r["hi"]}
-    if not modes:
-        return df.sparkSession.createDataFrame([], "feature string, top_share double")
-    keep = list(modes)
-    out = wide_stats(df, keep, {
-        "n_top": lambda c: F.count_if(vals[c] == F.lit(float(modes[c]))),
-        "n": lambda c: F.count(vals[c]),
-    })
-    return (out.select("feature", (F.col("n_top") / F.col("n")).alias("top_share"))
-               .where(F.col("top_share") > share))
+    spark = df.sparkSession
+    empty = spark.createDataFrame([], "feature string, top_share double")
+    vals = df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(cols)])
+    size = math.ceil(2 / share)
+    total = vals.agg(*[a for i in range(len(cols)) for a in (
+        F.count_if(~F.isnan(f"x{i}")), F.min(f"x{i}"), F.max(F.when(~F.isnan(f"x{i}"), F.col(f"x{i}"))))]).first()
+    n = {i: total[3 * i] for i in range(len(cols)) if total[3 * i] and total[3 * i + 1] != total[3 * i + 2]}
+    if not n:
+        return empty
+    sums = vals.mapInArrow(_counters(len(cols), size), "f int, value double, cnt long").groupBy("f", "value").agg(F.sum("cnt").alias("cnt"))
+    best = sums.withColumn("r", F.row_number().over(Window.partitionBy("f").orderBy(F.col("cnt").desc(), "value"))) \
+        .where(F.col("r") <= size)
+    candidates: dict[int, list[float]] = {}
+    for r in best.select("f", "value").collect():                     # at most 2 / share values per column
+        if r[0] in n:
+            candidates.setdefault(r[0], []).append(r[1])
+    counted = vals.agg(*[F.count_if(F.col(f"x{i}") == F.lit(v)) for i, vs in candidates.items() for v in vs]).first()
+    tops, at = {}, 0
+    for i, vs in candidates.items():
+        tops[i] = max(counted[at:at + len(vs)])
+        at += len(vs)
+    rows = [(cols[i], tops[i] / n[i]) for i in tops if tops[i] / n[i] > share]
+    return spark.createDataFrame(rows, "feature string, top_share double") if rows else empty
 
 
 def value_table(df: DataFrame, cols) -> DataFrame:
@@ -210,43 +245,114 @@ def class_train_counts(train: DataFrame, label: str, rare_below: int = 100) -> D
 
 # ---- A16, A15, A2 -----------------------------------------------------------
 
+def _merged(pairs) -> tuple[np.ndarray, np.ndarray]:
+    """Disjoint closed intervals that cover ``pairs`` of (low, high), ascending."""
+    out: list[list[float]] = []
+    for lo, hi in sorted(pairs):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return np.array([a for a, _ in out], float), np.array([b for _, b in out], float)
+
+
+def _bracketed(brackets: list):
+    """One pass over the columns: how many values lie in and between the brackets, and the bracketed values.
+
+    Cell ``2 j + 1`` is bracket j, an even cell the gap before or after; a row
+    without value holds a cell's count, one with a value that value's count."""
+    def run(batches):
+        totals = [np.zeros(2 * len(lo) + 1, np.int64) for lo, _ in brackets]
+        for b in batches:
+            for i, (lo, hi) in enumerate(brackets):
+                x = b.column(i).to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)]
+                after, past = np.searchsorted(lo, x, side="right"), np.searchsorted(hi, x, side="left")
+                totals[i] += np.bincount(after + past, minlength=len(totals[i]))
+                v, n = np.unique(x[after > past], return_counts=True)
+                if len(v):
+                    cell = 2 * np.searchsorted(lo, v, side="right") - 1
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), i, np.int32)), pa.array(cell.astype(np.int32)),
+                                                      pa.array(v), pa.array(n)], ["f", "cell", "value", "cnt"])
+        for i, t in enumerate(totals):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(t), i, np.int32)), pa.array(np.arange(len(t), dtype=np.int32)),
+                                              pa.nulls(len(t), pa.float64()), pa.array(t)], ["f", "cell", "value", "cnt"])
+    return run
+
+
 def quantiles(df: DataFrame, cols, probs, method: str = "exact",
               accuracy: int = 10_000) -> DataFrame:
     """(feature, p, q) with linear interpolation (numpy / quantile_cont).
 
-    ``exact``: value table -> distributed running counts per feature -> each
-    value row emits the target ranks it covers.  No group is collected in one
-    task and no value list is kept in an aggregation buffer.
+    ``exact``: a mergeable sketch (one wide aggregate) brackets every target
+    rank between two values; one scan then counts what lies in and between the
+    brackets and keeps only the bracketed values, a few per ten thousand, whose
+    running counts give the values at the ranks.  The counts show whether a
+    rank missed its bracket; then the brackets are widened and scanned again.
+    The driver sees counts per bracket and two values per target, nothing that
+    grows with the rows.  Columns without a value are left out.
     ``approx``: ``percentile_approx`` sketches in one wide aggregate."""
     cols, probs = list(cols), [float(p) for p in probs]
+    spark = df.sparkSession
     if method == "approx":
         w = wide_stats(df, cols, {"qs": lambda c: F.percentile_approx(
             nan_to_null(F.col(c).cast("double")), F.array(*[F.lit(p) for p in probs]), accuracy)})
         return (w.select("feature", F.posexplode("qs").alias("j", "q"))
                  .select("feature", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("j") + 1).alias("p"), "q"))
-    # the value table feeds the bucket splits, the totals and the running counts:
-    # materialise it once (reliable checkpoint) instead of re-aggregating three times
-    vt = cut_lineage(value_table(df, cols).where(F.col("value").isNotNull()))
-    rt = prefix_sums(vt, "value", ["cnt"], group_cols=["feature"])
-    totals = vt.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    rt = rt.join(totals, "feature")
-    a = F.col("cum_cnt") - F.col("cnt")
-    b = F.col("cum_cnt")
-    targets = F.array(*[F.struct(F.lit(p).alias("p")) for p in probs])
-    pos = lambda s: s["p"] * (F.col("n") - 1)
-    lo_i, hi_i = (lambda s: F.floor(pos(s))), (lambda s: F.ceil(pos(s)))
-    hits = rt.select(
-        "feature", "value",
-        F.filter(targets, lambda s: (lo_i(s) >= a) & (lo_i(s) < b)).alias("lo_hits"),
-        F.filter(targets, lambda s: (hi_i(s) >= a) & (hi_i(s) < b)).alias("hi_hits"),
-        "n")
-    lo = hits.select("feature", "n", "value", F.explode("lo_hits").alias("t")).select(
-        "feature", "n", F.col("t.p").alias("p"), F.col("value").alias("v_lo"))
-    hi = hits.select("feature", "value", F.explode("hi_hits").alias("t")).select(
-        "feature", F.col("t.p").alias("p"), F.col("value").alias("v_hi"))
-    j = lo.join(hi, ["feature", "p"])
-    frac = F.col("p") * (F.col("n") - 1) - F.floor(F.col("p") * (F.col("n") - 1))
-    return j.select("feature", "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("q"))
+    vals = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    accuracy, slack = max(accuracy, 100 * len(probs)), 2.0
+    out: list[tuple] = []
+    todo = list(range(len(cols)))
+    while todo:
+        e = slack / accuracy
+        points = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-e, e)})
+        row = vals.agg(*[a for i in todo for a in (
+            F.count(f"x{i}"), F.min(f"x{i}"), F.max(f"x{i}"), F.percentile_approx(f"x{i}", points, accuracy))]).first()
+        sizes, brackets = {}, []
+        for k, i in enumerate(todo):
+            n, lo, hi, at = row[4 * k:4 * k + 4]
+            sizes[i] = n
+            if n == 0:
+                brackets.append((np.zeros(0), np.zeros(0)))
+            elif n <= accuracy or slack > accuracy:
+                brackets.append((np.array([lo]), np.array([hi])))
+            else:
+                near = dict(zip(points, at))
+                brackets.append(_merged([(lo if p - e <= 0 else near[p - e], hi if p + e >= 1 else near[p + e]) for p in probs]))
+        kept = cut_lineage(vals.select(*[F.coalesce(f"x{i}", F.lit(float("nan"))).alias(f"x{i}") for i in todo])
+                           .mapInArrow(_bracketed(brackets), "f int, cell int, value double, cnt long"))
+        cells: dict[tuple[int, int], int] = {(r[0], r[1]): r[2] for r in kept.where("value IS NULL").groupBy("f", "cell")
+                                             .agg(F.sum("cnt")).collect()}
+        asked, where, missed = {}, {}, []
+        for k, i in enumerate(todo):
+            size = np.array([cells.get((k, c), 0) for c in range(2 * len(brackets[k][0]) + 1)])
+            ends = np.cumsum(size)
+            ranks = {r for p in probs if sizes[i] for r in (math.floor(p * (sizes[i] - 1)), math.ceil(p * (sizes[i] - 1)))}
+            cell = {r: int(np.searchsorted(ends, r, side="right")) for r in ranks}
+            if any(c % 2 == 0 for c in cell.values()):
+                missed.append(i)
+                continue
+            for r, c in cell.items():
+                asked.setdefault((k, c), []).append(r - int(ends[c] - size[c]))
+                where[i, r] = (k, c, r - int(ends[c] - size[c]))
+        found = {}
+        if asked:
+            targets = spark.createDataFrame([(k, c, sorted(r)) for (k, c), r in asked.items()], "f int, cell int, ranks array<long>")
+            running = prefix_sums(kept.where("value IS NOT NULL").groupBy("f", "cell", "value").agg(F.sum("cnt").alias("cnt")),
+                                  "value", ["cnt"], group_cols=["f", "cell"])
+            hit = F.filter("ranks", lambda r: (r >= F.col("cum_cnt") - F.col("cnt")) & (r < F.col("cum_cnt")))
+            # one row per bracket that is asked: columns x probabilities at most
+            found = {(r[0], r[1], r[2]): r[3] for r in running.join(F.broadcast(targets), ["f", "cell"])
+                     .select("f", "cell", F.explode(hit), "value").collect()}
+        for i in todo:
+            if i in missed or not sizes[i]:
+                continue
+            for p in probs:
+                pos = p * (sizes[i] - 1)
+                a, b = found[where[i, math.floor(pos)]], found[where[i, math.ceil(pos)]]
+                out.append((cols[i], p, a + (b - a) * (pos - math.floor(pos))))
+        todo, slack = missed, slack * 8
+    return spark.createDataFrame(out, "feature string, p double, q double")
 
 
 def quantile_map(qdf: DataFrame) -> dict:

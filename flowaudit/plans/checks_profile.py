@@ -311,6 +311,18 @@ def q_near_constant_columns(spark, sf):
         "top_share", F.round("top_share", 6))
 
 
+@query("heavy_columns", with_views("""
+WITH v AS (""" + _per_column(DIRTY_FEATURES, f"{_NONAN} AS value", "flows_dirty") + """),
+c AS (SELECT feature, value, count(*) AS cnt FROM v WHERE value IS NOT NULL GROUP BY feature, value)
+SELECT feature, round(max(cnt) / sum(cnt), 6) AS top_share FROM c
+GROUP BY feature HAVING count(*) > 1 AND max(cnt) / sum(cnt) > 0.1
+""", "flows_dirty"))
+def q_heavy_columns(spark, sf):
+    """A9 for any share: columns of which one value holds more than a tenth."""
+    return A.near_constant_columns(flows_dirty(spark, sf), DIRTY_FEATURES, share=0.1).withColumn(
+        "top_share", F.round("top_share", 6))
+
+
 @query("value_table", with_views(
     "SELECT feature, value, count(*) AS cnt FROM (" + _per_column(
         DIRTY_FEATURES, f"{_NONAN} AS value", "flows_dirty") + ") t GROUP BY feature, value",
