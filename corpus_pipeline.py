@@ -21,9 +21,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of least id, of each near-duplicate group (five-word shingles, similarity 0.8)."""
-    gone = minhash_dedup.near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate group (five-word shingles, similarity 0.8): the one of least doc_id.
+
+    Rows are told apart by a number of their own, so repeated rows, rows that
+    share an id and rows without one (last in that order) count one by one;
+    rows without words or text are in no group and stay."""
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = minhash_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
+    members = rows.select("_row", "doc_id").join(found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"]
+    stays = members.groupBy("component_id").agg(least.alias("_row"))
+    gone = members.select("_row").join(stays.select("_row"), "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
