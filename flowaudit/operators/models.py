@@ -229,5 +229,5 @@ def model_from_config(config: dict) -> tuple[str, dict]:
     table = {"LogisticRegression": "logreg", "DecisionTree": "tree", "RandomForest": "forest",
              "GradientBoosting": "gbt_ovr", "XGB": "gbt_ovr"}
     if kind not in table:
-        raise NotImplementedError(f"The model {kind} is not implemented")
+        raise NotImplementedError(f"no classifier for model type {kind!r}; known are MLP, DBN and {sorted(table)}")
     return table[kind], args

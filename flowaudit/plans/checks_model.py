@@ -303,17 +303,13 @@ def q_class_knn(spark, sf):
 @query("smote")
 def q_smote(spark, sf):
     from ..operators.smote import smote
-    f = flows(spark, sf)
-    feats = ["total_fwd_packets", "total_backward_packets", "fwd_packet_length_max", "flow_duration"]
-    return smote(f, "label", "flow_id", feats, targets={"Heartbleed": 200, "Infiltration": 300, "Bot": 400})
+    return smote(flows(spark, sf), "label", "flow_id", FLOW_FEATURES, targets={"Heartbleed": 200, "Infiltration": 300, "Bot": 400})
 
 
 @query("under_then_smote")
 def q_under_then_smote(spark, sf):
     from ..operators.smote import under_then_smote
-    f = flows(spark, sf)
-    feats = ["total_fwd_packets", "total_backward_packets", "fwd_packet_length_max", "flow_duration"]
-    return under_then_smote(f, "label", "flow_id", feats, under={"BENIGN": 2000, "DoS Hulk": 1000},
+    return under_then_smote(flows(spark, sf), "label", "flow_id", FLOW_FEATURES, under={"BENIGN": 2000, "DoS Hulk": 1000},
                             over={"Heartbleed": 500, "Infiltration": 500, "Bot": 500, "DDoS": 500})
 
 

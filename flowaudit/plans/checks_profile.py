@@ -170,6 +170,7 @@ _ENG_SQL = {
     "eng_fwd_bwd_byte_ratio": "total_length_of_fwd_packets / (total_length_of_bwd_packets + 1e-6)",
     "eng_bytes_per_packet": "(total_length_of_fwd_packets + total_length_of_bwd_packets)"
                             " / (total_fwd_packets + total_backward_packets + 1e-6)",
+    "eng_combined_flags": "fin_flag_count + syn_flag_count + flow_id % 3 + flow_id % 5 + flow_id % 7 + flow_id % 11",
 }
 
 
@@ -177,8 +178,10 @@ _ENG_SQL = {
     "SELECT flow_id, " + ", ".join(f"{R.sig_round_sql(e)} AS {k}" for k, e in _ENG_SQL.items())
     + " FROM flows", "flows"))
 def q_engineered_features(spark, sf):
-    f = flows(spark, sf)
-    eng = {k: v for k, v in R.engineered_features(set(f.columns)).items() if k != "eng_combined_flags"}
+    # the view has two of the six flag columns; the others are read off the key
+    rest = zip(("rst", "psh", "ack", "urg"), (3, 5, 7, 11))
+    f = flows(spark, sf).withColumns({f"{name}_flag_count": F.col("flow_id") % n for name, n in rest})
+    eng = R.engineered_features(set(f.columns))
     return f.select("flow_id", *[R.sig_round(v).alias(k) for k, v in eng.items()])
 
 

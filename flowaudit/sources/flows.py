@@ -97,7 +97,7 @@ def read_flows(spark: SparkSession, path: str, names: str = "strip", label: str
     pattern = path if any(ch in path for ch in "*?[") else path.rstrip("/") + "/*"
     files = list_files(spark, pattern)
     if not files:
-        raise FileNotFoundError(f"No CSV files found in {path}")
+        raise FileNotFoundError(f"{path} holds no flow files (*.csv)")
     groups: dict[str, list[str]] = {}
     if header is not None:
         groups[header] = files
