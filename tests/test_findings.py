@@ -75,7 +75,7 @@ def test_every_row_gets_neighbours(spark):
     rng = np.random.default_rng(2)
     df = spark.createDataFrame([(i, "A", *map(float, v)) for i, v in enumerate(rng.standard_normal((300, 8)))],
                                "id long, y string, " + ", ".join(f"c{k} double" for k in range(8)))
-    assert class_knn(df, "y", "id", [f"c{k}" for k in range(8)], k=5, window=4).count() == 300
+    assert class_knn(df, "y", "id", [f"c{k}" for k in range(8)], k=5, block=16).count() == 300
 
 
 def test_days_outside_the_week_fail(spark):

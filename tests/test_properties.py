@@ -64,7 +64,7 @@ def test_class_knn_is_exact(spark):
     e = table(spark, SMALL, "embeddings")
     cols = [f"e{i}" for i in range(16)]
     wide = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(cols[i]) for i in range(16)])
-    nn = class_knn(wide, "label", "vec_id", cols, k=3, window=2)
+    nn = class_knn(wide, "label", "vec_id", cols, k=3, block=8)
     got = {r["vec_id"]: [x["key"] for x in r["nbrs"]] for r in nn.collect()}
     pdf = wide.toPandas()
     for lab, g in pdf.groupby("label"):
