@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage, spread
@@ -315,41 +317,68 @@ def apply_thresholds(scored: DataFrame, y: str, score: str, choices: DataFrame,
 
 # ---- E18: bootstrap -----------------------------------------------------------
 
-def poisson1_cdf(kmax: int = 12) -> list[float]:
-    """Cumulative Poisson(1) probabilities P(X <= k), k = 0..kmax (a rule, not a table)."""
-    out, term, acc = [], math.exp(-1.0), 0.0
-    for k in range(kmax + 1):
-        acc += term
-        out.append(acc)
-        term /= (k + 1)
-    return out
-
-
-def poisson_weight(u: Column) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform ``u``."""
-    cdf = poisson1_cdf()
-    w = F.lit(len(cdf))
-    for k in range(len(cdf) - 1, -1, -1):
-        w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
-    return w
-
-
-def bootstrap_metrics(scored: DataFrame, y: str, pred: str, key: str, iterations: int = 100,
-                      seed: int = 42) -> DataFrame:
-    """E18 (per iteration): macro-F1 and MCC of each resample.
-
-    Poisson bootstrap: every row gets an independent Poisson(1) weight per
-    iteration from md5(seed-key-iter).  All iterations run in one job; the
-    only shuffle is the (iteration, y, pred) weighted count table."""
-    it = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iter")
-    rows = spread(scored.select(F.col(key), F.col(y).alias("_y"), F.col(pred).alias("_p"))).select("*", it)
-    # the uniform is its own column so the inverse-CDF chain reads it instead of
-    # re-hashing in every branch
-    u = rows.select("iter", "_y", "_p", hash_unit(key, seed, F.col("iter")).alias("_u"))
-    weighted = u.select("iter", "_y", "_p", poisson_weight(F.col("_u")).alias("w")).where(F.col("w") > 0)
-    cm = weighted.groupBy("iter", F.col("_y").alias("y_true"), F.col("_p").alias("y_pred")).agg(
-        F.sum("w").alias("cnt"))
-    s = summary_from_stats(class_stats(cm, ["iter"]), ["iter"])
+#: Largest confusion table (observed cells) that the bootstrap resamples.
+MAX_CELLS = 1_000_000
+
+
+def binomial_quantile(m: int, p: float, u: float) -> int:
+    """The least k with P(X <= k) >= u for X ~ Binomial(m, p).
+
+    Reads the probabilities within ten standard deviations (and ten more steps)
+    of the mean, by their ratios from the mode: what lies outside is below
+    1e-19.  Time and memory grow with the square root of m at most."""
+    if m <= 0 or p <= 0.0:
+        return 0
+    if p >= 1.0:
+        return m
+    mean = m * p
+    reach = 10.0 * math.sqrt(mean * (1.0 - p)) + 10.0
+    lo, hi = max(0, math.floor(mean - reach)), min(m, math.ceil(mean + reach))
+    k = np.arange(lo, hi, dtype=np.float64)
+    logs = np.concatenate(([0.0], np.cumsum(np.log((m - k) / (k + 1.0)) + math.log(p / (1.0 - p)))))
+    cdf = np.cumsum(np.exp(logs - logs.max()))
+    return lo + min(int(np.searchsorted(cdf, u * cdf[-1], "left")), hi - lo)
+
+
+def _draw_cells(batches):
+    """Rows (iter, cells sorted, one uniform per cell) -> (iter, y_true, y_pred, cnt) of one resample each."""
+    for batch in batches:
+        for it, cells, units in zip(batch["iter"], batch["cells"], batch["units"]):
+            left = rest = sum(int(c["n"]) for c in cells)
+            rows = []
+            for c, u in zip(cells, units):
+                n = int(c["n"])
+                k = left if n == rest else binomial_quantile(left, n / rest, float(u))
+                left, rest = left - k, rest - n
+                if k:
+                    rows.append((it, c["y"], c["p"], k))
+            yield pd.DataFrame(rows, columns=["iter", "y_true", "y_pred", "cnt"])
+
+
+def resampled_cells(scored: DataFrame, y: str, pred: str, iterations: int = 100, seed: int = 42) -> DataFrame:
+    """Confusion cells (iter, y_true, y_pred, cnt) of ``iterations`` resamples of exactly n of the n rows.
+
+    Rows drawn with replacement fall into the cells multinomially, so the cells
+    are drawn and not the rows: in the order of (y, pred), nulls first, each
+    cell takes a binomial share of the draws that are left, by the uniform
+    md5(seed-cell-iter).  The rows are read once, by one aggregate; what follows
+    is as large as the confusion table (at most ``MAX_CELLS``) times iterations.
+    No rows give no cells."""
+    cells = confusion_counts(scored.select(F.col(y).cast("string").alias("y"), F.col(pred).cast("string").alias("p")),
+                             "y", "p")
+    table = cells.agg(F.sort_array(F.collect_list(F.struct(F.col("y_true").alias("y"), F.col("y_pred").alias("p"),
+                                                           F.col("cnt").alias("n")))).alias("cells"))
+    fits = F.assert_true(F.size("cells") <= MAX_CELLS, F.lit(f"more than {MAX_CELLS} confusion cells"))
+    table = table.where(fits.isNull() & (F.size("cells") > 0))
+    unit = lambda c, i: hash_unit(i, seed, F.col("iter"))
+    runs = spread(table.select("cells", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iter")))
+    return runs.select("iter", "cells", F.transform("cells", unit).alias("units")).mapInPandas(
+        _draw_cells, "iter int, y_true string, y_pred string, cnt long")
+
+
+def bootstrap_metrics(scored: DataFrame, y: str, pred: str, iterations: int = 100, seed: int = 42) -> DataFrame:
+    """E18 (per iteration): macro-F1 and MCC of each resample of n rows (:func:`resampled_cells`)."""
+    s = summary_from_stats(class_stats(resampled_cells(scored, y, pred, iterations, seed), ["iter"]), ["iter"])
     return s.select("iter", "macro_f1", "mcc", "n_true_classes")
 
 

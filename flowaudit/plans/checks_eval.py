@@ -261,17 +261,28 @@ def q_apply_thresholds(spark, sf):
 
 # ---- E18-E20, E24 ----------------------------------------------------------------
 
-def _poisson_sql(u: str) -> str:
-    cdf = E.poisson1_cdf()
-    parts = " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(cdf))
-    return f"CASE {parts} ELSE {len(cdf)} END"
-
-
-_U = ("CAST(('0x' || substr(md5(concat('42-', CAST(row_id AS VARCHAR), '-', CAST(it AS VARCHAR))), 1, 13)) AS BIGINT)"
+# One binomial draw per (iteration, cell): the least k whose share of the probabilities around the mean reaches u.
+_U = ("CAST(('0x' || substr(md5(concat('42-', CAST(i AS VARCHAR), '-', CAST(iter AS VARCHAR))), 1, 13)) AS BIGINT)"
       " / 4503599627370496.0")
-
-_BOOT_SQL = f"""bw AS (SELECT it AS iter, y_true, y_pred, {_poisson_sql(_U)} AS w
-   FROM scores, range(0, 100) r(it) WHERE split = 'test'),
+_REACH = "(10 * sqrt(m * q * (1 - q)) + 10)"
+
+_BOOT_SQL = f"""cells AS (SELECT y_true, y_pred, count(*) AS n FROM scores WHERE split = 'test' GROUP BY ALL),
+cl AS (SELECT row_number() OVER (ORDER BY y_true, y_pred) - 1 AS i, y_true, y_pred, n,
+  sum(n) OVER (ORDER BY y_true, y_pred ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM cells),
+bw AS (SELECT CAST(it AS BIGINT) AS iter, CAST(-1 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS y_true,
+    CAST(NULL AS VARCHAR) AS y_pred, CAST(0 AS BIGINT) AS w, CAST((SELECT sum(n) FROM cells) AS BIGINT) AS m
+  FROM range(0, 100) r(it)
+  UNION ALL
+  SELECT iter, i, y_true, y_pred, k, m - k FROM (
+    SELECT iter, i, y_true, y_pred, m, CAST(min(CASE WHEN cum >= u * total THEN k END) AS BIGINT) AS k FROM (
+      SELECT *, sum(f) OVER (PARTITION BY iter ORDER BY k) AS cum, sum(f) OVER (PARTITION BY iter) AS total FROM (
+        SELECT *, CASE WHEN q >= 1 THEN 1.0 ELSE exp(lgamma(m + 1.0) - lgamma(k + 1.0) - lgamma(m - k + 1.0)
+                    + k * ln(q) + (m - k) * ln(1 - q)) END AS f FROM (
+          SELECT *, {_U} AS u, unnest(CASE WHEN q >= 1 THEN [m] ELSE
+            range(CAST(greatest(0, floor(m * q - {_REACH})) AS BIGINT),
+                  CAST(least(m, ceil(m * q + {_REACH})) AS BIGINT) + 1) END) AS k FROM (
+            SELECT b.iter, c.i, c.y_true, c.y_pred, b.m, CAST(c.n AS DOUBLE) / CAST(c.rest AS DOUBLE) AS q
+            FROM bw b JOIN cl c ON c.i = b.i + 1)))) GROUP BY iter, i, y_true, y_pred, m)),
 cm AS (SELECT iter, y_true, y_pred, sum(w) AS cnt FROM bw WHERE w > 0 GROUP BY ALL),
 t AS (SELECT iter, y_true AS cls, sum(cnt) AS t FROM cm GROUP BY 1, 2),
 p AS (SELECT iter, y_pred AS cls, sum(cnt) AS p FROM cm GROUP BY 1, 2),
@@ -290,10 +301,10 @@ boot AS (SELECT iter, macro_f1, CASE WHEN (s * s - pp) * (s * s - tt) > 0 THEN (
 
 
 def _boot(spark, sf):
-    return E.bootstrap_metrics(scores(spark, sf).where("split = 'test'"), "y_true", "y_pred", "row_id", 100, 42)
+    return E.bootstrap_metrics(scores(spark, sf).where("split = 'test'"), "y_true", "y_pred", 100, 42)
 
 
-@query("bootstrap_iterations", with_views(f"""WITH {_BOOT_SQL}
+@query("bootstrap_iterations", with_views(f"""WITH RECURSIVE {_BOOT_SQL}
 SELECT CAST(iter AS INTEGER) AS iter, round(macro_f1, 6) AS macro_f1, round(mcc, 6) AS mcc, n_true_classes FROM boot
 """, "scores"))
 def q_bootstrap_iterations(spark, sf):
@@ -301,7 +312,7 @@ def q_bootstrap_iterations(spark, sf):
     return _r(b, ["macro_f1", "mcc"]).withColumn("iter", F.col("iter").cast("int"))
 
 
-@query("bootstrap_ci", with_views(f"""WITH {_BOOT_SQL}
+@query("bootstrap_ci", with_views(f"""WITH RECURSIVE {_BOOT_SQL}
 SELECT count(*) AS n_iterations, round(avg(macro_f1), 6) AS f1_mean, round(quantile_cont(macro_f1, 0.025), 6) AS f1_lower,
   round(quantile_cont(macro_f1, 0.975), 6) AS f1_upper, round(avg(mcc), 6) AS mcc_mean,
   round(quantile_cont(mcc, 0.025), 6) AS mcc_lower, round(quantile_cont(mcc, 0.975), 6) AS mcc_upper

@@ -138,7 +138,7 @@ def cross_validate(df: DataFrame, features, label: str, key: str, models: dict,
             row["fit_seconds"] = float(np.mean(times))
             rows.append(row)
             ci = _scored(m, te, key, lambda sc: E.bootstrap_ci(
-                E.bootstrap_metrics(sc, "y_true", "y_pred", key, bootstrap_iterations, seed)).first())
+                E.bootstrap_metrics(sc, "y_true", "y_pred", bootstrap_iterations, seed)).first())
             boot_rows.append({"model": name, **ci.asDict()})
     finally:
         train.unpersist()

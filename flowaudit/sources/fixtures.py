@@ -190,6 +190,8 @@ def with_views(body: str, *views: str) -> str:
         return body
     ctes = ",\n".join(f"{v} AS ({_VIEW_SQL[v]})" for v in order)
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{stripped[15:]}"
     if stripped[:4].upper() == "WITH" and stripped[4:5].isspace():
         return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
