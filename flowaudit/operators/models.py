@@ -6,8 +6,9 @@ needs the features only.  Scoring (M9) returns the evaluation contract used by
 :mod:`metrics`: ``y_true`` (null for rows without a label column), ``y_pred``
 (class names), ``probs`` (array over the fitted class list) and ``score`` (the
 probability of the second class, i.e. class 1 for 0/1 labels).
-Boosted trees (M4-M6) are fitted by :mod:`boosting`, all classes at once: Spark's
-GBT is binary only.
+Boosted trees (M4-M6) are fitted by :mod:`boosting`, all classes at once, as
+Spark's GBT is binary only; the perceptron (M7) by :mod:`perceptron`, as Spark's
+has neither row weights nor rectified units.
 """
 
 from __future__ import annotations
@@ -18,22 +19,21 @@ import time
 from pyspark import StorageLevel
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rowwise import argmax
 from .boosting import BoostedTrees, fit_boosted
+from .perceptron import Perceptron, fit_perceptron
 
 FEATURES_COL = "features"
 INDEX_COL = "label_idx"
 
 
-def classifier(kind: str, num_features: int | None = None, num_classes: int | None = None,
-               weight_col: str | None = None, seed: int = 42, **params):
-    """Estimator by name; defaults follow the reference configurations."""
+def classifier(kind: str, weight_col: str | None = None, seed: int = 42, **params):
+    """Spark ML estimator by name; defaults follow the reference configurations."""
     common = dict(featuresCol=FEATURES_COL, labelCol=INDEX_COL)
     if kind == "logreg":            # M1
         est = LogisticRegression(maxIter=params.get("maxIter", 1000), **common)
@@ -42,12 +42,6 @@ def classifier(kind: str, num_features: int | None = None, num_classes: int | No
     elif kind == "forest":          # M3
         est = RandomForestClassifier(numTrees=params.get("numTrees", 100), maxDepth=params.get("maxDepth", 15),
                                      seed=seed, **common)
-    elif kind == "mlp":             # M7: sigmoid hidden layers, L-BFGS
-        hidden = list(params.get("hidden", [128, 64, 32]))
-        est = MultilayerPerceptronClassifier(layers=[num_features] + hidden + [num_classes],
-                                             maxIter=params.get("maxIter", 200), seed=seed,
-                                             blockSize=params.get("blockSize", 128), **common)
-        return est
     else:
         raise ValueError(f"unknown model kind {kind}")
     if weight_col:
@@ -58,15 +52,18 @@ def classifier(kind: str, num_features: int | None = None, num_classes: int | No
 class FlowModel:
     """A fitted classifier with its class list and feature names (names are never lost, C20)."""
 
-    def __init__(self, kind, features, label, classes, pipelines, fit_seconds, boosted: BoostedTrees | None = None):
+    def __init__(self, kind, features, label, classes, pipelines, fit_seconds, boosted: BoostedTrees | None = None,
+                 net: Perceptron | None = None):
         self.kind, self.features, self.label = kind, list(features), label
-        self.classes, self.pipelines, self.fit_seconds, self.boosted = list(classes), pipelines, fit_seconds, boosted
+        self.classes, self.pipelines, self.fit_seconds = list(classes), pipelines, fit_seconds
+        self.boosted, self.net = boosted, net
 
     # -- M9 ------------------------------------------------------------------
     def score(self, df: DataFrame, keep=()) -> DataFrame:
         keep = [c for c in keep if c in df.columns]
-        if self.boosted is not None:
-            return self._contract(df, keep, self.boosted.probs())
+        own = self.boosted or self.net
+        if own is not None:
+            return self._contract(df, keep, own.probs())
         out = self.pipelines[0].transform(df)
         # a single class is fitted with an empty second slot
         probs = F.slice(vector_to_array("probability"), 1, len(self.classes))
@@ -83,7 +80,7 @@ class FlowModel:
     def importances(self, top: int = 20) -> list[tuple[str, float]]:
         if self.boosted is not None:
             vals = self.boosted.gains()
-        elif hasattr(self.pipelines[0].stages[-1], "featureImportances"):
+        elif self.pipelines and hasattr(self.pipelines[0].stages[-1], "featureImportances"):
             vals = self.pipelines[0].stages[-1].featureImportances.toArray()
         else:
             return []
@@ -97,7 +94,8 @@ class FlowModel:
             pm.write().overwrite().save(f"{path}/pipeline_{i}")
         about = {"kind": self.kind, "features": self.features, "label": self.label, "classes": self.classes,
                  "pipelines": len(self.pipelines), "fit_seconds": self.fit_seconds,
-                 "boosted": None if self.boosted is None else self.boosted.to_json()}
+                 "boosted": None if self.boosted is None else self.boosted.to_json(),
+                 "net": None if self.net is None else self.net.to_json()}
         spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
@@ -105,9 +103,10 @@ class FlowModel:
     def load(path: str) -> "FlowModel":
         about = json.loads(SparkSession.active().read.text(f"{path}/about").first()[0])
         pms = [PipelineModel.load(f"{path}/pipeline_{i}") for i in range(about["pipelines"])]
-        trees = about.get("boosted")
+        trees, net = about.get("boosted"), about.get("net")
         return FlowModel(about["kind"], about["features"], about["label"], about["classes"], pms, about["fit_seconds"],
-                         None if trees is None else BoostedTrees.from_json(trees))
+                         None if trees is None else BoostedTrees.from_json(trees),
+                         None if net is None else Perceptron.from_json(net))
 
 
 def _stages(features, est):
@@ -146,8 +145,11 @@ def fit(train: DataFrame, features, label: str, kind: str, weight_col: str | Non
             trees = fit_boosted(indexed, features, INDEX_COL, classes, weight_col, validation_col=marks,
                                 **{names.get(k, k): v for k, v in params.items()})
             return FlowModel(kind, features, label, classes, [], time.time() - t0, trees)
-        est = classifier(kind, num_features=len(features), num_classes=len(classes), weight_col=weight_col,
-                         seed=seed, **params)
+        if kind == "mlp":                         # M7
+            net = fit_perceptron(indexed, features, INDEX_COL, classes, weight_col, seed=seed,
+                                 **{"rounds" if k == "maxIter" else k: v for k, v in params.items()})
+            return FlowModel(kind, features, label, classes, [], time.time() - t0, net=net)
+        est = classifier(kind, weight_col=weight_col, seed=seed, **params)
         pm = Pipeline(stages=_stages(features, est)).fit(indexed)
         return FlowModel(kind, features, label, classes, [pm], time.time() - t0)
     finally:
@@ -177,7 +179,7 @@ def train_all(train: DataFrame, features, label: str, models: dict | None = None
     models = models or DEFAULT_MODELS
     fitted, times = {}, []
     for name, (kind, params) in models.items():
-        m = fit(train, features, label, kind, weight_col=weight_col if kind != "mlp" else None, **params)
+        m = fit(train, features, label, kind, weight_col=weight_col, **params)
         fitted[name] = m
         times.append((name, float(m.fit_seconds)))
     spark = train.sparkSession
@@ -214,9 +216,9 @@ def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
 def model_from_config(config: dict) -> tuple[str, dict]:
     """(kind, params) from a ``{"model": {"type": ..., "args": {...}}}`` config.
 
-    ``MLP`` maps to the Spark multilayer perceptron with the configured hidden
-    sizes; ``DBN`` (a stacked-RBM network, not built) is served by the same
-    perceptron with its hidden sizes; other names map to the classic models."""
+    ``MLP`` maps to the perceptron with the configured hidden sizes; ``DBN`` (a
+    stacked-RBM network, not built) is served by the same perceptron with its
+    hidden sizes; other names map to the classic models."""
     m = config.get("model", config)
     kind, args = m.get("type"), dict(m.get("args", {}))
     import re

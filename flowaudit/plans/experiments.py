@@ -208,29 +208,23 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
     training part only; F1/F2 macro, MCC, PR-AUC, minority recall, benign FPR.
 
     ``undersample_smote`` cuts every class to the median class size, then grows
-    the smaller ones to it.  A model without a weight column gets class weights
-    as expected copies of its rows (``weights_as_copies``)."""
+    the smaller ones to it."""
     spark = df.sparkSession
     params = {"maxIter": 50, "maxDepth": 6} if model_kind == "gbt_ovr" else {}
     params.update(model_params)
     d = C.filter_rare_classes(df, label, MIN_CLASS_ROWS)
     sp = S.stratified_split(d, label, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def weighted(t, id_col):
-        t = B.balanced_weights(t, label)
-        return (B.weights_as_copies(t, "weight", id_col, seed), None) if model_kind == "mlp" else (t, "weight")
-
     def middle(t):
         sizes = sorted(C.class_counts(t, label).values())
         goal = sizes[len(sizes) // 2]
         under = {c: min(n, goal) for c, n in C.class_counts(t, label).items()}
-        out = smote(B.undersample(t, label, key, under, seed), label, key, feats, {c: goal for c in under}, seed=seed)
-        return out.withColumn("_id", F.xxhash64("base_key", "synthetic", *feats))
+        return smote(B.undersample(t, label, key, under, seed), label, key, feats, {c: goal for c in under}, seed=seed)
 
     def run(s):
         weight = None
         if s == "class_weight":
-            t, weight = weighted(tr, key)
+            t, weight = B.balanced_weights(tr, label), "weight"
         elif s == "weighted_sampler":
             t = B.weighted_sample(tr, label, key, seed=seed)
         elif s == "undersample":
@@ -242,7 +236,7 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
         elif s == "undersample_smote":
             t = middle(tr)
         elif s == "undersample_smote_class_weight":
-            t, weight = weighted(middle(tr), "_id")
+            t, weight = B.balanced_weights(middle(tr), label), "weight"
         elif s == "none":
             t = tr
         else:
