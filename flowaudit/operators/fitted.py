@@ -14,13 +14,13 @@ import json
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.missing import nan_to_null
+from ..functions.missing import nan_to_null, replace_infs
 from . import clean as C
 from . import profile as A
 
@@ -192,6 +192,64 @@ class DropColumnsModel(_StatsModel):
         return self.getStats()["keep"]
 
 
+# ---- C1 / C6 as stages, and the chain C17 -------------------------------------
+
+class MissingMarker(_StatsModel):
+    """C1 as a stage: +-Inf and NaN become NULL."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return replace_infs(df, self.getInputCols())
+
+
+class FillConstant(_StatsModel):
+    """C6 as a stage: missing values become ``stats["value"]``."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return C.fill_constant(df, self.getInputCols(), self.getStats()["value"])
+
+
+class FlowChain(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """C17: C1 -> C8 (constant columns go) -> C5 median -> C14, or C1 -> C6 zero with ``fillZero``.
+
+    ``fit`` returns one ``PipelineModel`` of the fitted stages, each fitted on
+    the rows as the stages before it leave them; :func:`kept_columns` tells the
+    features that come out.  It persists with the ML writer and takes further
+    stages, such as those of a fitted classifier (``models.whole_pipeline``)."""
+
+    scale = Param(Params._dummy(), "scale", "z-score the columns (C14)", TypeConverters.toBoolean)
+    fillZero = Param(Params._dummy(), "fillZero", "fill with zero in place of C8, C5 and C14", TypeConverters.toBoolean)
+
+    @keyword_only
+    def __init__(self, inputCols=None, scale=True, fillZero=False):
+        super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
+        self._set(scale=scale, fillZero=fillZero)
+
+    def _fit(self, df: DataFrame):
+        cols = self.getInputCols()
+        stages = [MissingMarker(cols, {})]
+        df = stages[0].transform(df)
+        if self.getOrDefault(self.fillZero):
+            return PipelineModel([*stages, FillConstant(cols, {"value": 0.0})])
+        drop = DropColumns(inputCols=cols, rule="constant").fit(df)
+        cols, df = drop.kept(), drop.transform(df)
+        stages.append(drop)
+        for est in [MedianImputer(inputCols=cols)] + [StandardScaler(inputCols=cols)] * self.getOrDefault(self.scale):
+            stages.append(est.fit(df))
+            df = stages[-1].transform(df)
+        return PipelineModel(stages)
+
+
+def kept_columns(chain: PipelineModel) -> list[str]:
+    """Feature columns that leave a fitted chain."""
+    cols = list(chain.stages[0].getInputCols())
+    for st in chain.stages:
+        if isinstance(st, DropColumnsModel):
+            cols = [c for c in cols if c not in st.getStats()["drop"]]
+    return cols
+
+
 # ---- C15 quantile -> uniform ------------------------------------------------
 
 class QuantileUniform(_Base):

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.rowwise import argmax
 from .boosting import BoostedTrees, fit_boosted
+from .fitted import _StatsModel
 from .perceptron import Perceptron, fit_perceptron
 
 FEATURES_COL = "features"
@@ -109,6 +110,46 @@ class FlowModel:
                          None if net is None else Perceptron.from_json(net))
 
 
+class OwnClassifier(_StatsModel):
+    """Boosted trees or a perceptron as a stage: ``probs`` over the fitted classes.
+
+    Stats: ``kind`` (``boosted`` or ``net``) and ``model``, its JSON text."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        s = self.getStats()
+        own = {"boosted": BoostedTrees, "net": Perceptron}[s["kind"]].from_json(s["model"])
+        return df.withColumn("probs", own.probs())
+
+
+class NamedScores(_StatsModel):
+    """The columns of the evaluation contract as a stage: ``probs``, ``y_pred``
+    and ``score`` added to the rows, and ``y_true`` where the label is there.
+
+    Stats: ``classes`` and ``label``."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        s = self.getStats()
+        if "probs" not in df.columns:
+            # a single class is fitted with an empty second slot
+            df = df.withColumn("probs", F.slice(vector_to_array("probability"), 1, len(s["classes"])))
+        df = df.drop(FEATURES_COL, "rawPrediction", "probability", "prediction")
+        names = F.array(*[F.lit(c) for c in s["classes"]])
+        truth = {"y_true": F.col(f"`{s['label']}`").cast("string")} if s["label"] in df.columns else {}
+        return df.withColumns({**truth, "y_pred": F.element_at(names, argmax("probs") + 1),
+                               "score": F.element_at("probs", 2 if len(s["classes"]) > 1 else 1)})
+
+
+def whole_pipeline(chain: PipelineModel, model: FlowModel) -> PipelineModel:
+    """C17: the stages of a fitted chain and of a classifier fitted behind it as one ``PipelineModel``."""
+    if model.boosted is not None:
+        own = [OwnClassifier(model.features, {"kind": "boosted", "model": model.boosted.to_json()})]
+    elif model.net is not None:
+        own = [OwnClassifier(model.features, {"kind": "net", "model": model.net.to_json()})]
+    else:
+        own = model.pipelines[0].stages
+    return PipelineModel([*chain.stages, *own, NamedScores(model.features, {"classes": model.classes, "label": model.label})])
+
+
 def _stages(features, est):
     return [VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep"), est]
 

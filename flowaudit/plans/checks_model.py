@@ -346,6 +346,44 @@ def q_cv_bootstrap_ci(spark, sf):
     return XP.cross_validate(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", _CV_MODELS, k=5, parallelism=4)[1]
 
 
+_CLEAN = {c: f"CASE WHEN isnan({c}) OR isinf({c}) THEN NULL ELSE {c} END" for c in DIRTY_FEATURES}
+
+
+@query("fitted_chain", with_views("WITH cl AS (SELECT row_id, " + ", ".join(f"{x} AS {c}" for c, x in _CLEAN.items())
+       + " FROM flows_dirty),\nmed AS (SELECT " + ", ".join(f"median({c}) AS {c}" for c in DIRTY_FEATURES)
+       + " FROM cl WHERE row_id % 3 = 0),\nim AS (SELECT row_id, "
+       + ", ".join(f"coalesce(cl.{c}, med.{c}) AS {c}" for c in DIRTY_FEATURES) + " FROM cl, med),\nst AS (SELECT "
+       + ", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}" for c in DIRTY_FEATURES)
+       + " FROM im WHERE row_id % 3 = 0),\nkept AS (SELECT "
+       + ", ".join(f"count(DISTINCT {c}) > 1 AS k_{c}" for c in DIRTY_FEATURES)
+       + " FROM cl WHERE row_id % 3 = 0)\n"
+       + " UNION ALL ".join(f"SELECT row_id, '{c}' AS feature, round(({c} - m_{c}) / s_{c}, 6) + 0.0 AS value "
+                            f"FROM im, st, kept WHERE k_{c}" for c in DIRTY_FEATURES), "flows_dirty"))
+def q_fitted_chain(spark, sf):
+    """C17: the chain fitted on a third of the dirty flows, saved, loaded and applied to all of them."""
+    from pyspark.ml import PipelineModel
+    from ..sources.store import scratch_path
+    d = flows_dirty(spark, sf).select("row_id", *DIRTY_FEATURES)
+    path = scratch_path(spark, "chain")
+    FT.FlowChain(inputCols=list(DIRTY_FEATURES)).fit(d.where("row_id % 3 = 0")).write().overwrite().save(path)
+    chain = PipelineModel.load(path)
+    out, kept = chain.transform(d), FT.kept_columns(chain)
+    long = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), (F.round(c, 6) + 0.0).alias("value")) for c in kept]))
+    return out.select("row_id", long.alias("v")).select("row_id", "v.feature", "v.value")
+
+
+@query("deployed_pipeline")
+def q_deployed_pipeline(spark, sf):
+    """C17: chain and boosted trees as one saved pipeline, loaded, scoring the test part's raw rows."""
+    from pyspark.ml import PipelineModel
+    from ..sources.store import scratch_path
+    sp = S.stratified_split(flows(spark, sf), "label", "flow_id", 0.3)
+    path = scratch_path(spark, "deployed")
+    XP.fit_deployable(sp.where("split = 'train'"), FLOW_FEATURES, "label", maxIter=50, maxDepth=6) \
+        .write().overwrite().save(path)
+    return PipelineModel.load(path).transform(sp.where("split = 'test'")).select("flow_id", "y_true", "y_pred", "score")
+
+
 @query("ablation")
 def q_ablation(spark, sf):
     return XP.ablation(flows(spark, sf), FLOW_FEATURES, "label", "flow_id", parallelism=3)

@@ -16,15 +16,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import class_list
-from ..functions.missing import replace_infs
 from ..functions.rowwise import engineered_features
 from ..operators import balance as B
 from ..operators import clean as C
 from ..operators import metrics as E
 from ..operators import models as M
 from ..operators import splits as S
-from ..operators.fitted import (ClipUpper, DropColumns, ImportanceSelector, Log1pHeavy, MedianImputer,
-                                StandardScaler)
+from ..operators.fitted import ClipUpper, DropColumns, FlowChain, ImportanceSelector, Log1pHeavy, kept_columns
 from ..operators.smote import smote
 
 
@@ -41,24 +39,17 @@ def _pmap(fn, items, parallelism: int = 1) -> list:
 
 
 def prepare(train: DataFrame, other: list[DataFrame], features, scale: bool = True, fill_zero: bool = False):
-    """C17 chain fitted on train: C1 -> C8 (variance 0) -> C5 median (or C6 zero) -> C14.
-    Returns transformed (train, *other) and the kept features."""
-    feats = list(features)
-    tr = replace_infs(train, feats)
-    others = [replace_infs(o, feats) for o in other]
-    if fill_zero:
-        tr = C.fill_constant(tr, feats)
-        others = [C.fill_constant(o, feats) for o in others]
-        return [tr, *others], feats
-    drop = DropColumns(inputCols=feats, rule="constant").fit(tr)
-    feats = drop.kept()
-    tr, others = drop.transform(tr), [drop.transform(o) for o in others]
-    imp = MedianImputer(inputCols=feats).fit(tr)
-    tr, others = imp.transform(tr), [imp.transform(o) for o in others]
-    if scale:
-        sc = StandardScaler(inputCols=feats).fit(tr)
-        tr, others = sc.transform(tr), [sc.transform(o) for o in others]
-    return [tr, *others], feats
+    """The chain C17 fitted on ``train``: transformed (train, *other) and the kept features."""
+    chain = FlowChain(inputCols=list(features), scale=scale, fillZero=fill_zero).fit(train)
+    return [chain.transform(d) for d in (train, *other)], kept_columns(chain)
+
+
+def fit_deployable(train: DataFrame, features, label: str, kind: str = "gbt_ovr", seed: int = 42, **params):
+    """C17 with the classifier: one ``PipelineModel`` from raw rows to class names,
+    which ``save`` and ``PipelineModel.load`` carry to another session."""
+    chain = FlowChain(inputCols=list(features)).fit(train)
+    model = M.fit(chain.transform(train), kept_columns(chain), label, kind, seed=seed, **params)
+    return M.whole_pipeline(chain, model)
 
 
 def threshold_analysis(df: DataFrame, features, label: str, key: str, benign: str = "BENIGN",
@@ -252,9 +243,11 @@ def imbalance_ablation(df: DataFrame, features, label: str, key: str, model_kind
         classes = class_list(sp, label)
         (tr, te), feats = prepare(sp.where("split = 'train'"), [sp.where("split = 'test'")], features, scale=False)
         tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-        mc = B.minority_class(tr, label).first()[label]
-        out = _pmap(run, strategies, parallelism)
-        tr.unpersist()
+        try:
+            mc = B.minority_class(tr, label).first()[label]
+            out = _pmap(run, strategies, parallelism)
+        finally:
+            tr.unpersist()
     finally:
         sp.unpersist()
     return spark.createDataFrame(out, "strategy string, f1_macro double, f2_macro double, mcc double, "
