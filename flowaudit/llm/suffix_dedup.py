@@ -161,6 +161,15 @@ def _mask(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
+def _nullable(t: pa.DataType) -> pa.DataType:
+    """``t`` with fields that may be null, as the declared result has them."""
+    if pa.types.is_struct(t):
+        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in t])
+    if pa.types.is_map(t):
+        return pa.map_(t.key_type, _nullable(t.item_type))
+    return pa.list_(_nullable(t.value_type)) if pa.types.is_list(t) else t
+
+
 def _visit_anchors(buckets, width, anchor):
     def run(t: pa.Table) -> pa.Table:
         c = Chunk(t, buckets, width, anchor)
@@ -330,7 +339,8 @@ def _visit_cuts(buckets, width, anchor, whole_characters):
         left = pa.Array.from_buffers(pa.large_binary(), len(off) - 1, [
             None, pa.py_buffer(kept_at.astype(np.int64).tobytes()), pa.py_buffer(c.buf[keep].tobytes())])
         lists = [pa.ListArray.from_arrays(pa.array(per), pa.array(v - off[d])) for v in (b, e)]
-        return pa.Table.from_arrays([docs.column("_doc"), docs.column("_rest"), pa.array(np.diff(off)), *lists,
+        rest = docs.column("_rest")
+        return pa.Table.from_arrays([docs.column("_doc"), rest.cast(_nullable(rest.type)), pa.array(np.diff(off)), *lists,
                                      left.cast(pa.binary())], names=names)
     return run
 
@@ -348,7 +358,9 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, chun
     Texts are taken as UTF-8 bytes, a null text as empty; texts shorter than
     ``width`` keep everything.  Matches never cross documents.  Rows with the
     same doc_id do not remove each other's bytes.  A row without doc_id counts
-    as later than all others.  An empty table gives an empty result.
+    as later than all others.  An empty table gives an empty result.  Rows are
+    dealt to chunks by their whole contents, so many rows of one id or of none
+    spread like any others; only rows alike in every column share a chunk.
     """
     if not 0 < anchor <= width < 256 + anchor - 2:
         raise ValueError("anchor must be positive and at most width")
@@ -357,9 +369,11 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, chun
     text = F.col("text").cast("string")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(shuffle_width(spark), -(-total // chunk_bytes))
+    # rows without id, or of one id, are dealt by all that they hold (maps have no hash)
+    spread_by = [F.col(f"_rest.`{c}`") for c in rest if "map<" not in docs.schema[c].dataType.simpleString()]
     other = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("int")
     base = docs.select(F.col("doc_id").cast("long").alias("_doc"), text.alias("_text"), other.alias("_rest")) \
-        .withColumn("_chunk", F.pmod(F.xxhash64("_doc", F.octet_length("_text")), F.lit(chunks)).cast("int")) \
+        .withColumn("_chunk", F.pmod(F.xxhash64("_doc", "_text", *spread_by), F.lit(chunks)).cast("int")) \
         .repartition(chunks, "_chunk")
     by = base.groupBy("_chunk")
     flags = by.applyInArrow(_visit_anchors(chunks, width, anchor), _DDL) \

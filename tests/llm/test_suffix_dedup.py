@@ -90,3 +90,27 @@ def test_suffix_groups_sorts():
     windows = [bytes(buf[a:a + 50]) for a in at[order]]
     assert windows == sorted(windows)
     assert [a == b for a, b in zip(windows, windows[1:])] == list(np.diff(rank) == 0)
+
+
+def test_rows_of_one_id_and_without_id_spread_over_chunks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from flowaudit.llm import suffix_dedup as D
+    sizes = spark.sparkContext.accumulator(0)
+    seen = D._visit_anchors
+
+    def counted(*args):
+        run = seen(*args)
+
+        def call(t):
+            sizes.add(t.num_rows ** 2)
+            return run(t)
+        return call
+    monkeypatch.setattr(D, "_visit_anchors", counted)
+    n = 2000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), F.lpad(F.col("id").cast("string"), 8, "0").alias("text"),
+        F.create_map(F.lit("k"), F.col("id")).alias("m"), F.lit("s").alias("source"))
+    out = D.drop_repeats(rows, chunk_bytes=200).collect()
+    assert len(out) == n and all(r.n_bytes == 8 and not r.starts for r in out)
+    # chunks of a few rows each: the squares would be two million in two chunks
+    assert sizes.value < 100_000
