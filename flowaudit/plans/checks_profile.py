@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import query
-from ..schema import FlowSchema
+from ..schema import BENIGN, CAPTURE_FILES, FlowSchema
 from ..sources.fixtures import DIRTY_FEATURES, FLOW_FEATURES, flows, flows_dirty, with_views
 from ..operators import duplicates as U
 
@@ -721,6 +721,19 @@ def q_load_flows(spark, sf):
         F.count(F.lit(1)).alias("cnt"), F.count_distinct("row_id").alias("ids"))
 
 
+@query("capture_files", with_views("WITH f(file, day, content) AS (VALUES "
+       + ", ".join(f"('{f}', '{d}', '{c}')" for f, d, c in CAPTURE_FILES) + """),
+n AS (SELECT day, count(*) AS day_flows, count_if(label = 'BENIGN') AS day_benign FROM flows_dirty GROUP BY day)
+SELECT file, day, content, coalesce(day_flows, 0) AS day_flows, coalesce(day_benign, 0) AS day_benign
+FROM f LEFT JOIN n USING (day)""", "flows_dirty"))
+def q_capture_files(spark, sf):
+    """The capture files with the flows and benign flows of their days."""
+    from ..sources.flows import capture_files
+    n = flows_dirty(spark, sf).groupBy("day").agg(F.count(F.lit(1)).alias("day_flows"),
+                                                  F.count_if(F.col("label") == BENIGN).alias("day_benign"))
+    return capture_files(spark).join(n, "day", "left").na.fill(0, ["day_flows", "day_benign"])
+
+
 def _write_days(spark, sf) -> str:
     from ..sources.store import scratch_path
     d = flows_dirty(spark, sf)
