@@ -1,7 +1,7 @@
 """Flow CSV ingest (S1-S9) and the capture-file provenance table.
 
-Files are grouped by their header line (read by a pool of driver threads, or
-declared with ``header`` where the files are too many to open), each group is read in ONE distributed
+Files are grouped by their header line (read by a Spark job with one short task
+per file, or declared with ``header``), each group is read in ONE distributed
 ``spark.read.csv`` with an explicit all-string schema, and the groups are
 combined with ``unionByName(allowMissingColumns=True)`` - so files whose
 columns come in a different order cannot be misaligned.  Numbers are parsed
@@ -11,7 +11,8 @@ becomes NULL at ingest; +-Inf stays until cleaning (C1).
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -43,14 +44,45 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(out)
 
 
-def read_header(spark: SparkSession, path: str) -> str:
-    jvm, fs, p = _jvm_fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
+#: No file is larger; splits of this size hold a whole file.
+_WHOLE_FILE = 1 << 60
+
+
+def _first_lines(batches):
+    """The first line of a file, from the batches of its one task; the rest is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def read_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """Header line -> its files, by one Spark job.
+
+    Every file is one split in a task of its own (settings of a separate SQL
+    session, so the caller's are untouched) that stops after its first line:
+    tasks read a buffer of text each, whatever the size of the files, and the
+    driver opens none.  The driver gets a line per file, as it does from the
+    listing.  Files without a line are left out."""
+    s = spark.newSession()
+    for name, value in (("spark.sql.files.maxPartitionBytes", _WHOLE_FILE), ("spark.sql.files.openCostInBytes", _WHOLE_FILE),
+                        ("spark.sql.files.minPartitionNum", len(files)),
+                        ("spark.sql.execution.arrow.maxRecordsPerBatch", 1)):
+        s.conf.set(name, str(value))
+    lines = s.read.text(files).select("value", F.col("_metadata.file_path").alias("file")) \
+        .mapInArrow(_first_lines, "value string, file string")
+    found = {_plain_path(r["file"]): r["value"] for r in lines.collect()}
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        line = found.get(re.sub("^file:/+", "/", f))
+        if line is not None:
+            groups.setdefault(line.removesuffix("\r"), []).append(f)
+    return groups
+
+
+def _plain_path(url: str) -> str:
+    """A file's URL as the listing writes it (not encoded), without the scheme if it is a local file."""
+    return re.sub("^file:/+", "/", unquote(url))
 
 
 def dedupe_names(names: list[str]) -> list[str]:
@@ -98,13 +130,9 @@ def read_flows(spark: SparkSession, path: str, names: str = "strip", label: str
     files = list_files(spark, pattern)
     if not files:
         raise FileNotFoundError(f"{path} holds no flow files (*.csv)")
-    groups: dict[str, list[str]] = {}
-    if header is not None:
-        groups[header] = files
-    else:
-        with ThreadPoolExecutor(max_workers=min(32, len(files))) as pool:
-            for f, line in zip(files, pool.map(lambda f: read_header(spark, f), files)):
-                groups.setdefault(line, []).append(f)
+    groups = {header: files} if header is not None else read_headers(spark, files)
+    if not groups:
+        raise ValueError(f"the flow files of {path} are all empty")
     clean = clean_names_snake if names == "snake" else clean_names_strip
     label_name = clean([label])[0]
     parts = []
