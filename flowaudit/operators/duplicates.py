@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.missing import row_digest
 from ..schema import FlowSchema
+from ..session import cut_lineage
+from .digests import digest_counts, with_facts
 
 
 def exact_groups(df: DataFrame, schema: FlowSchema) -> DataFrame:
@@ -57,12 +59,14 @@ def feature_duplicate_count(df: DataFrame, schema: FlowSchema) -> DataFrame:
 def conflicting_vectors(df: DataFrame, schema: FlowSchema) -> DataFrame:
     """U3 (row form): feature vectors carrying more than one label, with the
     number of rows and distinct labels.  Distinct labels per vector are bounded
-    by the class count, so ``collect_set`` stays small."""
-    return (df.groupBy(*schema.features)
-              .agg(F.count(F.lit(1)).alias("n_rows"),
-                   F.array_sort(F.collect_set(schema.label)).alias("labels"))
-              .where(F.size("labels") > 1)
-              .withColumn("n_labels", F.size("labels")))
+    by the class count, so ``collect_set`` stays small.  Labels are gathered by
+    digest; vectors are fetched for the conflicting digests alone."""
+    found = cut_lineage(digest_counts(df, schema.features, F.array_sort(F.collect_set(schema.label)).alias("labels"))
+                        .where(F.size("labels") > 1))
+    total = found.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    rows = with_facts(df.select(*schema.features, *row_digest(schema.features)), found, total, "inner")
+    return (rows.groupBy("_d1", "_d2").agg(*[F.any_value(c).alias(c) for c in [*schema.features, "_n", "labels"]])
+                .select(*schema.features, F.col("_n").alias("n_rows"), "labels", F.size("labels").alias("n_labels")))
 
 
 def duplicates_by(df: DataFrame, schema: FlowSchema, by: str) -> DataFrame:
@@ -74,25 +78,30 @@ def duplicates_by(df: DataFrame, schema: FlowSchema, by: str) -> DataFrame:
             .groupBy(by).agg(F.sum("cnt").cast("bigint").alias("dup_rows")))
 
 
+def _with_copies(df: DataFrame, keys) -> DataFrame:
+    """``df`` with the digest of ``keys`` and ``_n``: how many rows have that key, NULL for one."""
+    copied = cut_lineage(digest_counts(df, keys).where("_n > 1"))
+    total = copied.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    return with_facts(df.select("*", *row_digest(keys)), copied, total)
+
+
 def drop_all_copies(df: DataFrame, keys) -> DataFrame:
     """Keep only rows whose key occurs once (``keep=False``).
 
-    Columns outside ``keys`` (e.g. a row id) are carried with ``any_value``;
-    they are exact because the surviving group has one row."""
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    agg = [F.count(F.lit(1)).alias("_cnt")] + [F.any_value(c).alias(c) for c in others]
-    return df.groupBy(*keys).agg(*agg).where(F.col("_cnt") == 1).select(*df.columns)
+    Digests are counted; the rows are then filtered by the digests that occur
+    more than once, without a shuffle of the rows while those are few."""
+    return _with_copies(df, list(keys)).where("_n IS NULL").select(*df.columns)
 
 
 def keep_first(df: DataFrame, keys, order_col: str) -> DataFrame:
-    """C4: one row per key, the one with the smallest ``order_col``.
+    """C4: one row per key, the one with the smallest ``order_col`` (NULL last).
 
-    ``min_by`` over a struct is an ordinary (partial + final) aggregate, so a
-    hot key never gathers its rows in one task - unlike
+    Rows whose key no other row has pass as they are.  The others are reduced by
+    ``min_by`` over a struct, an ordinary (partial + final) aggregate, so a hot
+    key never gathers its rows in one task - unlike
     ``row_number() OVER (PARTITION BY key ...)``."""
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_first"))
-    return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others]).select(*df.columns)
+    marked = _with_copies(df, list(keys))
+    order = F.struct(F.col(order_col).isNull(), F.col(order_col))
+    picked = marked.where("_n IS NOT NULL").groupBy("_d1", "_d2").agg(
+        F.min_by(F.struct(*[F.col(c) for c in df.columns]), order).alias("_first"))
+    return marked.where("_n IS NULL").select(*df.columns).unionByName(picked.select("_first.*"))

@@ -2,10 +2,11 @@
 
 Row order is ``md5('<seed>-<row id>')`` - identical in Spark and DuckDB, so
 every split has an exact SQL twin (``row_number() OVER (PARTITION BY class
-ORDER BY md5(...))``).  Spark computes that rank with the range-partitioned
-running count of :mod:`ordered`, so a class holding most of the rows is spread
-over many tasks.  Per-class quotas come from the class counts (bounded by
-the class count, computed on the driver by largest remainder).
+ORDER BY md5(...))``).  A split by rank needs only the hash at each quota's
+rank (:func:`ordered.hash_cuts`): the rows themselves are neither shuffled nor
+sorted, they are told apart by one projection.  Per-class quotas come from the
+class counts (bounded by the class count, computed on the driver by largest
+remainder).
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.missing import row_digest
 from ..functions.labels import MAX_CLASSES
-from .ordered import hash_key, hash_rank
+from ..session import cut_lineage
+from .digests import digest_counts, with_facts
+from .ordered import hash_cuts, hash_key, hash_rank, within_cut
 
 
 def _counts(df: DataFrame, label: str) -> dict:
@@ -47,20 +50,13 @@ def largest_remainder(counts: dict, frac: float, total: int | None = None) -> di
     return q
 
 
-def _quota_col(label: str, quotas: dict):
-    m = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(int(v)))])
-    return F.coalesce(m[F.col(label)], F.lit(0))
-
-
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float, seed: int = 42,
                      names=("train", "test"), out: str = "split") -> DataFrame:
     """``test_size`` of every class (largest-remainder quotas) goes to
     ``names[1]``, chosen by hash rank within the class."""
-    counts = _counts(df, label)
-    q = largest_remainder(counts, test_size)
-    r = hash_rank(df, [label], key, seed, out="_rank", counts={(k,): c for k, c in counts.items()})
-    return r.withColumn(out, F.when(F.col("_rank") <= _quota_col(label, q), names[1])
-                        .otherwise(names[0])).drop("_rank")
+    q = largest_remainder(_counts(df, label), test_size)
+    cuts = hash_cuts(df, key, seed, {k: [v] for k, v in q.items()}, label)
+    return df.withColumn(out, F.when(within_cut(key, seed, cuts, 0, label), names[1]).otherwise(names[0]))
 
 
 def stratified_sample(df: DataFrame, label: str, key: str, frac: float, seed: int = 42) -> DataFrame:
@@ -72,15 +68,14 @@ def three_way_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,
                     val_size: float = 0.2, seed: int = 42, out: str = "split",
                     counts: dict | None = None) -> DataFrame:
     """Stratified test, then stratified val from the rest with
-    ``val_size / (1 - test_size)``; one hash rank serves both cuts."""
+    ``val_size / (1 - test_size)``; one pass finds both cuts."""
     counts = counts if counts is not None else _counts(df, label)
     qt = largest_remainder(counts, test_size)
     rest = {k: counts[k] - qt[k] for k in counts}
     qv = largest_remainder(rest, val_size / (1.0 - test_size))
-    r = hash_rank(df, [label], key, seed, out="_rank", counts={(k,): c for k, c in counts.items()})
-    t, v = _quota_col(label, qt), _quota_col(label, qv)
-    return r.withColumn(out, F.when(F.col("_rank") <= t, "test")
-                        .when(F.col("_rank") <= t + v, "val").otherwise("train")).drop("_rank")
+    cuts = hash_cuts(df, key, seed, {k: [qt[k], qt[k] + qv[k]] for k in counts}, label)
+    return df.withColumn(out, F.when(within_cut(key, seed, cuts, 0, label), "test")
+                         .when(within_cut(key, seed, cuts, 1, label), "val").otherwise("train"))
 
 
 def paper_split(df: DataFrame, label: str, key: str, train_size: float = 0.6,
@@ -90,32 +85,29 @@ def paper_split(df: DataFrame, label: str, key: str, train_size: float = 0.6,
     ``ceil(test/(val+test) * n_rest)`` rows become val, the others test."""
     counts = _counts(df, label)
     q_rest = largest_remainder(counts, val_size + test_size)
-    r = hash_rank(df, [label], key, seed, out="_rank", counts={(k,): c for k, c in counts.items()})
-    rest = r.withColumn("_rest", F.col("_rank") <= _quota_col(label, q_rest))
+    in_rest = within_cut(key, seed, hash_cuts(df, key, seed, {k: [v] for k, v in q_rest.items()}, label), 0, label)
     n_rest = sum(q_rest.values())
     n_val = math.ceil(test_size / (val_size + test_size) * n_rest - 1e-9)
-    r2 = hash_rank(rest.where("_rest"), [], key, seed, out="_rank2", counts={(): n_rest})
-    tagged = r2.withColumn(out, F.when(F.col("_rank2") <= n_val, "val").otherwise("test"))
-    train = rest.where(~F.col("_rest")).withColumn(out, F.lit("train"))
-    cols = df.columns + [out]
-    return train.select(*cols).unionByName(tagged.select(*cols))
+    cuts = hash_cuts(df.where(in_rest), key, seed, {None: [n_val]})
+    return df.withColumn(out, F.when(~in_rest, "train").when(within_cut(key, seed, cuts), "val").otherwise("test"))
 
 
 def grouped_split(df: DataFrame, features, key: str, test_size: float = 0.2,
                   val_size: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
     """Identical feature vectors stay together.  A group is identified by
     its smallest row id; ``ceil(test_size * groups)`` groups go to test, then
-    ``ceil(val/(1-test) * rest)`` of the rest to val.  Rows meet their group on
-    the vector's 128-bit digest."""
-    digest = row_digest(features)
-    groups = df.select(*digest, key).groupBy("_d1", "_d2").agg(F.min(key).alias("_gid"))
-    n_groups = groups.count()
+    ``ceil(val/(1-test) * rest)`` of the rest to val.  Only rows whose vector
+    others share look their group up (:func:`digests.with_facts`); a vector of
+    one row is its own group."""
+    groups = cut_lineage(digest_counts(df, features, F.min(key).alias("_gid")))
+    n_groups, total = groups.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     n_test = math.ceil(test_size * n_groups - 1e-9)
     n_val = math.ceil(val_size / (1.0 - test_size) * (n_groups - n_test) - 1e-9)
-    ranked = hash_rank(groups, [], "_gid", seed, out="_grank", counts={(): n_groups})
-    g = ranked.withColumn(out, F.when(F.col("_grank") <= n_test, "test")
-                          .when(F.col("_grank") <= n_test + n_val, "val").otherwise("train"))
-    return df.select("*", *digest).join(g.select("_d1", "_d2", out), ["_d1", "_d2"]).select(*df.columns, out)
+    cuts = hash_cuts(groups, "_gid", seed, {None: [n_test, n_test + n_val]})
+    rows = with_facts(df.select("*", *row_digest(features)), groups.where("_n > 1"), total) \
+        .withColumn("_gid", F.coalesce("_gid", F.col(key)))
+    return rows.withColumn(out, F.when(within_cut("_gid", seed, cuts), "test")
+                           .when(within_cut("_gid", seed, cuts, 1), "val").otherwise("train")).select(*df.columns, out)
 
 
 def chronological_split(df: DataFrame, day: str | None, out: str = "split") -> DataFrame:
