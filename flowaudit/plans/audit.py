@@ -12,6 +12,7 @@ from ..operators import duplicates as U
 from ..operators import profile as A
 from ..operators.fitted import MedianImputer
 from ..schema import FlowSchema
+from ..session import cut_lineage
 
 
 def clean_audit(df: DataFrame, schema: FlowSchema, fit_df: DataFrame | None = None):
@@ -24,7 +25,10 @@ def clean_audit(df: DataFrame, schema: FlowSchema, fit_df: DataFrame | None = No
     columns, duplicate columns, encoder)."""
     feats = list(schema.features)
     cleaned = replace_infs(df, feats)
-    fit_src = replace_infs(fit_df, feats) if fit_df is not None else cleaned
+    # five statistics read the rows to fit on: written once, whatever they come from
+    fit_src = cut_lineage(cleaned if fit_df is None else replace_infs(fit_df, feats))
+    if fit_df is None:
+        cleaned = fit_src
     imputer = MedianImputer(inputCols=feats).fit(fit_src)
     cleaned = imputer.transform(cleaned)
     fitted = imputer.transform(fit_src)
@@ -32,7 +36,7 @@ def clean_audit(df: DataFrame, schema: FlowSchema, fit_df: DataFrame | None = No
     rest = [c for c in feats if c not in constants]
     duplicates = C.duplicate_column_list(fitted.select(*rest), rest)
     keep = [c for c in rest if c not in duplicates]
-    enc = LabelEncoder().fit(fit_df if fit_df is not None else df, schema.label)
+    enc = LabelEncoder().fit(fit_src, schema.label)
     out = cleaned.drop(*constants, *duplicates).withColumns({
         "multi_label": enc.encode(schema.label), "binary_label": binary_label(schema.label)})
     return out, constants, duplicates, enc, schema.with_features(keep)

@@ -9,18 +9,20 @@ from ..functions.labels import LabelEncoder, label_family
 from ..operators import clean as C
 from ..operators.fitted import QuantileUniform
 from ..operators.splits import paper_split
+from ..session import cut_lineage
 from ..sources.store import write_split
 
 
 def clean_paper(df: DataFrame, features, label: str, day: str | None = None,
                 std_threshold: float = 0.01, corr_threshold: float = 0.98):
     """C3 (drop every copy) -> C2 -> C1 -> C2 -> C7 -> C11 -> P4.
-    Returns (frame with ``label_category``, kept features)."""
+    Returns (frame with ``label_category``, kept features).  The rows that are left
+    are written once; the statistics and the result read that table."""
     feats = list(features)
     keys = feats + [label] + ([day] if day else [])
     d = C.drop_all_copies(df, keys)
     d = C.drop_missing_rows(d, feats)
-    d = C.drop_inf_rows(d, feats)
+    d = cut_lineage(C.drop_inf_rows(d, feats))
     low = C.low_std_columns(d, feats, std_threshold)
     rest = [c for c in feats if c not in low]
     corr = C.correlated_column_list(d, rest, corr_threshold, "signed_earlier")
