@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.labels import MAX_CLASSES
 
@@ -168,12 +168,19 @@ def hash_rank(df: DataFrame, group_cols, key: str, seed: int, out: str = "rank",
     return ranked.withColumnRenamed("_fa_cum_fa_one", out).drop("_fa_h", "_fa_one")
 
 
-#: Hex digits of the hash that one pass of :func:`hash_cuts` tells apart.
-CUT_DIGITS = 3
+#: Hex digits of the hash that the first pass of :func:`hash_cuts` tells apart, and that later ones do at most.
+CUT_DIGITS = (2, 3)
 #: A range of hashes with at most this many rows is ranked whole by one task.
 CUT_ROWS = 4096
 
 
+def _by_group(values: dict, group: Column) -> Column:
+    """The value of the row's group (NULL if it has none); ``values`` may have one for the group NULL."""
+    known = [x for g, v in values.items() if g is not None for x in (F.lit(g), F.lit(v))]
+    found = F.create_map(*known)[group] if known else F.lit(None)
+    return F.when(group.isNull(), F.lit(values[None])).otherwise(found) if None in values else found
+
+
 def hash_cuts(df: DataFrame, key: str, seed: int, ranks: dict, group: str | None = None) -> dict:
     """``{value: [md5, ...]}``: the hash keys of the rows with the given ranks in the
     order of :func:`hash_key`, within each value of ``group`` (``ranks``: ``{value:
@@ -181,59 +188,58 @@ def hash_cuts(df: DataFrame, key: str, seed: int, ranks: dict, group: str | None
 
     A row is among the first ``rank`` of its group if and only if its hash is at
     most that key, so a split by rank is a projection: no row is shuffled or
-    sorted.  Each pass counts the hashes by their next ``CUT_DIGITS`` digits
-    inside the range that holds the rank (partial counts: 4,096 a range), which
-    leaves a 4,096th of the rows; ranges of at most ``CUT_ROWS`` rows are ranked.
-    The driver gets one row per cut and pass.  Ranks below 1 give ``""`` (no
-    row), ranks beyond the group ``"g"`` (all).  Rows that share a key share a hash: all of
-    them are on one side."""
-    spark = df.sparkSession
-    kind = df.schema[group].dataType if group else T.IntegerType()
+    sorted.  Each pass counts the hashes by their next digits inside the range
+    that holds the rank (partial counts, at most 4,096 a range); ranges of at
+    most ``CUT_ROWS`` rows are ranked.  The driver gets one row per cut and
+    pass.  Ranks below 1 give ``""`` (no row), ranks beyond the group ``"g"``
+    (all).  Rows that share a key share a hash: all of them are on one side."""
     base = df.select((F.col(group) if group else F.lit(None).cast("int")).alias("_g"), hash_key(key, seed).alias("_h"))
     out = {g: ["" if r < 1 else "g" for r in rs] for g, rs in ranks.items()}
-    cut_type = T.StructType([T.StructField("_g", kind), T.StructField("_p", T.StringType()),
-                             T.StructField("_r", T.LongType()), T.StructField("_i", T.IntegerType())])
     open_ = [(g, "", int(r), i) for g, rs in ranks.items() for i, r in enumerate(rs) if r >= 1]
     small: list = []
+    digits = CUT_DIGITS[0]
+
+    def slots(cuts, at):
+        """Field ``at`` of the first, second, ... cut of the row's group."""
+        per: dict = {}
+        for c in cuts:
+            per.setdefault(c[0], []).append(c[at])
+        return [_by_group({g: v[j] for g, v in per.items() if len(v) > j}, F.col("_g"))
+                for j in range(max(map(len, per.values())))]
 
     def rows_in(cuts):
-        """The rows in the ranges of ``cuts``, of which there are a few per group."""
-        places = spark.createDataFrame(list(dict.fromkeys(c[:2] for c in cuts)), T.StructType(cut_type.fields[:2])) \
-            .withColumnRenamed("_g", "_pg")
-        return base.join(F.broadcast(places), F.col("_g").eqNullSafe(F.col("_pg")) & F.col("_h").startswith(F.col("_p")))
+        """The rows in the ranges of ``cuts``, with their range ``_p``."""
+        held = [F.when(F.col("_h").startswith(p), p) for p in slots(cuts, 1)]
+        return base.withColumn("_p", F.coalesce(*held)).where("_p IS NOT NULL")
 
     def at_ranks(places, cuts, order):
-        """The places (with their running count ``_c`` and own count ``_n``) that hold the wanted ranks."""
-        want = spark.createDataFrame(cuts, cut_type).select(F.col("_g").alias("_wg"), F.col("_p").alias("_wp"), "_r", "_i")
-        return places.join(F.broadcast(want), F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_p") == F.col("_wp"))
-                           & (F.col("_c") >= F.col("_r")) & (F.col("_c") - F.col("_n") < F.col("_r"))) \
-            .select("_g", order, F.col("_r") - F.col("_c") + F.col("_n"), "_i", "_n").collect()
+        """(group, place, rank left in it, number of the cut, rows) of the places that hold the wanted ranks."""
+        running = Window.partitionBy("_g", "_p").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ahead = F.col("_c") - F.col("_n")
+        hits = [F.when((F.col("_p") == p) & (F.col("_c") >= r) & (ahead < r), F.struct((r - ahead).alias("r"), i.alias("i")))
+                for p, r, i in zip(slots(cuts, 1), [r.cast("bigint") for r in slots(cuts, 2)], slots(cuts, 3))]
+        return places.withColumn("_c", F.sum("_n").over(running)).withColumn("_w", F.explode(F.array(*hits))) \
+            .where("_w IS NOT NULL").select("_g", order, "_w.r", "_w.i", "_n").collect()
 
-    running = Window.partitionBy("_g", "_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     while open_:
-        digits = len(open_[0][1]) + CUT_DIGITS
-        counted = rows_in(open_).groupBy("_g", "_p", F.substring("_h", 1, digits).alias("_q")).agg(F.count("*").alias("_n"))
-        found = at_ranks(counted.withColumn("_c", F.sum("_n").over(running.orderBy("_q"))), open_, "_q")
+        length = len(open_[0][1]) + digits
+        counted = rows_in(open_).groupBy("_g", "_p", F.substring("_h", 1, length).alias("_q")).agg(F.count("*").alias("_n"))
+        found = at_ranks(counted, open_, "_q")
         open_ = []
         for g, q, r, i, n in found:
-            if r == n or digits >= 32:
+            if r == n or length >= 32:
                 out[g][i] = q + "f" * (32 - len(q))
             else:
                 (small if n <= CUT_ROWS else open_).append((g, q, r, i))
+        most = max((row[4] for row in found), default=1)
+        digits = min(CUT_DIGITS[1], max(1, math.ceil(math.log(max(1.0, most / CUT_ROWS), 16))))
     if small:
-        one = rows_in(small).select("_g", "_p", "_h", F.lit(1).alias("_n"))
-        for g, h, _, i, _ in at_ranks(one.withColumn("_c", F.sum("_n").over(running.orderBy("_h"))), small, "_h"):
+        for g, h, _, i, _ in at_ranks(rows_in(small).withColumn("_n", F.lit(1)), small, "_h"):
             out[g][i] = h
     return out
 
 
 def within_cut(key: str, seed: int, cuts: dict, i: int = 0, group: str | None = None) -> Column:
     """True for the rows at or before cut ``i`` of their group (:func:`hash_cuts`); False for groups without cuts."""
-    h = hash_key(key, seed)
-    if group is None:
-        return h <= F.lit(cuts[None][i])
-    known = [x for g, cs in cuts.items() if g is not None for x in (F.lit(g), F.lit(cs[i]))]
-    cut = F.create_map(*known)[F.col(group)] if known else F.lit("")
-    if None in cuts:
-        cut = F.when(F.col(group).isNull(), F.lit(cuts[None][i])).otherwise(cut)
-    return h <= F.coalesce(cut, F.lit(""))
+    cut = F.lit(cuts[None][i]) if group is None else _by_group({g: cs[i] for g, cs in cuts.items()}, F.col(group))
+    return hash_key(key, seed) <= F.coalesce(cut, F.lit(""))

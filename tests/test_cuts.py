@@ -22,7 +22,7 @@ def ranked(df, group):
 def test_cuts_are_ranks(spark, monkeypatch, rows):
     """Ranks at both ends, beyond them, on a null group and on ranges that are cut again."""
     monkeypatch.setattr(ordered, "CUT_ROWS", rows)
-    monkeypatch.setattr(ordered, "CUT_DIGITS", 1 if rows == 3 else 3)
+    monkeypatch.setattr(ordered, "CUT_DIGITS", (1, 1) if rows == 3 else (2, 3))
     df = spark.range(3000).select("id", F.when(F.col("id") % 10 < 6, "a").when(F.col("id") % 10 < 9, "b").alias("g"))
     ranks = {"a": [0, 1, 700, 1800, 5000], "b": [899, 900, 1, 450, -3], None: [300, 299, 17, 1, 0]}
     cuts = hash_cuts(df, "id", 7, ranks, "g")
