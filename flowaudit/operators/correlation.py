@@ -258,10 +258,13 @@ def vif_from_gram(g: np.ndarray, tol: float = 1e-12) -> list[float]:
     return [float(v) for v in out]
 
 
-def pca_explained_variance(df: DataFrame, vec_col: str, k: int, target: float = 0.99) -> DataFrame:
+def pca_explained_variance(df: DataFrame, vec_col: str, k: int | None = None, target: float = 0.99) -> DataFrame:
     """Explained-variance ratio per component (over all components),
-    its cumulative sum and whether the component is needed for ``target``."""
+    its cumulative sum and whether the component is needed for ``target``.
+    The first ``k`` components; by default as many as the vectors have."""
     from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import vector_to_array
+    k = k or df.agg(F.max(F.size(vector_to_array(vec_col)))).first()[0]
     model = PCA(k=k, inputCol=vec_col, outputCol="_pca").fit(df.select(vec_col))
     ev = [float(x) for x in model.explainedVariance.toArray()]
     rows, cum = [], 0.0

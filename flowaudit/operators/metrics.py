@@ -292,10 +292,17 @@ def pick_thresholds(sweep: DataFrame, by=(), default: float = 0.5) -> DataFrame:
     return out.drop(_G) if not user_by else out
 
 
+#: Threshold choices that one aggregate evaluates (four counts each).
+MAX_CHOICES = 200
+
+
 def apply_thresholds(scored: DataFrame, y: str, score: str, choices: DataFrame, beta: float = 2.0) -> DataFrame:
     """Metrics on ``scored`` for each (strategy, threshold) of ``choices``.
-    The choices (a handful of rows) become literals of one wide aggregate."""
-    rows = choices.select("strategy", "threshold").collect()
+    The choices become literals of one wide aggregate; more than
+    ``MAX_CHOICES`` are refused."""
+    rows = choices.select("strategy", "threshold").limit(MAX_CHOICES + 1).collect()
+    if len(rows) > MAX_CHOICES:
+        raise ValueError(f"more than {MAX_CHOICES} threshold choices")
     yy = F.col(y) == 1
     aggs = []
     for i, r in enumerate(rows):

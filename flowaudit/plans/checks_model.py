@@ -260,12 +260,17 @@ def q_quantile_uniform(spark, sf):
     return m.transform(te).select("flow_id", *FLOW_FEATURES)
 
 
+def _wide_embeddings(spark, sf, *keep):
+    """The embeddings with a column per component, as many as the longest vector has, and those columns' names."""
+    e = table(spark, sf, "embeddings")
+    width = e.agg(F.max(F.size("embedding"))).first()[0] or 0
+    cols = [f"e{i}" for i in range(width)]
+    return e.select(*keep, *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)]), cols
+
+
 @query("centred_pca")
 def q_centred_pca(spark, sf):
-    from ..sources.fixtures import table as tb
-    e = tb(spark, sf, "embeddings")
-    cols = [f"e{i}" for i in range(64)]
-    wide = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(cols[i]) for i in range(64)])
+    wide, cols = _wide_embeddings(spark, sf, "vec_id")
     m = FT.CentredPCA(inputCols=cols, k=0, target=0.99).fit(wide)
     out = m.transform(wide)
     return out.select("vec_id", *[c for c in out.columns if c.startswith("pc")])
@@ -291,9 +296,7 @@ SELECT vec_id, label, CAST(rank AS INTEGER) AS rank, neighbour, round(dist, 6) A
 """)
 def q_class_knn(spark, sf):
     from ..operators.smote import class_knn
-    e = table(spark, sf, "embeddings")
-    cols = [f"e{i}" for i in range(64)]
-    wide = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(cols[i]) for i in range(64)])
+    wide, cols = _wide_embeddings(spark, sf, "vec_id", "label")
     nn = class_knn(wide, "label", "vec_id", cols, k=5)
     return nn.select("vec_id", "label", F.posexplode("nbrs").alias("rank", "nb")).select(
         "vec_id", "label", F.col("rank").cast("int").alias("rank"), F.col("nb.key").alias("neighbour"),

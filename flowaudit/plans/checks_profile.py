@@ -637,7 +637,7 @@ def q_vif_pair(spark, sf):
 def q_pca_explained_variance(spark, sf):
     from pyspark.ml.functions import array_to_vector
     e = table(spark, sf, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    return K.pca_explained_variance(e, "v", k=64, target=0.99)
+    return K.pca_explained_variance(e, "v", target=0.99)
 
 
 @query("median_impute", with_views(

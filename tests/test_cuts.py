@@ -105,3 +105,21 @@ def test_headers_are_read_by_a_job(spark, tmp_path, monkeypatch):
     (empty / "Monday-x.csv").write_text("")
     with pytest.raises(ValueError, match="all empty"):
         read_flows(spark, str(empty))
+
+
+def test_components_follow_the_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+    from flowaudit.operators.correlation import pca_explained_variance
+    rnd = random.Random(1)
+    df = spark.createDataFrame([(Vectors.dense([rnd.random() for _ in range(70)]),) for _ in range(90)], ["v"])
+    rows = pca_explained_variance(df, "v").orderBy("component").collect()
+    assert len(rows) == 70 and abs(rows[-1].cumulative - 1) < 1e-9
+
+
+def test_threshold_choices_are_bounded(spark):
+    from flowaudit.operators.metrics import MAX_CHOICES, apply_thresholds
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.2)], "y int, s double")
+    many = spark.range(MAX_CHOICES + 1).select(F.lit("x").alias("strategy"), F.lit(0.5).alias("threshold"))
+    with pytest.raises(ValueError, match="threshold choices"):
+        apply_thresholds(scored, "y", "s", many)
+    assert apply_thresholds(scored, "y", "s", many.limit(2)).count() == 2
