@@ -79,6 +79,26 @@ def test_equals_plain_boosting(spark, classes):
     assert (again.raw(x) == m.raw(x)).all()
 
 
+def test_passes_walk_no_earlier_round(spark, monkeypatch):
+    """The blocks that a round's passes read hold the scores of all rounds before, under a short plan."""
+    df = frame(spark, classes=3)
+    d = df.withColumn("i", M.class_index(["c0", "c1", "c2"], "label"))
+    seen, real = [], B._round
+
+    def spy(state, *args):
+        out = real(state, *args)
+        plan = state._jdf.queryExecution().analyzed().toString()
+        seen.append((sum(float(np.frombuffer(r[0], np.float32).sum()) for r in state.select("raw").collect()), plan.count("\n")))
+        return out
+    monkeypatch.setattr(B, "_round", spy)
+    m = B.fit_boosted(d, FEATS, "i", ["c0", "c1", "c2"], rounds=13, max_depth=2, n_bins=16, block_rows=64)
+    x = df.select(*FEATS).toPandas().to_numpy(float)
+    for r, (total, lines) in enumerate(seen):
+        first = B.BoostedTrees(m.features, m.classes, m.start, m.rounds[:r])
+        assert abs(first.raw(x).sum() - total) < 1e-2 and lines <= B.CUT + 1
+    assert len(seen) == 13
+
+
 def test_weights_are_copies(spark):
     df = frame(spark, 200, 2)
     a = M.fit(df.withColumn("w", F.lit(2.0)), FEATS, "label", "gbt", weight_col="w", maxIter=3, maxDepth=2)
