@@ -159,6 +159,23 @@ def test_attribution_equals_all_subsets(spark):
     assert len(out) == 4 * p and all(abs(got[r["id"], feats.index(r["feature"])] - r["contribution"]) < 1e-9 for r in out)
 
 
+def test_attribution_of_many_rows(spark, monkeypatch):
+    """Many rows are explained by the ways to meet a leaf's conditions, with the values that few rows get."""
+    df = frame(spark, 300, 2, p=5)
+    feats = [f"f{j}" for j in range(5)]
+    m = M.fit(df, feats, "label", "gbt", maxIter=4, maxDepth=4).boosted
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 5)).round(2)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[rng.random(x.shape) < 0.05] = np.inf
+    few = np.concatenate([B.shapley(m, x[i:i + 2])[0] for i in range(0, 500, 2)])
+    worked, real = [], B._gains
+    monkeypatch.setattr(B, "_gains", lambda o, z, values: worked.append(o.shape) or real(o, z, values))
+    many, base = B.shapley(m, x)
+    assert np.abs(many - few).max() < 1e-12 and np.allclose(many.sum(axis=1) + base, m.raw(x)[:, 0])
+    assert worked and all(ways <= 2 ** d for ways, _, d in worked)
+
+
 def test_permutation_importance_equals_plain(spark):
     df = frame(spark, 150, 2).withColumn("key", F.concat(F.lit("k"), F.col("id").cast("string"))) \
         .withColumn("label", F.substring("label", 2, 1))
