@@ -129,6 +129,10 @@ def _row_sets(df: DataFrame, cols) -> tuple[list[list[tuple[int, int]]], np.ndar
     return list(sets.values()), n
 
 
+#: Values of the rows that one task of the rank correlation groups, where the table has more than a core's share.
+PART_VALUES = 2_000_000
+
+
 def spearman_matrix(df: DataFrame, cols, parallelism: int = 4) -> np.ndarray:
     """P x p pairwise-complete Spearman (average ranks for ties): each pair is ranked on the rows
     where both values are present.  NaN with fewer than two of them and where a column is constant.
@@ -151,7 +155,11 @@ def spearman_matrix(df: DataFrame, cols, parallelism: int = 4) -> np.ndarray:
         def run(pairs):
             used = sorted({k for pair in pairs for k in pair})
             names = [f"c{k}" for k in used]
+            # its groups by row hold a partition's values at once
             rows = clean.select(*names).na.drop()
+            values = int(n[pairs[0]]) * len(names)
+            if values > rows.sparkSession.sparkContext.defaultParallelism * PART_VALUES:
+                rows = rows.repartition(-(-values // PART_VALUES))
             vec = VectorAssembler(inputCols=names, outputCol="_v").transform(rows).select("_v")
             r = Correlation.corr(vec, "_v", "spearman").first()[0].toArray()
             for i, j in pairs:
