@@ -13,7 +13,6 @@ def _rows(n=600, seed=1):
     rng = np.random.default_rng(seed)
     x = np.stack([rng.normal(size=n), rng.integers(0, 4, n), rng.normal(size=n)], 1)
     y = ((x[:, 0] > 0.3).astype(int) + (x[:, 1] == 2) + (rng.random(n) < .15)) % K
-    x[::41, 2] = np.nan
     return x, y
 
 
@@ -57,8 +56,11 @@ def test_a_whole_tree_is_the_plain_one(spark, local, depth):
     one = R.fit_forest(df, ["u", "v", "w"], "i", list("abc"), trees=1, max_depth=depth, bootstrap=False, local=local, block_rows=100)
     assert (len(one.tops[0].feature) > 1) == (local == 40 and depth > 0)
     assert [len(e) for e in one.edges] == [31, 3, 31]
+    known = R._bins(x.T, one.edges)
+    x[::41, 2] = np.nan                                      # missing values are scored, by the higher side of every cut
+    df = _frame(spark, x, y)
     bins = R._bins(x.T, one.edges)
-    want = _plain(bins, y, np.ones(len(y)), depth)
+    want = _plain(known, y, np.ones(len(y)), depth)
     got = {r.id: r.probs for r in one.with_probs(df).select("id", "probs").collect()}
     assert len(got) == len(x)
     assert all(got[i] == pytest.approx(_of(want, bins[:, i])) for i in range(len(x)))
@@ -109,3 +111,10 @@ def test_one_class_is_one_leaf(spark):
     m = M.fit(df, ["u"], "y", "forest", numTrees=3, maxDepth=5)
     assert {(r.y_pred, r.score) for r in m.score(df).collect()} == {("a", 1.0)}
     assert m.importances() == [("u", 0.0)]
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), None])
+def test_training_values_must_be_finite(spark, value):
+    df = spark.createDataFrame([(float(i), "ab"[i % 2]) for i in range(20)] + [(value, "a")], "u double, y string")
+    with pytest.raises(ValueError, match="1 of 21"):
+        M.fit(df, ["u"], "y", "forest", numTrees=3, maxDepth=5)
