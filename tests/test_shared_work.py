@@ -37,6 +37,13 @@ def test_a_fold_has_one_chain_for_all_models(spark, monkeypatch):
         assert b.asDict() == pytest.approx(o.asDict())
 
 
+def test_grown_rows_are_made_once_for_all_strategies(spark, monkeypatch):
+    calls = counted(monkeypatch, "smote")
+    out = XP.imbalance_ablation(rows(spark), ["a", "b"], "label", "id", model_kind="tree", maxDepth=3, parallelism=2,
+                                strategies=["undersample_smote", "undersample_smote_class_weight"]).collect()
+    assert len(calls) == 1 and len(out) == 2
+
+
 @pytest.mark.parametrize("sizes", [[3, 8, 4], [2, 5, 6, 3], [4, 2]])
 def test_steps_in_place_are_the_plain_steps(sizes):
     rng, decay, rate = np.random.default_rng(1), 1e-3, 1e-2
