@@ -207,3 +207,26 @@ def test_experiments_run(spark):
     assert [r["recipe"] for r in out] == XP.ABLATION_RECIPES and all(0 <= r["f1_macro"] <= 1 for r in out)
     out = XP.imbalance_ablation(f, FLOW_FEATURES, "label", "flow_id", maxIter=2, maxDepth=2, parallelism=3).collect()
     assert [r["strategy"] for r in out] == XP.IMBALANCE_STRATEGIES and all(0 <= r["pr_auc"] <= 1 for r in out)
+
+
+def test_whole_fit_equals_levels(spark, monkeypatch):
+    """A table of several blocks is fitted by one task in one job, and gives the trees of the job per level,
+    whether the driver adds a level's sums up or tasks do; the marked rows end both alike."""
+    df = frame(spark, classes=3).withColumn("val", F.col("id") % 4 == 0)
+    d = df.withColumn("i", M.class_index(["c0", "c1", "c2"], "label"))
+    x = df.select(*FEATS).toPandas().to_numpy(float)
+
+    def fitted(**more):
+        return B.fit_boosted(d, FEATS, "i", ["c0", "c1", "c2"], "w", rounds=12, max_depth=3, n_bins=16, block_rows=64,
+                             validation_col="val", patience=3, **more)
+    levels, real = [], B._round
+    monkeypatch.setattr(B, "_round", lambda *args: levels.append(1) or real(*args))
+    whole = fitted(whole_rows=1000)
+    assert not levels and len(whole.rounds) > 3
+    there = fitted()
+    monkeypatch.setattr(B, "DRIVER_BYTES", 0)
+    apart = fitted()
+    assert len(levels) >= 2 * len(whole.losses)
+    for other in (there, apart):
+        assert other.best_round == whole.best_round and np.allclose(other.losses, whole.losses)
+        assert np.abs(other.raw(x) - whole.raw(x)).max() < 1e-4
